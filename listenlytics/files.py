@@ -26,6 +26,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    fs, hadoop_pattern = _open(spark, pattern)
+    return bool(fs.globStatus(hadoop_pattern))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.delete(hadoop_path, True)

@@ -21,10 +21,12 @@ def percent_text(rate: Column) -> Column:
     so the value becomes a fixed-point long whose low bits tell the side of the half.
     """
     unit = 1 << _FRACTION_BITS
-    fixed = (rate * F.lit(100.0) * F.lit(float(unit))).cast("bigint") * F.lit(10).cast("bigint")
-    tenths = F.shiftright(fixed, _FRACTION_BITS)
-    rest = fixed.bitwiseAND(F.lit(unit - 1))
-    half = F.lit(unit >> 1)
-    round_up = (rest > half) | ((rest == half) & (tenths % 2 == 1))
+    scaled = rate * F.lit(100.0) * F.lit(float(unit))
+    whole = scaled.cast("bigint")
+    below_unit = (scaled - whole.cast("double")) * 10
+    tenfold = whole * F.lit(10).cast("bigint")
+    tenths = F.shiftright(tenfold, _FRACTION_BITS)
+    side = (tenfold.bitwiseAND(F.lit(unit - 1)) - F.lit(unit >> 1)).cast("double") + below_unit
+    round_up = (side > 0) | ((side == 0) & (tenths % 2 == 1))
     rounded = tenths + round_up.cast("bigint")
     return F.format_string("%d.%d%%", F.floor(rounded / 10), rounded % 10)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import NULL_TOKENS, null_if_token, percent_text, time_is_bad
 from ..session import new_work_folder
 from ..sources.plays import PLAY_COLUMNS
+from ..staging import written
 from .topk import first_n_per_group
 
 # The limits of the check.
@@ -40,20 +41,15 @@ def _written_profile(
     checked: DataFrame, statistics: Sequence[Column], formats: Sequence[str]
 ) -> DataFrame:
     """One row of statistics for each file, kept as a small table for the later steps."""
-    folder = new_work_folder(checked.sparkSession, "profile")
-    (
-        checked.groupBy("source_key")
-        .agg(
-            F.count("*").alias("row_count"),
-            _null_rate("user_id").alias("user_id_null_rate"),
-            _null_rate("track_id").alias("track_id_null_rate"),
-            F.count("listen_time").alias("listen_time_non_null"),
-            F.count_if(time_is_bad(F.col("listen_time"), formats)).alias("listen_time_bad"),
-            *statistics,
-        )
-        .write.parquet(folder)
+    profile = checked.groupBy("source_key").agg(
+        F.count("*").alias("row_count"),
+        _null_rate("user_id").alias("user_id_null_rate"),
+        _null_rate("track_id").alias("track_id_null_rate"),
+        F.count("listen_time").alias("listen_time_non_null"),
+        F.count_if(time_is_bad(F.col("listen_time"), formats)).alias("listen_time_bad"),
+        *statistics,
     )
-    return checked.sparkSession.read.parquet(folder)
+    return written(profile, new_work_folder(checked.sparkSession, "profile"))
 
 
 def _bad_times_in_sample(

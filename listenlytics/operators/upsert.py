@@ -4,6 +4,7 @@ Plain parquet has no MERGE, and a table cannot be overwritten while it is read.
 new state of the touched partitions is written beside the table first and then swapped
 in with a dynamic partition overwrite. A run that dies while swapping leaves the
 complete new state in the side folder; the next upsert swaps it in before it starts.
+Into a table without rows the new rows go directly, there is nothing to lose.
 One writer at a time.
 """
 
@@ -14,49 +15,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..files import delete, exists
+from ..files import any_match, delete, exists
+from ..staging import written
 
 
 class DuplicateKeyError(ValueError):
     """The new rows hold the same key twice."""
 
 
-def _pending(target: str) -> str:
-    return f"{target.rstrip('/')}__pending"
+def _beside(target: str, name: str) -> str:
+    return f"{target.rstrip('/')}__{name}"
 
 
-def _swap_in(spark: SparkSession, target: str, partition: str) -> None:
+def _swap_in(state: DataFrame, target: str, partition: str) -> None:
+    """Replace the partitions of ``target`` that ``state`` has rows for."""
     (
-        spark.read.parquet(_pending(target))
-        .hint("rebalance", partition)
+        state.hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(target)
     )
-    delete(spark, _pending(target))
 
 
 def finish_pending(spark: SparkSession, target: str, partition: str = "date") -> None:
     """Complete an upsert that died between its two writes; drop one that died before."""
-    if exists(spark, f"{_pending(target)}/_SUCCESS"):
-        _swap_in(spark, target, partition)
-    elif exists(spark, _pending(target)):
-        delete(spark, _pending(target))
-
-
-def _holds_rows(spark: SparkSession, target: str) -> bool:
-    # Partition folders appear with the first rows; an empty table has only its marker file.
-    return exists(spark, target) and bool(
-        spark._jvm.org.apache.hadoop.fs.Path(target)
-        .getFileSystem(spark._jsc.hadoopConfiguration())
-        .globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/*=*"))
-    )
+    pending = _beside(target, "pending")
+    if exists(spark, f"{pending}/_SUCCESS"):
+        _swap_in(spark.read.parquet(pending), target, partition)
+    delete(spark, pending)
 
 
 def read_keyed(spark: SparkSession, target: str, schema: str | None = None) -> DataFrame:
     """The table at ``target``; with ``schema`` an absent table reads as empty."""
-    if schema is not None and not _holds_rows(spark, target):
+    if schema is not None and not any_match(spark, f"{target}/*=*"):
         return spark.createDataFrame([], schema)
     return spark.read.parquet(target)
 
@@ -90,6 +82,9 @@ def upsert_by_key(
     ``on_duplicate='last'`` keeps the first row by descending ``newest_by`` where new
     rows share a key; by default that is an error. The partition column must follow
     from the key: rows of one key always lie in the same partition.
+
+    ``rows`` is worked out once, into a folder beside the table. Only the partitions
+    with new rows are read and written.
     """
     if mode not in ("replace", "replace_group"):
         raise ValueError(f"mode must be 'replace' or 'replace_group', not {mode!r}")
@@ -97,15 +92,16 @@ def upsert_by_key(
         raise ValueError("on_duplicate='last' needs newest_by")
     spark = rows.sparkSession
     finish_pending(spark, target, partition)
-    rows = _one_row_per_key(rows, keys, on_duplicate, newest_by)
-    if _holds_rows(spark, target):
+    arrived, pending = _beside(target, "arrived"), _beside(target, "pending")
+    new = _one_row_per_key(written(rows, arrived), keys, on_duplicate, newest_by)
+    if any_match(spark, f"{target}/*=*"):
         replaced = list(group or [partition]) if mode == "replace_group" else list(keys)
-        days = rows.select(partition).distinct()
         kept = (
             spark.read.parquet(target)
-            .join(days, partition, "left_semi")
-            .join(rows.select(*replaced).distinct(), replaced, "left_anti")
+            .join(new.select(partition).distinct(), partition, "left_semi")
+            .join(new.select(*replaced).distinct(), replaced, "left_anti")
         )
-        rows = kept.select(*rows.columns).unionByName(rows)
-    rows.write.mode("overwrite").parquet(_pending(target))
-    _swap_in(spark, target, partition)
+        new = written(kept.select(*rows.columns).unionByName(new), pending)
+    _swap_in(new, target, partition)
+    delete(spark, pending)
+    delete(spark, arrived)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from ..operators.routing import INBOX, KPI_OUTPUT, RESULTS, result_key, target_k
 from ..operators.topk import latest_per_key
 from ..operators.upsert import upsert_by_key
 from ..sources import inspect_files, land_plays, read_parts
+from ..staging import side_by_side, written
 from .transform import KEYS, song_key_columns, write_tables
 
 ARRIVAL = ("arrived_at", "source_key")
@@ -114,13 +116,17 @@ def load_tables(
     ``arrivals``: source_key, arrived_at) counts, as if they had been loaded one by one.
     """
     targets = table_paths(root)
-    for name, keys in KEYS.items():
+
+    def load(name: str) -> None:
+        keys = KEYS[name]
         results = read_parts(spark, outputs[name]).join(arrivals, "source_key")
         rows = latest_per_key(results, keys, ARRIVAL).drop(*ARRIVAL)
         if name == "top_songs_per_genre":
             rows = song_key_columns(rows)
         group = ["genre_date"] if name == "top_songs_per_genre" else ["date"]
         upsert_by_key(targets[name], rows, keys, mode=mode, group=group)
+
+    side_by_side(spark, [partial(load, name) for name in KEYS])
     return targets
 
 
@@ -134,7 +140,7 @@ def _file_away(spark: SparkSession, paths: RunPaths, unit: str) -> None:
     targets = files.join(verdicts, "source_key").select(
         "path", target_key(key, F.col("status")).alias("target")
     )
-    moves = [(row.path, f"{paths.root}/{row.target}") for row in targets.toLocalIterator()]
+    moves = [(row.path, f"{paths.root}/{row.target}") for row in targets.collect()]
     move_all(spark, moves)
 
 
@@ -163,9 +169,8 @@ def run_files(
         if strangers:
             raise ValueError(f"run {run_id} was already done without {strangers[0].path}")
     else:
-        named.write.mode("overwrite").parquet(paths.files)
-        inspect_files(spark, files, root, unit).write.mode("overwrite").parquet(paths.inspection)
-        inspection = spark.read.parquet(paths.inspection)
+        named = written(named, paths.files)
+        inspection = written(inspect_files(spark, files, root, unit), paths.inspection)
         plays = land_plays(spark, inspection, root, paths.plays, unit, formats=formats)
         (
             validate_files(plays, named, inspection, sample_rows=sample_rows, formats=formats)

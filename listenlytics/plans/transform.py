@@ -17,6 +17,7 @@ from ..operators.kpis import (
     top_genres_per_day,
     top_songs_per_genre,
 )
+from ..staging import side_by_side, written
 
 # The tables with their unique keys.
 KEYS = {
@@ -62,18 +63,21 @@ def write_tables(
     The genre ranking reads the KPIs just written, so the plays are scanned twice in
     all: once for the KPIs and once for the song counts.
     """
-    spark = plays.sparkSession
     prefix = prefix.rstrip("/")
     paths = {name: f"{prefix}/{name}" for name in KEYS}
     tables = kpi_tables(plays, songs, by, formats)
 
-    def write(name: str, table: DataFrame) -> None:
-        table.write.mode("overwrite").parquet(paths[name])
+    def write(name: str, table: DataFrame) -> DataFrame:
+        return written(table, paths[name])
 
-    write("daily_genre_kpis", tables["daily_genre_kpis"])
-    write("top_songs_per_genre", tables["top_songs_per_genre"])
-    kpis = spark.read.parquet(paths["daily_genre_kpis"])
-    write("top_genres_per_day", top_genres_per_day(kpis, by=by))
+    def write_genres() -> None:
+        kpis = write("daily_genre_kpis", tables["daily_genre_kpis"])
+        write("top_genres_per_day", top_genres_per_day(kpis, by=by))
+
+    def write_songs() -> None:
+        write("top_songs_per_genre", tables["top_songs_per_genre"])
+
+    side_by_side(plays.sparkSession, [write_genres, write_songs])
     return paths
 
 

@@ -12,12 +12,14 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..files import scanned_path, source_key
 from ..functions import listen_date
+from ..staging import written
 
 PLAY_COLUMNS = ("user_id", "track_id", "listen_time")
 
@@ -56,7 +58,9 @@ def inspect_files(
     for. Lines are instead counted by what they would mean as a header, with hashed
     counters only, and the few groups of a file then show what its first line was.
     """
-    names = F.when(F.lower("value").rlike("|".join(PLAY_COLUMNS)), _header_names(F.col("value")))
+    lower = F.lower("value")
+    named = reduce(or_, [F.contains(lower, F.lit(column)) for column in PLAY_COLUMNS])
+    may_be_header = (F.col("block") == 0) & named
     kinds = (
         spark.read.text(list(paths))
         .select(
@@ -67,7 +71,7 @@ def inspect_files(
         )
         .withColumn("row", F.monotonically_increasing_id())
         .where(F.trim("value") != "")
-        .withColumn("missing", _missing_columns(F.coalesce(names, F.array())))
+        .withColumn("missing", F.when(may_be_header, _missing_columns(_header_names(F.col("value")))))
         .withColumn("header_line", F.when(F.array_size("missing") == 0, F.col("value")))
         .groupBy("file_path", "missing", "header_line")
         .agg(
@@ -89,7 +93,7 @@ def inspect_files(
             source_key(F.col("file_path"), root, unit).alias("source_key"),
             scanned_path(F.col("file_path")).alias("path"),
             "arrived_at",
-            "first.missing",
+            F.coalesce("first.missing", F.lit(sorted(PLAY_COLUMNS))).alias("missing"),
             _header_names(F.col("first.header_line")).alias("header"),
             "line_count",
             "invalid_lines",
@@ -158,7 +162,7 @@ def read_plays(
     """
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
     usable = inspection.where(F.col("header").isNotNull()).select("path", "header")
-    for file in usable.toLocalIterator():
+    for file in usable.collect():
         layouts[tuple(file.header)].append(file.path)
     scans = [
         _read_layout(spark, paths, header, root, unit, keep)
@@ -181,6 +185,4 @@ def land_plays(
     The table also holds the ``date``, so the KPIs need not parse times again.
     """
     rows = read_plays(spark, inspection, root, unit, keep)
-    dated = rows.withColumn("date", listen_date(F.col("listen_time"), formats))
-    dated.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    return written(rows.withColumn("date", listen_date(F.col("listen_time"), formats)), target)
