@@ -18,8 +18,11 @@ def _item_value(name: str, kind: str) -> Column:
     if kind.startswith("timestamp"):
         return _iso_time(value)
     if kind in ("float", "double"):
-        number = F.when(~F.isnan(value), value).cast("double")
-        return F.bround(number, 6).cast("decimal(38,6)")
+        number = F.when(~F.isnan(value), value.cast("double"))
+        infinite = F.raise_error(F.lit(f"{name}: an infinite number has no item form"))
+        return F.when(
+            F.abs(number) == F.lit(float("inf")), infinite.cast("decimal(38,6)")
+        ).otherwise(F.bround(number, 6).cast("decimal(38,6)"))
     return value
 
 
