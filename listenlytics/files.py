@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import quote
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -82,23 +81,24 @@ def plain_path(path: str) -> str:
     return re.sub(_SCHEME, "/", path).rstrip("/")
 
 
-def _decoded(uri: Column) -> Column:
-    plus = F.replace(uri, F.lit("+"), F.lit("%2B"))
-    return F.when(F.contains(uri, F.lit("%")), F.url_decode(plus)).otherwise(uri)
+def decoded(uri: Column) -> Column:
+    """URI-encoded text, as ``_metadata.file_path`` is, in plain form."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
 def scanned_path(file_path: Column) -> Column:
-    """The plain form of ``_metadata.file_path``, which Spark gives URI-encoded."""
-    return _decoded(F.regexp_replace(file_path, _SCHEME, "/"))
+    """The plain path of a ``_metadata.file_path``."""
+    return decoded(F.regexp_replace(file_path, _SCHEME, "/"))
 
 
-def source_key(file_path: Column, root: str, unit: str = "file") -> Column:
-    """The key of a scanned file relative to ``root``; cheap enough to run for every row.
+def source_key(path: Column, root: str, unit: str = "file") -> Column:
+    """The key of a plain path relative to ``root``.
 
     ``unit='directory'`` gives all part files of one folder the folder's key.
     """
-    start = quote(plain_path(root), safe="/:+@&=,$!~*'();") + "/"
-    key = F.substr(file_path, F.instr(file_path, start) + len(start))
-    if unit == "directory":
-        key = F.regexp_replace(key, "/[^/]*$", "")
-    return _decoded(key)
+    key = F.substr(path, F.lit(len(plain_path(root)) + 2))
+    return folder_of(key) if unit == "directory" else key
+
+
+def folder_of(key: Column) -> Column:
+    return F.regexp_replace(key, "/[^/]*$", "")

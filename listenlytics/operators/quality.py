@@ -23,7 +23,7 @@ MIN_ROWS = 1
 MAX_NULL_RATE = 0.05
 SAMPLE_ROWS = 1000
 
-FILE_ORDER = ("path", "block", "row")
+FILE_ORDER = ("part", "block", "row")
 
 
 def _null_rate(column: str) -> Column:

@@ -14,10 +14,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import scanned_path, source_key
+from ..files import decoded, folder_of, plain_path, scanned_path, source_key
 from ..functions import listen_date
 from ..staging import written
 
@@ -50,9 +50,10 @@ def inspect_files(
 ) -> DataFrame:
     """One row for each file that holds any text.
 
-    Columns: source_key, path, arrived_at (modification time), missing (play columns the
-    header lacks), header (its normalised names, null when some are missing), line_count
-    (data lines) and invalid_lines (lines that are not UTF-8). Files without text give no row.
+    Columns: source_key, path, file_path (as Spark's scans name it), arrived_at (modification
+    time), missing (play columns the header lacks), header (its normalised names, null when
+    some are missing), line_count (data lines) and invalid_lines (lines that are not UTF-8).
+    Files without text give no row.
 
     The first line cannot be taken with an aggregate over texts, which Spark would sort
     for. Lines are instead counted by what they would mean as a header, with hashed
@@ -89,9 +90,11 @@ def inspect_files(
             F.sum("invalid").alias("invalid_lines"),
             F.max("arrived_at").alias("arrived_at"),
         )
+        .withColumn("path", scanned_path(F.col("file_path")))
         .select(
-            source_key(F.col("file_path"), root, unit).alias("source_key"),
-            scanned_path(F.col("file_path")).alias("path"),
+            source_key(F.col("path"), root, unit).alias("source_key"),
+            "path",
+            "file_path",
             "arrived_at",
             F.coalesce("first.missing", F.lit(sorted(PLAY_COLUMNS))).alias("missing"),
             _header_names(F.col("first.header_line")).alias("header"),
@@ -101,9 +104,24 @@ def inspect_files(
     )
 
 
+def _row_key(files: Sequence[Row], root: str, unit: str) -> Column:
+    """The source_key of a scanned row.
+
+    It is worked out for every row, so what holds for all files is settled beforehand:
+    where in their paths the key starts, and whether any path needs decoding.
+    """
+    first = files[0]
+    depth = first.path.count("/") - plain_path(root).count("/")
+    start = len(first.file_path.rsplit("/", depth)[0]) + 1
+    key = F.substr(F.col("_metadata.file_path"), F.lit(start + 1))
+    if unit == "directory":
+        key = folder_of(key)
+    return decoded(key) if any("%" in file.file_path for file in files) else key
+
+
 def _read_layout(
     spark: SparkSession,
-    paths: Sequence[str],
+    files: Sequence[Row],
     header: Sequence[str],
     root: str,
     unit: str,
@@ -122,13 +140,13 @@ def _read_layout(
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "whole_line")
-        .csv(list(paths))
+        .csv([file.path for file in files])
     )
     # whole_line is set where the number of fields differs from the header, either way.
     overlong = F.col("whole_line").isNotNull() & (_field_count(F.col("whole_line")) > len(header))
     return rows.select(
-        source_key(F.col("_metadata.file_path"), root, unit).alias("source_key"),
-        F.col("_metadata.file_path").alias("path"),
+        _row_key(files, root, unit).alias("source_key"),
+        (F.col("_metadata.file_name") if unit == "directory" else F.lit("")).alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         *PLAY_COLUMNS,
@@ -141,7 +159,7 @@ def _no_plays(spark: SparkSession, keep: Sequence[str]) -> DataFrame:
     texts = ", ".join(f"`{c}` string" for c in [*PLAY_COLUMNS, *keep])
     return spark.createDataFrame(
         [],
-        "source_key string, path string, block bigint, row bigint, "
+        "source_key string, part string, block bigint, row bigint, "
         f"{texts}, overlong boolean",
     )
 
@@ -155,18 +173,18 @@ def read_plays(
 ) -> DataFrame:
     """Rows of all inspected files whose header holds the play columns.
 
-    Columns: source_key; path, block and row, which give the order of the rows in their
-    file; the play columns and ``keep`` as text; overlong, whether the row has more fields
-    than the header. The file names come to the driver, where Spark's
+    Columns: source_key; part (for folders of part files), block and row, which give the
+    order of the rows; the play columns and ``keep`` as text; overlong, whether the row has
+    more fields than the header. The file names come to the driver, where Spark's
     file index holds them in any case; the number of scans is the number of distinct headers.
     """
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    usable = inspection.where(F.col("header").isNotNull()).select("path", "header")
+    layouts: dict[tuple[str, ...], list[Row]] = defaultdict(list)
+    usable = inspection.where(F.col("header").isNotNull()).select("path", "file_path", "header")
     for file in usable.collect():
-        layouts[tuple(file.header)].append(file.path)
+        layouts[tuple(file.header)].append(file)
     scans = [
-        _read_layout(spark, paths, header, root, unit, keep)
-        for header, paths in sorted(layouts.items())
+        _read_layout(spark, files, header, root, unit, keep)
+        for header, files in sorted(layouts.items())
     ]
     return reduce(DataFrame.unionByName, scans) if scans else _no_plays(spark, keep)
 
@@ -182,7 +200,9 @@ def land_plays(
 ) -> DataFrame:
     """Parse the CSV once into a narrow parquet table at ``target`` and read that.
 
-    The table also holds the ``date``, so the KPIs need not parse times again.
+    The table also holds the ``date``, so the KPIs need not parse times again. The rows
+    of a block stay in order, so their ``row`` is their place in the written file.
     """
-    rows = read_plays(spark, inspection, root, unit, keep)
-    return written(rows.withColumn("date", listen_date(F.col("listen_time"), formats)), target)
+    rows = read_plays(spark, inspection, root, unit, keep).drop("row")
+    landed = written(rows.withColumn("date", listen_date(F.col("listen_time"), formats)), target)
+    return landed.withColumn("row", F.col("_metadata.row_index"))
