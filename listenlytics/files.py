@@ -44,12 +44,13 @@ def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     if not fs.exists(hadoop_path):
         return []
     found = []
+    below = len(plain_path(folder)) + 1
     entries = fs.listFiles(hadoop_path, True)
     while entries.hasNext():
         entry = entries.next()
-        name = entry.getPath().getName()
-        if not name.startswith(("_", ".")):
-            found.append((entry.getPath().toString(), entry.getLen()))
+        path = entry.getPath().toString()
+        if not any(name.startswith(("_", ".")) for name in plain_path(path)[below:].split("/")):
+            found.append((path, entry.getLen()))
     return sorted(found)
 
 
@@ -81,6 +82,11 @@ def plain_path(path: str) -> str:
     return re.sub(_SCHEME, "/", path).rstrip("/")
 
 
+def literal(path: str) -> str:
+    """A path for Spark's readers that stands for this one file, whatever its name holds."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def decoded(uri: Column) -> Column:
     """URI-encoded text, as ``_metadata.file_path`` is, in plain form."""
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))

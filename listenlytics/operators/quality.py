@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import NULL_TOKENS, null_if_token, percent_text, time_is_bad
 from ..session import new_work_folder
-from ..sources.plays import PLAY_COLUMNS
+from ..sources.plays import LANDED_ORDER, PLAY_COLUMNS
 from ..staging import written
 from .topk import first_n_per_group
 
@@ -23,8 +23,6 @@ MIN_ROWS = 1
 MAX_NULL_RATE = 0.05
 SAMPLE_ROWS = 1000
 
-FILE_ORDER = ("part", "block", "row")
-
 
 def _null_rate(column: str) -> Column:
     return (F.count("*") - F.count(column)).cast("double") / F.count("*")
@@ -37,10 +35,10 @@ def _checked(plays: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
     return plays.withColumns({c: null_if_token(F.col(c), null_tokens) for c in texts})
 
 
-def _written_profile(
+def _profile(
     checked: DataFrame, statistics: Sequence[Column], formats: Sequence[str]
 ) -> DataFrame:
-    """One row of statistics for each file, kept as a small table for the later steps."""
+    """One row of statistics for each file, written as a small table for the later steps."""
     profile = checked.groupBy("source_key").agg(
         F.count("*").alias("row_count"),
         _null_rate("user_id").alias("user_id_null_rate"),
@@ -68,11 +66,14 @@ def _bad_times_in_sample(
     suspects = profile.where((F.col("listen_time_bad") > 0) & longer).select("source_key")
     if suspects.isEmpty():
         return profile
+    places = [f"order_{i}" for i in range(len(order))]
     timed = checked.where(F.col("listen_time").isNotNull()).select(
-        "source_key", *order, "listen_time"
+        "source_key",
+        "listen_time",
+        *[F.col(column).alias(place) for column, place in zip(order, places, strict=True)],
     )
     sample = first_n_per_group(
-        timed.join(suspects, "source_key", "left_semi"), ["source_key"], order, sample_rows
+        timed.join(suspects, "source_key", "left_semi"), ["source_key"], places, sample_rows
     )
     counted = sample.groupBy("source_key").agg(
         F.count_if(time_is_bad(F.col("listen_time"), formats)).alias("sample_bad")
@@ -86,7 +87,7 @@ def _bad_times_in_sample(
 
 def profile_files(
     plays: DataFrame,
-    order: Sequence[str] = FILE_ORDER,
+    order: Sequence[str] = LANDED_ORDER,
     sample_rows: int | None = SAMPLE_ROWS,
     null_tokens: Sequence[str] = NULL_TOKENS,
     formats: Sequence[str] = (),
@@ -98,7 +99,7 @@ def profile_files(
     """
     checked = _checked(plays, null_tokens)
     distinct = F.count_distinct("track_id").alias("track_id_distinct")
-    profile = _written_profile(checked, [distinct], formats)
+    profile = _profile(checked, [distinct], formats)
     if sample_rows is None:
         return profile
     return _bad_times_in_sample(checked, profile, order, sample_rows, formats)
@@ -195,7 +196,7 @@ def validate_files(
     plays: DataFrame,
     files: DataFrame | None = None,
     inspection: DataFrame | None = None,
-    order: Sequence[str] = FILE_ORDER,
+    order: Sequence[str] = LANDED_ORDER,
     sample_rows: int | None = SAMPLE_ROWS,
     null_tokens: Sequence[str] = NULL_TOKENS,
     max_null_rate: float = MAX_NULL_RATE,
@@ -216,7 +217,7 @@ def validate_files(
         F.max(track_hash).alias("high_hash"),
         overlong.alias("overlong"),
     ]
-    profile = _written_profile(checked, statistics, formats)
+    profile = _profile(checked, statistics, formats)
     if sample_rows is not None:
         profile = _bad_times_in_sample(checked, profile, order, sample_rows, formats)
     profile = _single_tracks(checked, profile)

@@ -109,11 +109,14 @@ def load_tables(
     arrivals: DataFrame,
     root: str,
     mode: str = "replace",
+    on_duplicate: str = "error",
 ) -> dict[str, str]:
     """Put the result tables of a run into the keyed tables.
 
     The results are per file; where files share a key, the file that arrived last (see
     ``arrivals``: source_key, arrived_at) counts, as if they had been loaded one by one.
+    A track under two names can hold one rank twice: that is an error, or with
+    ``on_duplicate='last'`` the row with the greatest other columns is kept.
     """
     targets = table_paths(root)
 
@@ -124,7 +127,16 @@ def load_tables(
         if name == "top_songs_per_genre":
             rows = song_key_columns(rows)
         group = ["genre_date"] if name == "top_songs_per_genre" else ["date"]
-        upsert_by_key(targets[name], rows, keys, mode=mode, group=group)
+        others = sorted(set(rows.columns) - set(keys))
+        upsert_by_key(
+            targets[name],
+            rows,
+            keys,
+            mode=mode,
+            group=group,
+            on_duplicate=on_duplicate,
+            newest_by=others,
+        )
 
     side_by_side(spark, [partial(load, name) for name in KEYS])
     return targets
@@ -154,6 +166,7 @@ def run_files(
     sample_rows: int | None = SAMPLE_ROWS,
     formats: Sequence[str] = (),
     mode: str = "replace",
+    on_duplicate: str = "error",
     move_files: bool = True,
 ) -> dict[str, str]:
     """Check the files, load the KPIs of the good ones and file all of them away.
@@ -181,7 +194,7 @@ def run_files(
         good = _good_plays(plays, read_verdicts(spark, root, run_id))
         outputs = write_tables(good, songs, paths.output, by=["source_key"])
         arrivals = inspection.groupBy("source_key").agg(F.max("arrived_at").alias("arrived_at"))
-        load_tables(spark, outputs, arrivals, root, mode)
+        load_tables(spark, outputs, arrivals, root, mode, on_duplicate)
         named.limit(0).write.mode("overwrite").parquet(paths.loaded)
     if move_files:
         _file_away(spark, paths, unit)

@@ -17,12 +17,16 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import decoded, folder_of, plain_path, scanned_path, source_key
+from ..files import decoded, folder_of, literal, plain_path, scanned_path, source_key
 from ..functions import listen_date
 from ..staging import written
 
 PLAY_COLUMNS = ("user_id", "track_id", "listen_time")
 
+# The order of the rows of a file: as read, and in the table that land_plays writes.
+READ_ORDER = ("part", "block", "row")
+LANDED_ORDER = ("part", "block", "_metadata.row_index")
+
 # One CSV field after its comma: quoted with doubled quotes, or anything up to the next comma.
 _FIELD = ',("(?:[^"]|"")*"|[^,]*)'
 
@@ -63,7 +67,7 @@ def inspect_files(
     named = reduce(or_, [F.contains(lower, F.lit(column)) for column in PLAY_COLUMNS])
     may_be_header = (F.col("block") == 0) & named
     kinds = (
-        spark.read.text(list(paths))
+        spark.read.text([literal(path) for path in paths])
         .select(
             "value",
             F.col("_metadata.file_path").alias("file_path"),
@@ -140,7 +144,7 @@ def _read_layout(
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "whole_line")
-        .csv([file.path for file in files])
+        .csv([literal(file.path) for file in files])
     )
     # whole_line is set where the number of fields differs from the header, either way.
     overlong = F.col("whole_line").isNotNull() & (_field_count(F.col("whole_line")) > len(header))
@@ -200,9 +204,8 @@ def land_plays(
 ) -> DataFrame:
     """Parse the CSV once into a narrow parquet table at ``target`` and read that.
 
-    The table also holds the ``date``, so the KPIs need not parse times again. The rows
-    of a block stay in order, so their ``row`` is their place in the written file.
+    The table also holds the ``date``, so the KPIs need not parse times again. It has no
+    ``row``: the rows of a block stay in order, see ``LANDED_ORDER``.
     """
     rows = read_plays(spark, inspection, root, unit, keep).drop("row")
-    landed = written(rows.withColumn("date", listen_date(F.col("listen_time"), formats)), target)
-    return landed.withColumn("row", F.col("_metadata.row_index"))
+    return written(rows.withColumn("date", listen_date(F.col("listen_time"), formats)), target)

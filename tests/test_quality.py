@@ -5,7 +5,8 @@ from conftest import rows_of, write_file
 from pyspark.sql import functions as F
 
 from listenlytics.operators import profile_files, validate_files
-from listenlytics.sources import inspect_files, land_plays
+from listenlytics.sources import inspect_files, land_plays, read_plays
+from listenlytics.sources.plays import READ_ORDER
 
 HEADER = "user_id,track_id,listen_time"
 TIME = "2024-01-15 10:00:00"
@@ -66,6 +67,7 @@ CASES = {
     "one_row": (csv(lines(1)), ONE_TRACK),
     "precedence": (csv(lines(tracks=1, null_users=2)), NULLS.format("user_id")),
     "name with +plus %20 & blank": (csv(lines()), ""),
+    "play [1] {a,b}* (x)": (csv(lines()), ""),
 }
 
 
@@ -124,6 +126,10 @@ def test_header_in_a_later_block_is_data(spark, tmp_path):
         assert profile_files(plays, sample_rows=None).first().listen_time_bad == 1
         assert profile_files(plays, sample_rows=20001).first().listen_time_bad == 1
         assert profile_files(plays, sample_rows=20000).first().listen_time_bad == 0
+        read = read_plays(spark, inspection, str(tmp_path))
+        for sample, bad in ((20001, 1), (20000, 0)):
+            profile = profile_files(read, order=READ_ORDER, sample_rows=sample)
+            assert profile.first().listen_time_bad == bad
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")

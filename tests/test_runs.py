@@ -7,7 +7,7 @@ from conftest import rows_of, write_file
 
 from golden import SONGS
 from listenlytics.files import list_files
-from listenlytics.operators import read_keyed, route_files
+from listenlytics.operators import DuplicateKeyError, read_keyed, route_files
 from listenlytics.plans import read_verdicts, run_files, run_inbox, table_paths
 from listenlytics.sources import read_catalogue
 from listenlytics.streaming import run_stream
@@ -127,6 +127,21 @@ def test_an_error_leaves_the_files_and_the_run_can_be_repeated(spark, tmp_path):
     assert kpis(spark, tmp_path) == KPIS_FIRST
 
 
+def test_a_track_under_two_names(spark, tmp_path):
+    text = SONGS + "t1,pop,200000,Alpha (live),Ann\n"
+    songs = read_catalogue(spark, write_file(tmp_path, "raw/songs/songs.csv", text))
+    paths = place(tmp_path, first=FIRST)
+    with pytest.raises(DuplicateKeyError):
+        run_files(spark, paths, songs, str(tmp_path), "r1")
+    assert names(tmp_path, "raw/streams") == ["first.csv"]
+    run_files(spark, paths, songs, str(tmp_path), "r1", on_duplicate="last")
+    top = read_keyed(spark, table_paths(str(tmp_path))["top_songs_per_genre"])
+    assert rows_of(top.where("genre_date = 'pop#2024-01-15'"), "rank", "track_id", "track_name") == [
+        (1, "t1", "Alpha (live)"),
+        (3, "t2", 'Beta "live", cut'),
+    ]
+
+
 def test_empty_inbox(spark, tmp_path):
     assert run_inbox(spark, catalogue(spark, tmp_path), str(tmp_path), "r1") == table_paths(str(tmp_path))
     assert list_files(spark, f"{tmp_path}/none") == []
