@@ -6,7 +6,7 @@ Below one root folder, on storage that all executors share:
     processed/streams/...      files that passed, moved after the load
     quarantine/streams/...     files that failed
     tmp/validation/run=<id>    verdicts as JSON
-    tmp/runs/run=<id>/...      files, inspection and parsed plays of the run
+    tmp/runs/run=<id>/...      files and inspection of the run; the parsed plays until the load
     processed/kpis/run=<id>    the result tables of the run, per file
     tables/<name>              the keyed tables that are served
 
@@ -24,7 +24,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import exists, list_files, move_all, plain_path
+from ..files import delete, exists, list_files, move_all, plain_path
 from ..operators.enrich import BROADCAST_BYTES, sized
 from ..operators.quality import SAMPLE_ROWS, validate_files
 from ..operators.routing import INBOX, KPI_OUTPUT, RESULTS, result_key, target_key
@@ -196,6 +196,7 @@ def run_files(
         arrivals = inspection.groupBy("source_key").agg(F.max("arrived_at").alias("arrived_at"))
         load_tables(spark, outputs, arrivals, root, mode, on_duplicate)
         named.limit(0).write.mode("overwrite").parquet(paths.loaded)
+    delete(spark, paths.plays)
     if move_files:
         _file_away(spark, paths, unit)
     return table_paths(root)

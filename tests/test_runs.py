@@ -224,3 +224,9 @@ def test_stream_repeats_a_batch_that_failed(spark, tmp_path):
     stream(spark, tmp_path, songs)
     assert kpis(spark, tmp_path) == KPIS_FIRST
     assert names(tmp_path, "processed/streams") == ["first.csv"]
+
+
+def test_parsed_plays_do_not_stay(spark, tmp_path):
+    place(tmp_path, first=FIRST)
+    run_inbox(spark, catalogue(spark, tmp_path), f"{tmp_path}/", "r1")
+    assert sorted(os.listdir(tmp_path / "tmp/runs/run=r1")) == ["files", "inspection", "loaded"]
