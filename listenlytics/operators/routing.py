@@ -34,9 +34,10 @@ def target_key(source_key: Column, status: Column) -> Column:
 
 
 def route_files(verdicts: DataFrame) -> DataFrame:
-    """Result and target key of every judged file."""
+    """Result, table and target key of every judged file."""
     return verdicts.select(
         "source_key",
         result_key(F.col("source_key")).alias("result_key"),
+        output_prefix(F.col("source_key")).alias("output_prefix"),
         target_key(F.col("source_key"), F.col("status")).alias("target_key"),
     )

@@ -21,9 +21,10 @@ def top_k_per_group(
     filter into a group limit before the shuffle, which passes on about ``k`` rows of
     each group and task.
 
-    ``ties='keep'``: any number of rows may tie, and a group limit keeps all of them. So
-    the rank is worked out on the distinct order values, of which at most ``k`` matter,
-    and joined back; the rows themselves stay where they are.
+    ``ties='keep'``: any number of rows may tie, and a limit on ``rank`` keeps all of them.
+    So a limit on the row number finds ``k`` rows of each group. They hold every order
+    value that ranks at most ``k``, with its rank, and these values are joined back; the
+    tied rows themselves are never brought together.
     """
     if ties not in ("break", "keep"):
         raise ValueError(f"ties must be 'break' or 'keep', not {ties!r}")
@@ -32,14 +33,12 @@ def top_k_per_group(
         return df.withColumn("rank", F.rank().over(window)).where(F.col("rank") <= k)
 
     keys = [*by, *order]
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
     ranks = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("tied"))
-        .withColumn("place", F.row_number().over(window))
+        df.select(*keys)
+        .withColumns({"place": F.row_number().over(window), "rank": F.rank().over(window)})
         .where(F.col("place") <= k)
-        .withColumn("rank", (F.coalesce(F.sum("tied").over(before), F.lit(0)) + 1).cast("int"))
-        .where(F.col("rank") <= k)
+        .select(*keys, "rank")
+        .distinct()
     )
     same = reduce(and_, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys])
     return (

@@ -208,11 +208,18 @@ SELECT source_key, row_count, user_id_null_rate, track_id_null_rate, listen_time
     "validate_files_all_times": f"WITH {_checked_files(None)}\n{_VERDICTS}",
     "route_files": f"""{_FILES}
 SELECT source_key, concat('tmp/validation/', source_key, '.result.json') AS result_key,
+  concat('processed/kpis/', source_key) AS output_prefix,
   concat(CASE WHEN reason = '' THEN 'processed/streams/' ELSE 'quarantine/streams/' END,
          split_part(source_key, '/', 3)) AS target_key FROM verdict""",
     "passed_files_daily_kpis": f"{_PASSED}\n{_FOUR_KPI_COLUMNS}",
     "csv_enrich_streams": f"{_EVENTS}\nSELECT * FROM enriched",
     "csv_daily_genre_kpis": f"{_EVENTS}\nSELECT * FROM kpis",
+    "csv_file_verdicts": """SELECT concat('raw/streams/type=', event_type) AS source_key,
+  CASE WHEN event_type IN ('click', 'purchase') THEN 'FAILED' ELSE 'PASSED' END AS status,
+  CASE event_type WHEN 'click' THEN 'Missing required columns: [''listen_time'']'
+                  WHEN 'purchase' THEN 'Could not read file: a row has more fields than the header'
+                  ELSE '' END AS reason
+FROM events GROUP BY event_type""",
     "run_verdicts": f"{_FILES}\n{_VERDICTS}",
     "run_daily_genre_kpis": f"{_PASSED}\nSELECT * FROM kpis",
     "run_top_songs_per_genre": f"{_PASSED}\nSELECT * FROM top_songs",

@@ -25,11 +25,10 @@ def _event_track() -> Column:
     return F.regexp_extract("props", "([0-9]+)", 1)
 
 
-def event_plays(events: DataFrame) -> DataFrame:
-    """``events`` as a play log; the number in ``props`` is the track."""
-    return events.select(
-        "event_id", "user_id", _event_track().alias("track_id"), F.col("ts").alias("listen_time")
-    )
+def event_plays(events: DataFrame, *keep: str) -> DataFrame:
+    """``events`` as a play log, with further columns; the number in ``props`` is the track."""
+    track, time = _event_track().alias("track_id"), F.col("ts").alias("listen_time")
+    return events.select("event_id", "user_id", track, time, *keep)
 
 
 def order_plays(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ only: the binary source is pruned to the path and never opens a file.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +28,7 @@ def run_stream(
     max_files_per_trigger: int | None = 1,
     available_now: bool = True,
     sample_rows: int | None = None,
+    unit: str = "file",
     **options,
 ) -> StreamingQuery:
     """One run for every micro-batch of files that arrive below ``raw/streams``.
@@ -37,7 +38,11 @@ def run_stream(
     same tables with fewer jobs. A batch that is replayed after a failure has the same
     run id, finds the files that were not filed away yet, and comes to the same state.
     Empty files are no rows of any Spark source; each batch takes them from the inbox.
+    Folders of part files (``unit='directory'``) must arrive whole, so the files of a
+    batch cannot be limited then.
     """
+    if unit == "directory" and max_files_per_trigger:
+        raise ValueError("unit='directory' needs max_files_per_trigger=None")
     root = root.rstrip("/")
     inbox = f"{root}/{INBOX}"
 
@@ -53,6 +58,7 @@ def run_stream(
                 songs(),
                 root,
                 f"batch-{batch_id}",
+                unit=unit,
                 sample_rows=sample_rows,
                 **options,
             )
@@ -74,20 +80,21 @@ def run_stream(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def stream_into_tables(
-    rows: DataFrame,
-    results: Callable[[DataFrame], dict[str, tuple[DataFrame, tuple[str, ...], str]]],
+def stream_into_table(
+    plays: DataFrame,
+    results: Callable[[DataFrame], DataFrame],
+    target: str,
+    keys: Sequence[str],
     checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Turn every micro-batch of ``rows`` into result rows and upsert them.
+    """Upsert the ``results`` of every micro-batch of ``plays``, a streaming frame.
 
-    ``results`` gives for each name the result rows, their key and the table path.
+    The unit is the micro-batch; one that is replayed puts the same rows again.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        for new, keys, target in results(batch).values():
-            upsert_by_key(target, new, keys)
+        upsert_by_key(target, results(batch), keys)
 
-    writer = rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = plays.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -30,10 +30,10 @@ from .operators import (
 from .operators.routing import INBOX
 from .plans import kpis_by_listen_count, read_verdicts, row_counts, run_inbox
 from .session import new_work_folder
-from .sources import inspect_files, read_catalogue, read_parts, read_plays
+from .sources import inspect_files, land_plays, read_catalogue, read_parts, read_plays
 from .sources.tables import defective_files, event_plays, order_plays, part_catalogue, table
 from .files import list_files
-from .streaming import run_stream, stream_into_tables
+from .streaming import run_stream, stream_into_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -297,6 +297,38 @@ def csv_daily_genre_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_genre_kpis(plays, songs)
 
 
+def csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of CSV files for each event type, with differing headers and widths.
+
+    Clicks lack the time, purchases have a field too many in some rows, errors have
+    another column order, sign-ups other letter cases.
+    """
+    root = new_work_folder(spark, "csv")
+    text = {c: F.col(c).cast("string").alias(c) for c in ("user_id", "track_id", "listen_time")}
+    log = event_plays(table(spark, sf_dir, "events"), "event_type")
+    longer = F.when(F.col("event_id") % 2 == 0, F.concat(text["listen_time"], F.lit(",late")))
+    layouts = {
+        "click": ["user_id", "track_id"],
+        "purchase": [
+            "user_id",
+            "track_id",
+            F.coalesce(longer, text["listen_time"]).alias("listen_time"),
+        ],
+        "error": [text["listen_time"], "user_id", "track_id", "event_id"],
+        "signup": [text[c].alias(c.upper()) for c in text],
+        "view": [*text.values()],
+    }
+    for kind, columns in layouts.items():
+        rows = log.where(F.col("event_type") == kind).select(*columns)
+        writer = rows.write.option("header", True).option("quote", "\u0000")
+        writer.csv(f"{root}/{INBOX}/type={kind}")
+    paths = [path for path, _ in list_files(spark, f"{root}/{INBOX}")]
+    inspection = inspect_files(spark, paths, root, "directory")
+    plays = land_plays(spark, inspection, root, f"{root}/plays", "directory")
+    folders = spark.createDataFrame([(f"{INBOX}/type={kind}",) for kind in layouts], "source_key string")
+    return validate_files(plays, folders, inspection)
+
+
 def _run(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
     root = new_work_folder(spark, "run")
     songs = _catalogue_csv(spark, sf_dir, root)
@@ -349,11 +381,13 @@ def stream_daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
         .parquet(sf_dir)
     )
 
-    def results(plays: DataFrame) -> dict:
-        kpis = daily_genre_kpis(plays, songs)
-        return {"daily_genre_kpis": (kpis, ("genre", "date"), target)}
+    def kpis(plays: DataFrame) -> DataFrame:
+        return daily_genre_kpis(plays, songs)
 
-    stream_into_tables(event_plays(events), results, f"{folder}/checkpoint").awaitTermination()
+    query = stream_into_table(
+        event_plays(events), kpis, target, ["genre", "date"], f"{folder}/checkpoint"
+    )
+    query.awaitTermination()
     return read_keyed(spark, target)
 
 
@@ -411,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "passed_files_daily_kpis": passed_files_daily_kpis,
     "csv_enrich_streams": csv_enrich_streams,
     "csv_daily_genre_kpis": csv_daily_genre_kpis,
+    "csv_file_verdicts": csv_file_verdicts,
     "run_verdicts": run_verdicts,
     "run_daily_genre_kpis": run_daily_kpis,
     "run_top_songs_per_genre": run_top_songs,

@@ -175,12 +175,34 @@ def test_routes(spark):
         "source_key string, status string",
     )
     assert rows_of(route_files(verdicts)) == [
-        ("raw/streams/a.csv", "tmp/validation/raw/streams/a.csv.result.json", "processed/streams/a.csv"),
-        ("raw/streams/b.csv", "tmp/validation/raw/streams/b.csv.result.json", "quarantine/streams/b.csv"),
-        ("raw/streams/x/b.csv", "tmp/validation/raw/streams/x/b.csv.result.json", "quarantine/streams/x/b.csv"),
+        (key, f"tmp/validation/{key}.result.json", f"processed/kpis/{key}", target)
+        for key, target in (
+            ("raw/streams/a.csv", "processed/streams/a.csv"),
+            ("raw/streams/b.csv", "quarantine/streams/b.csv"),
+            ("raw/streams/x/b.csv", "quarantine/streams/x/b.csv"),
+        )
     ]
 
 
+def test_stream_repeats_a_batch_whose_files_were_moved(spark, tmp_path):
+    """The query died after the files were filed away, before the batch was committed."""
+    songs = catalogue(spark, tmp_path)
+    place(tmp_path, first=FIRST, other=OTHER_DAY)
+    stream(spark, tmp_path, songs, max_files_per_trigger=None)
+    before = kpis(spark, tmp_path)
+    for name in ("0", ".0.crc"):
+        os.remove(tmp_path / "checkpoint/commits" / name)
+    place(tmp_path, second=SECOND)
+    stream(spark, tmp_path, songs, max_files_per_trigger=None)
+    assert kpis(spark, tmp_path) == sorted([("pop", "2024-01-15", 2, 1), *before[:1], *before[2:]])
+    assert names(tmp_path, "processed/streams") == ["first.csv", "other.csv", "second.csv"]
+
+
+def test_stream_of_folders_takes_whole_folders(spark, tmp_path):
+    with pytest.raises(ValueError, match="max_files_per_trigger"):
+        stream(spark, tmp_path, None, unit="directory")
+
+
 def stream(spark, root, songs, **options):
     query = run_stream(spark, lambda: songs, str(root), f"{root}/checkpoint", **options)
     query.awaitTermination()
