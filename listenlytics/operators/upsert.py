@@ -47,10 +47,12 @@ def finish_pending(spark: SparkSession, target: str, partition: str = "date") ->
 
 
 def read_keyed(spark: SparkSession, target: str, schema: str | None = None) -> DataFrame:
-    """The table at ``target``; with ``schema`` an absent table reads as empty."""
-    if schema is not None and not any_match(spark, f"{target}/*=*"):
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(target)
+    """The table at ``target``; ``schema`` names its columns, and an absent table is empty then."""
+    if schema is None:
+        return spark.read.parquet(target)
+    if any_match(spark, f"{target}/*=*"):
+        return spark.read.schema(schema).parquet(target)
+    return spark.createDataFrame([], schema)
 
 
 def _one_row_per_key(
@@ -96,9 +98,12 @@ def upsert_by_key(
     new = _one_row_per_key(written(rows, arrived), keys, on_duplicate, newest_by)
     if any_match(spark, f"{target}/*=*"):
         replaced = list(group or [partition]) if mode == "replace_group" else list(keys)
+        # As values, so that the scan opens these folders only; they are no more than the folders.
+        touched = [row[0] for row in new.select(partition).distinct().collect()]
         kept = (
-            spark.read.parquet(target)
-            .join(new.select(partition).distinct(), partition, "left_semi")
+            spark.read.schema(new.schema)
+            .parquet(target)
+            .where(F.col(partition).isin(touched))
             .join(new.select(*replaced).distinct(), replaced, "left_anti")
         )
         new = written(kept.select(*rows.columns).unionByName(new), pending)

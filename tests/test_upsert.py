@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 
 import pytest
 from conftest import rows_of
@@ -53,6 +54,10 @@ def test_only_touched_days_are_rewritten(spark, tmp_path):
     before = sorted(os.listdir(day))
     upsert_by_key(target, frame(spark, ("c", "2024-01-01", 1)), KEYS)
     assert sorted(os.listdir(day)) == before
+    shutil.rmtree(day)
+    day.mkdir()
+    (day / "unreadable.parquet").write_text("not opened")
+    upsert_by_key(target, frame(spark, ("d", "2024-01-01", 1)), KEYS)
     assert sorted(os.listdir(tmp_path)) == ["t"]
 
 
