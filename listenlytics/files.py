@@ -82,11 +82,24 @@ def plain_path(path: str) -> str:
     return re.sub(_SCHEME, "/", path).rstrip("/")
 
 
+def absolute(spark: SparkSession, path: str) -> str:
+    """A path as Spark names it: relative ones start at the file system's working folder."""
+    if path.startswith("/") or re.match(_SCHEME, path):
+        return path
+    fs, hadoop_path = _open(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def literal(path: str) -> str:
     """A path for Spark's readers that stands for this one file, whatever its name holds."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def without_scheme(path: Column) -> Column:
+    """``plain_path`` as a column expression."""
+    return F.regexp_replace(path, _SCHEME, "/")
+
+
 def decoded(uri: Column) -> Column:
     """URI-encoded text, as ``_metadata.file_path`` is, in plain form."""
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
@@ -94,7 +107,7 @@ def decoded(uri: Column) -> Column:
 
 def scanned_path(file_path: Column) -> Column:
     """The plain path of a ``_metadata.file_path``."""
-    return decoded(F.regexp_replace(file_path, _SCHEME, "/"))
+    return decoded(without_scheme(file_path))
 
 
 def source_key(path: Column, root: str, unit: str = "file") -> Column:

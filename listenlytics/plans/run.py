@@ -24,7 +24,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import delete, exists, list_files, move_all, plain_path
+from ..files import absolute, delete, exists, list_files, move_all, plain_path, without_scheme
 from ..operators.enrich import BROADCAST_BYTES, sized
 from ..operators.quality import SAMPLE_ROWS, validate_files
 from ..operators.routing import INBOX, KPI_OUTPUT, RESULTS, result_key, target_key
@@ -87,8 +87,12 @@ def read_verdicts(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 def _named_files(
     spark: SparkSession, paths: Sequence[str], root: str, unit: str
 ) -> DataFrame:
-    start = len(plain_path(root)) + 1
-    keys = [plain_path(path)[start:] for path in paths]
+    prefix = plain_path(absolute(spark, root)) + "/"
+    paths = [absolute(spark, path) for path in paths]
+    strangers = [path for path in paths if not plain_path(path).startswith(prefix)]
+    if strangers:
+        raise ValueError(f"{strangers[0]} does not lie below {root}")
+    keys = [plain_path(path)[len(prefix) :] for path in paths]
     if unit == "directory":
         keys = [key.rpartition("/")[0] for key in keys]
     return spark.createDataFrame(list(zip(keys, paths, strict=True)), "source_key string, path string")
@@ -178,7 +182,9 @@ def run_files(
     paths = RunPaths(root, run_id)
     named = _named_files(spark, files, root, unit)
     if exists(spark, f"{paths.loaded}/_SUCCESS"):
-        strangers = named.join(spark.read.parquet(paths.files), "path", "left_anti").head(1)
+        done = spark.read.parquet(paths.files).select(without_scheme(F.col("path")).alias("place"))
+        named = named.withColumn("place", without_scheme(F.col("path")))
+        strangers = named.join(done, "place", "left_anti").head(1)
         if strangers:
             raise ValueError(f"run {run_id} was already done without {strangers[0].path}")
     else:

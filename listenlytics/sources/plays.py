@@ -9,7 +9,6 @@ needed columns as parquet for the check and for every KPI.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -17,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import decoded, folder_of, literal, plain_path, scanned_path, source_key
+from ..files import absolute, decoded, folder_of, literal, plain_path, scanned_path, source_key
 from ..functions import listen_date
 from ..staging import written
 
@@ -63,6 +62,7 @@ def inspect_files(
     for. Lines are instead counted by what they would mean as a header, with hashed
     counters only, and the few groups of a file then show what its first line was.
     """
+    root = absolute(spark, root)
     lower = F.lower("value")
     named = reduce(or_, [F.contains(lower, F.lit(column)) for column in PLAY_COLUMNS])
     may_be_header = (F.col("block") == 0) & named
@@ -108,32 +108,31 @@ def inspect_files(
     )
 
 
-def _row_key(files: Sequence[Row], root: str, unit: str) -> Column:
+def _row_key(layout: Row, root: str, unit: str) -> Column:
     """The source_key of a scanned row.
 
     It is worked out for every row, so what holds for all files is settled beforehand:
     where in their paths the key starts, and whether any path needs decoding.
     """
-    first = files[0]
-    depth = first.path.count("/") - plain_path(root).count("/")
-    start = len(first.file_path.rsplit("/", depth)[0]) + 1
+    depth = layout.sample.path.count("/") - plain_path(root).count("/")
+    start = len(layout.sample.file_path.rsplit("/", depth)[0]) + 1
     key = F.substr(F.col("_metadata.file_path"), F.lit(start + 1))
     if unit == "directory":
         key = folder_of(key)
-    return decoded(key) if any("%" in file.file_path for file in files) else key
+    return decoded(key) if layout.encoded else key
 
 
 def _read_layout(
     spark: SparkSession,
-    files: Sequence[Row],
-    header: Sequence[str],
+    layout: Row,
+    paths: Sequence[str],
     root: str,
     unit: str,
     keep: Sequence[str],
 ) -> DataFrame:
     wanted = [*PLAY_COLUMNS, *keep]
     names, seen = [], set()
-    for position, name in enumerate(header):
+    for position, name in enumerate(layout.header):
         usable = name in wanted and name not in seen
         names.append(name if usable else f"unused_{position}")
         seen.add(name)
@@ -144,12 +143,12 @@ def _read_layout(
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "whole_line")
-        .csv([literal(file.path) for file in files])
+        .csv([literal(path) for path in paths])
     )
     # whole_line is set where the number of fields differs from the header, either way.
-    overlong = F.col("whole_line").isNotNull() & (_field_count(F.col("whole_line")) > len(header))
+    overlong = F.col("whole_line").isNotNull() & (_field_count(F.col("whole_line")) > len(layout.header))
     return rows.select(
-        _row_key(files, root, unit).alias("source_key"),
+        _row_key(layout, root, unit).alias("source_key"),
         (F.col("_metadata.file_name") if unit == "directory" else F.lit("")).alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
@@ -182,14 +181,20 @@ def read_plays(
     more fields than the header. The file names come to the driver, where Spark's
     file index holds them in any case; the number of scans is the number of distinct headers.
     """
-    layouts: dict[tuple[str, ...], list[Row]] = defaultdict(list)
-    usable = inspection.where(F.col("header").isNotNull()).select("path", "file_path", "header")
-    for file in usable.collect():
-        layouts[tuple(file.header)].append(file)
-    scans = [
-        _read_layout(spark, files, header, root, unit, keep)
-        for header, files in sorted(layouts.items())
-    ]
+    root = absolute(spark, root)
+    usable = inspection.where(F.col("header").isNotNull())
+    layouts = (
+        usable.groupBy("header")
+        .agg(
+            F.first(F.struct("path", "file_path")).alias("sample"),
+            F.bool_or(F.contains("file_path", F.lit("%"))).alias("encoded"),
+        )
+        .collect()
+    )
+    scans = []
+    for layout in sorted(layouts, key=lambda row: row.header):
+        files = usable.where(F.col("header") == F.lit(layout.header)).select("path").collect()
+        scans.append(_read_layout(spark, layout, [f.path for f in files], root, unit, keep))
     return reduce(DataFrame.unionByName, scans) if scans else _no_plays(spark, keep)
 
 

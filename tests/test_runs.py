@@ -142,6 +142,20 @@ def test_a_track_under_two_names(spark, tmp_path):
     ]
 
 
+def test_relative_paths(spark, tmp_path):
+    songs = catalogue(spark, tmp_path)
+    (path,) = place(tmp_path, first=FIRST)
+    root = os.path.relpath(tmp_path)
+    run_files(spark, [os.path.relpath(path)], songs, root, "r1")
+    assert rows_of(read_verdicts(spark, root, "r1"), "source_key", "status") == [
+        ("raw/streams/first.csv", "PASSED")
+    ]
+    assert kpis(spark, tmp_path) == KPIS_FIRST
+    assert names(tmp_path, "processed/streams") == ["first.csv"]
+    with pytest.raises(ValueError, match="does not lie below"):
+        run_files(spark, ["/elsewhere/x.csv"], songs, root, "r2")
+
+
 def test_empty_inbox(spark, tmp_path):
     assert run_inbox(spark, catalogue(spark, tmp_path), str(tmp_path), "r1") == table_paths(str(tmp_path))
     assert list_files(spark, f"{tmp_path}/none") == []
