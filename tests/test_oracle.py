@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import DataFrame
 
 import __spark_entry__ as entry_points
+from listenlytics.oracle import ORACLE_SQL
+from listenlytics.workloads import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -28,7 +30,9 @@ def same_order(rows):
 
 
 def test_names():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
@@ -36,10 +40,10 @@ def test_entry(spark):
     assert isinstance(result, DataFrame) and result.count() == 179
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, connection, name):
-    result = entry_points.queries()[name](spark, sf_dir)
-    expected = connection.sql(entry_points.oracle_sql()[name])
+    result = QUERIES[name](spark, sf_dir)
+    expected = connection.sql(ORACLE_SQL[name])
     columns = sorted(result.columns)
     assert columns == sorted(expected.columns)
     got = same_order(tuple(row[c] for c in columns) for row in result.collect())
