@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .benchmarks import contaminations
 from .bpe import public_vocabulary, token_digests
 from .gam import quality_scores
+from .hosts import JUDGE_SQL, judge_urls
+from .jaccard import jaccard_components
+from .licenses import SCAN_SQL, license_scan
+from .pages import extract_pages
 from .secrets import secret_spans
 from .toxicity import toxicity_scores
 from .weakrules import quality_verdicts
@@ -20,6 +25,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label of its id: good when of quality and not toxic."""
+    outcomes = _table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
+    )
+    return judge_urls(_table(spark, sf_dir, "pages"), outcomes)
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -28,6 +45,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items in each document; word spans, ends exclusive."""
+    return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(_table(spark, sf_dir, "documents"))
     spans = F.transform(
@@ -53,12 +79,24 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents"), *public_vocabulary())
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_html_extraction": op2_html_extraction,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_secret_scans": op7_secret_scans,
     "op8_toxicity": op8_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_license_scans": op10_license_scans,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": JUDGE_SQL,
+    "op10_license_scans": SCAN_SQL,
+}

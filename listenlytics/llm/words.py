@@ -6,6 +6,9 @@ as a maximal run of such characters.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +26,31 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Separators of words that hold only letters, digits and characters beyond ASCII.
+NOT_ALPHANUMERIC = np.zeros(256, bool)
+NOT_ALPHANUMERIC[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+_shipped: dict[str, str] = {}
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Fewer rows in each batch that goes to Python, so that long texts fit in memory."""
+    """Ready a session for Python tasks on texts.
+
+    Fewer rows go to Python in each batch, so that long texts fit in memory, and Spark hands
+    this package to every executor, once in each application.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="listenlytics-"), "listenlytics")
+        _shipped[context.applicationId] = shutil.make_archive(
+            archive, "zip", os.path.dirname(package), os.path.basename(package)
+        )
+        context.addPyFile(_shipped[context.applicationId])
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,11 +92,13 @@ class TextBlock:
     the first word, one entry more than texts.
     """
 
-    def __init__(self, data: np.ndarray, text_start: np.ndarray, lower: bool):
+    def __init__(
+        self, data: np.ndarray, text_start: np.ndarray, lower: bool, separators: np.ndarray = SPACE
+    ):
         if lower:
             data = _LOWER[data]
         self.data, self.text_start = data, text_start
-        inside = ~SPACE[data]
+        inside = ~separators[data]
         edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
         self.starts = np.flatnonzero(edges == 1)
         self.ends = np.flatnonzero(edges == -1)
@@ -86,7 +109,10 @@ class TextBlock:
 
 
 def text_blocks(
-    column: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTES
+    column: pa.Array,
+    lower: bool = False,
+    separators: np.ndarray = SPACE,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> Iterator[tuple[int, int, TextBlock]]:
     """Blocks of about ``chunk_bytes`` (one text at least) as (first row, row behind the last, block).
 
@@ -103,7 +129,7 @@ def text_blocks(
             last += 1
         data = np.frombuffer(b" ".join([*texts[first:last], b""]), np.uint8)
         lengths = np.array([len(t) + 1 for t in texts[first:last]], np.int64)
-        yield first, last, TextBlock(data, np.concatenate(([0], np.cumsum(lengths))), lower)
+        yield first, last, TextBlock(data, np.concatenate(([0], np.cumsum(lengths))), lower, separators)
         first = last
 
 
