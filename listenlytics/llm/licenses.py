@@ -27,11 +27,16 @@ class Template:
     label: str
     text: str
     base: bool = False
+    needed: str = ""  # a pair that tells it from similar notices
 
     def pairs(self) -> list[tuple[str, str]]:
         words = self.text.split()
         return list(zip(words, words[1:], strict=False))
 
+    def needed_place(self) -> int:
+        """The place of the needed pair, -1 if there is none."""
+        return self.pairs().index(tuple(self.needed.split())) if self.needed else -1
+
 
 # The base phrases, then notices in their usual wording.
 TEMPLATES = (
@@ -39,12 +44,12 @@ TEMPLATES = (
     Template("apache", "apache license", True),
     Template("cc-by", "cc by", True),
     Template("mit", "mit license", True),
-    Template("gpl-3.0", "licensed under the gnu general public license version 3"),
-    Template("gpl-2.0", "licensed under the gnu general public license version 2"),
-    Template("lgpl", "gnu lesser general public license"),
-    Template("apache-2.0", "licensed under the apache license version 2 0"),
-    Template("cc-by-nc", "licensed under cc by nc 4 0"),
-    Template("cc-by-sa", "licensed under cc by sa 4 0"),
+    Template("gpl-3.0", "licensed under the gnu general public license version 3", needed="version 3"),
+    Template("gpl-2.0", "licensed under the gnu general public license version 2", needed="version 2"),
+    Template("lgpl", "gnu lesser general public license", needed="gnu lesser"),
+    Template("apache-2.0", "licensed under the apache license version 2 0", needed="version 2"),
+    Template("cc-by-nc", "licensed under cc by nc 4 0", needed="by nc"),
+    Template("cc-by-sa", "licensed under cc by sa 4 0", needed="by sa"),
     Template("mit", "released under the mit license"),
     Template(
         "mit",
@@ -57,7 +62,7 @@ TEMPLATES = (
         "redistribution and use in source and binary forms with or without modification are "
         "permitted provided that the following conditions are met",
     ),
-    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
+    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", needed="mozilla public"),
     Template("all-rights-reserved", "all rights reserved"),
 )
 
@@ -116,16 +121,20 @@ def license_scan(
         .withColumn("_run", F.sum("_fresh").over(in_order))
         .groupBy("_id", "_row", "template", "base", "_run")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("_places")))).alias("_hits"),
+            F.array_distinct(F.flatten(F.collect_list("_places"))).alias("_places"),
             F.min("_from").alias("_from"),
             F.max("_to").alias("_to"),
         )
+        .withColumn("_hits", F.size("_places"))
     )
     sizes = F.array(*[F.lit(len(t.pairs())) for t in templates])
     labels = F.array(*[F.lit(t.label) for t in templates])
+    needed = F.array(*[F.lit(t.needed_place()) for t in templates])[F.col("template")]
     size, end = sizes[F.col("template")], F.col("template") == -1
     verified = F.when(F.col("base"), F.col("_hits") == size).otherwise(
-        (F.col("_hits") >= MIN_SHARE * size) & (F.col("_to") - F.col("_from") < 2 * size)
+        (F.col("_hits") >= MIN_SHARE * size)
+        & (F.col("_to") - F.col("_from") < 2 * size)
+        & ((needed < 0) | F.array_contains("_places", needed))
     )
     finds = runs.where(end | verified).withColumns(
         {
@@ -158,7 +167,7 @@ def license_scan(
 
 def _template_sql() -> str:
     rows = [
-        f"('{a}', '{b}', {number}, {str(t.base).lower()}, {place}, {len(t.pairs())}, '{t.label}')"
+        f"('{a}', '{b}', {number}, {str(t.base).lower()}, {place}, {len(t.pairs())}, {t.needed_place()}, '{t.label}')"
         for number, t in enumerate(TEMPLATES)
         for place, (a, b) in enumerate(t.pairs())
     ]
@@ -166,7 +175,7 @@ def _template_sql() -> str:
 
 
 SCAN_SQL = rf"""
-WITH templates(w0, w1, template, base, place, size, label) AS (VALUES
+WITH templates(w0, w1, template, base, place, size, needed, label) AS (VALUES
     {_template_sql()}),
 worded AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
@@ -175,7 +184,7 @@ rolled AS (
   SELECT doc_id, unnest(words[:-2]) AS w0, unnest(words[2:]) AS w1, unnest(range(len(words) - 1)) AS spot
   FROM worded WHERE len(words) > 1),
 diagonals AS (
-  SELECT doc_id, template, base, size, label, spot - place AS diagonal, list(DISTINCT place) AS places,
+  SELECT doc_id, template, base, size, needed, label, spot - place AS diagonal, list(DISTINCT place) AS places,
     min(spot) AS a, max(spot) AS b
   FROM rolled JOIN templates USING (w0, w1) GROUP BY ALL),
 marked AS (
@@ -184,11 +193,13 @@ marked AS (
 numbered AS (
   SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS run FROM marked),
 runs AS (
-  SELECT doc_id, template, base, size, label, run, len(list_distinct(flatten(list(places)))) AS hits,
+  SELECT doc_id, template, base, size, needed, label, run, list_distinct(flatten(list(places))) AS found,
     min(a) AS a, max(b) AS b
   FROM numbered GROUP BY ALL),
 finds AS (
-  SELECT * FROM runs WHERE CASE WHEN base THEN hits = size ELSE hits >= {MIN_SHARE} * size AND b - a < 2 * size END)
+  SELECT *, len(found) AS hits FROM runs
+  WHERE CASE WHEN base THEN len(found) = size ELSE len(found) >= {MIN_SHARE} * size AND b - a < 2 * size
+    AND (needed < 0 OR list_contains(found, needed)) END)
 SELECT doc_id, len(any_value(words)) AS n_words, count(*) FILTER (base) AS n_base,
   min(a) FILTER (base) AS first_word, max(a) FILTER (base) AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,

@@ -110,7 +110,7 @@ def _as_text(data: bytes) -> str | None:
         try:
             data = zlib.decompressobj(wbits).decompress(data, MAX_LAYER)
         except zlib.error:
-            return None
+            break
     try:
         text = data.decode()
     except UnicodeDecodeError:

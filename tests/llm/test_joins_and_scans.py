@@ -64,7 +64,7 @@ def near_copies(rng, base, n, most):
     for _ in range(n):
         words = list(base)
         for _ in range(rng.randint(0, most)):
-            words[rng.randrange(len(words))] = f"new{rng.random()}"
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**9)}"
         yield " ".join(words)
 
 
@@ -153,7 +153,7 @@ def test_edited_items_reach_the_recall():
             words = list(item)
             for _ in range(benchmarks.max_edits(len(item))):
                 place, kind = rng.randrange(len(words)), rng.randrange(3)
-                words[place : place + (kind > 0)] = [] if kind == 2 else [f"x{rng.random()}"]
+                words[place : place + (kind > 0)] = [] if kind == 2 else [f"x{rng.randrange(10**9)}"]
             around = [[rng.choice(vocabulary) for _ in range(rng.randint(0, 80))] for _ in range(2)]
             truth.add((len(texts), number))
             texts.append(" ".join([*around[0], *words, *around[1]]))

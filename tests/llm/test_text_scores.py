@@ -21,7 +21,7 @@ DOCS = "doc_id long, text string, score double, _text string, pattern string, n_
 
 def odd_docs(spark):
     """Nulls, empty, long, repeated rows, and columns whose names the operators use."""
-    fine = "The house of the man is in the old town. It was good to see them. " * 3
+    fine = "The house of the man is in the old town. It was good to see all of them by day and at night."
     rows = [
         (1, fine), (1, fine), (2, None), (3, ""), (None, fine), (4, " \n\t"),
         (5, "spam spam spam spam spam spam spam spam spam spam spam spam"), (6, "word " * 200_000),
