@@ -7,12 +7,16 @@ commit protocol; file contents never do.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+from typing import NamedTuple
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-MOVE_THREADS = 16
+FILE_THREADS = 16
+PORTION = 1000
 
 
 def _open(spark: SparkSession, path: str):
@@ -35,8 +39,40 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
-    """All visible files below ``folder`` as (path, bytes), empty files included.
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    fs, hadoop_path = _open(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with ``text``, replacing an older one."""
+    fs, hadoop_path = _open(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; ``target`` must not be there."""
+    fs, source_path = _open(spark, source)
+    _, target_path = _open(spark, target)
+    if not fs.rename(source_path, target_path):
+        raise OSError(f"could not move {source} to {target}")
+
+
+class Arrival(NamedTuple):
+    """One version of a file: sent again under its name, it is another arrival."""
+
+    path: str
+    length: int
+    modified: int  # milliseconds
+
+
+def list_arrivals(spark: SparkSession, folder: str) -> list[Arrival]:
+    """All visible files below ``folder`` in the order they arrived, empty files included.
 
     Spark's own file scans skip zero-byte files, so they can only be found here.
     """
@@ -50,28 +86,54 @@ def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
         entry = entries.next()
         path = entry.getPath().toString()
         if not any(name.startswith(("_", ".")) for name in plain_path(path)[below:].split("/")):
-            found.append((path, entry.getLen()))
-    return sorted(found)
+            found.append(Arrival(path, entry.getLen(), entry.getModificationTime()))
+    return sorted(found, key=lambda a: (a.modified, a.path))
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Move one file, replacing an older one of the same name."""
-    fs, source_path = _open(spark, source)
-    _, target_path = _open(spark, target)
-    if not fs.exists(source_path):
+def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """All visible files below ``folder`` as (path, bytes), empty files included."""
+    return sorted((a.path, a.length) for a in list_arrivals(spark, folder))
+
+
+def arrival(spark: SparkSession, path: str) -> Arrival | None:
+    """The version of a file that lies at ``path`` now."""
+    fs, hadoop_path = _open(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    status = fs.getFileStatus(hadoop_path)
+    return Arrival(path, status.getLen(), status.getModificationTime())
+
+
+def move(spark: SparkSession, source: Arrival, target: str) -> None:
+    """Move one file, replacing an older one of the same name.
+
+    A file that is gone was moved by an earlier attempt; another version that has
+    arrived in its place stays.
+    """
+    if arrival(spark, source.path) != source:
         return
+    fs, source_path = _open(spark, source.path)
+    _, target_path = _open(spark, target)
     fs.mkdirs(target_path.getParent())
     if fs.exists(target_path):
         fs.delete(target_path, False)
     if not fs.rename(source_path, target_path):
-        raise OSError(f"could not move {source} to {target}")
+        raise OSError(f"could not move {source.path} to {target}")
+
+
+def in_portions(items: Iterable, size: int) -> Iterator[list]:
+    """Lists of up to ``size`` items, the next one taken when it is asked for."""
+    rest = iter(items)
+    while portion := list(islice(rest, size)):
+        yield portion
 
 
-def move_all(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
-    """Move many files; a file that is already gone was moved by an earlier attempt."""
-    with ThreadPoolExecutor(MOVE_THREADS) as pool:
-        for _ in pool.map(lambda pair: move(spark, *pair), pairs):
-            pass
+def for_each(action: Callable, items: Iterable) -> None:
+    """Call ``action`` with every item, some at a time, holding no more than a portion of them."""
+    with ThreadPoolExecutor(FILE_THREADS) as pool:
+        for portion in in_portions(items, PORTION):
+            for _ in pool.map(action, portion):
+                pass
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/+"

@@ -9,8 +9,14 @@ _FRACTION_BITS = 50
 
 
 def to_long(value: Column) -> Column:
-    """Whole number of a text or number; null instead of an error."""
-    return value.try_cast("bigint")
+    """Whole number of a text or number; null instead of an error.
+
+    A fraction is cut off. Whole numbers are read as such, so they are exact beyond 2^53;
+    only what is no whole number is read as a decimal.
+    """
+    return F.coalesce(
+        value.try_cast("bigint"), value.try_cast("decimal(38,18)").try_cast("bigint")
+    )
 
 
 def percent_text(rate: Column) -> Column:

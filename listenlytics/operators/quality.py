@@ -21,7 +21,6 @@ from .topk import first_n_per_group
 # The limits of the check.
 MIN_ROWS = 1
 MAX_NULL_RATE = 0.05
-SAMPLE_ROWS = 1000
 
 
 def _null_rate(column: str) -> Column:
@@ -36,7 +35,7 @@ def _checked(plays: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
 
 
 def _profile(
-    checked: DataFrame, statistics: Sequence[Column], formats: Sequence[str]
+    checked: DataFrame, statistics: Sequence[Column], formats: Sequence[str], work: str | None = None
 ) -> DataFrame:
     """One row of statistics for each file, written as a small table for the later steps."""
     profile = checked.groupBy("source_key").agg(
@@ -47,7 +46,7 @@ def _profile(
         F.count_if(time_is_bad(F.col("listen_time"), formats)).alias("listen_time_bad"),
         *statistics,
     )
-    return written(profile, new_work_folder(checked.sparkSession, "profile"))
+    return written(profile, work or new_work_folder(checked.sparkSession, "profile"))
 
 
 def _bad_times_in_sample(
@@ -88,14 +87,14 @@ def _bad_times_in_sample(
 def profile_files(
     plays: DataFrame,
     order: Sequence[str] = LANDED_ORDER,
-    sample_rows: int | None = SAMPLE_ROWS,
+    sample_rows: int | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     formats: Sequence[str] = (),
 ) -> DataFrame:
     """Statistics of each file: rows, null rates, times present, bad times, distinct tracks.
 
-    ``order`` gives the order of the rows in a file; ``sample_rows=None`` counts bad
-    times in the whole file instead of its first rows.
+    Bad times are counted in the whole file; with ``sample_rows`` only among the first
+    that many non-null times, in the ``order`` of the rows.
     """
     checked = _checked(plays, null_tokens)
     distinct = F.count_distinct("track_id").alias("track_id_distinct")
@@ -145,6 +144,7 @@ def _with_files(profile: DataFrame, files: DataFrame, inspection: DataFrame) ->
 def _reason(max_null_rate: float, min_rows: int) -> Column:
     """The first rule that a file breaks, as text; empty when it breaks none."""
 
+    # The texts of the reasons.
     def could_not_read(problem: str) -> Column:
         return F.lit(f"Could not read file: {problem}")
 
@@ -197,17 +197,20 @@ def validate_files(
     files: DataFrame | None = None,
     inspection: DataFrame | None = None,
     order: Sequence[str] = LANDED_ORDER,
-    sample_rows: int | None = SAMPLE_ROWS,
+    sample_rows: int | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     max_null_rate: float = MAX_NULL_RATE,
     min_rows: int = MIN_ROWS,
     formats: Sequence[str] = (),
+    work: str | None = None,
 ) -> DataFrame:
     """PASSED or FAILED with the first reason that applies, one row for each ``source_key``.
 
-    ``plays`` alone is enough for rows that are already tables. For files, ``files``
+    All times are checked; ``sample_rows`` limits that to the first of each file, in the
+    ``order`` of its rows. ``plays`` alone is enough for rows that are already tables. For files, ``files``
     (source_key) names all that arrived and ``inspection`` what ``inspect_files`` found;
-    this adds the verdicts on files that give no rows or lack columns.
+    this adds the verdicts on files that give no rows or lack columns. A small profile table
+    is written at once, to ``work`` or a new folder of the shared work space, and read by the frame.
     """
     checked = _checked(plays, null_tokens)
     track_hash = F.when(F.col("track_id").isNotNull(), F.xxhash64("track_id"))
@@ -217,7 +220,7 @@ def validate_files(
         F.max(track_hash).alias("high_hash"),
         overlong.alias("overlong"),
     ]
-    profile = _profile(checked, statistics, formats)
+    profile = _profile(checked, statistics, formats, work)
     if sample_rows is not None:
         profile = _bad_times_in_sample(checked, profile, order, sample_rows, formats)
     profile = _single_tracks(checked, profile)

@@ -6,8 +6,11 @@ Below one root folder, on storage that all executors share:
     processed/streams/...      files that passed, moved after the load
     quarantine/streams/...     files that failed
     tmp/validation/run=<id>    verdicts as JSON
-    tmp/runs/run=<id>/...      files and inspection of the run; the parsed plays until the load
-    processed/kpis/run=<id>    the result tables of the run, per file
+    tmp/validation/<key>.result.json   the verdict of one file, where ``result_key`` says
+    tmp/open/<id>              runs that are not through yet
+    tmp/runs/run=<id>/...      what a run works with; only its mark stays when it is through
+    processed/kpis/run=<id>    the result tables of the run, per file; of a run over a
+                               single file at processed/kpis/<key>
     tables/<name>              the keyed tables that are served
 
 Every step writes to a path of its run, and files move last. An error leaves the files
@@ -17,6 +20,7 @@ load is complete it does everything again, after that it only moves the other fi
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -24,18 +28,34 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..files import absolute, delete, exists, list_files, move_all, plain_path, without_scheme
+from ..files import (
+    Arrival,
+    absolute,
+    arrival,
+    delete,
+    exists,
+    for_each,
+    list_arrivals,
+    move,
+    plain_path,
+    touch,
+    write_text,
+)
 from ..operators.enrich import BROADCAST_BYTES, sized
-from ..operators.quality import SAMPLE_ROWS, validate_files
-from ..operators.routing import INBOX, KPI_OUTPUT, RESULTS, result_key, target_key
+from ..operators.quality import validate_files
+from ..operators.routing import INBOX, KPI_OUTPUT, RESULTS, output_prefix, result_key, target_key
 from ..operators.topk import latest_per_key
-from ..operators.upsert import upsert_by_key
-from ..sources import inspect_files, land_plays, read_parts
+from ..operators.upsert import finish_pending, mark_staged, stage_upsert
+from ..sources import inspect_files, land_plays
 from ..staging import side_by_side, written
-from .transform import KEYS, song_key_columns, write_tables
+from .transform import KEYS, song_key_columns, write_frames
 
 ARRIVAL = ("arrived_at", "source_key")
-_VERDICT_SCHEMA = "source_key string, status string, reason string, result_key string"
+OPEN_RUNS = "tmp/open"
+_VERDICT_SCHEMA = (
+    "source_key string, status string, reason string, result_key string, output_prefix string"
+)
+_FILE_SCHEMA = "source_key string, path string, length bigint, modified bigint"
 
 
 @dataclass(frozen=True)
@@ -48,21 +68,25 @@ class RunPaths:
     def _work(self, name: str) -> str:
         return f"{self.root}/tmp/runs/run={self.run_id}/{name}"
 
+    @property
+    def work(self) -> str:
+        return self._work("work")
+
     @property
     def files(self) -> str:
         return self._work("files")
 
     @property
-    def inspection(self) -> str:
-        return self._work("inspection")
+    def loaded(self) -> str:
+        return self._work("_loaded")
 
     @property
-    def plays(self) -> str:
-        return self._work("plays")
+    def done(self) -> str:
+        return self._work("_done")
 
     @property
-    def loaded(self) -> str:
-        return self._work("loaded")
+    def open(self) -> str:
+        return f"{self.root}/{OPEN_RUNS}/{self.run_id}"
 
     @property
     def verdicts(self) -> str:
@@ -79,23 +103,32 @@ def table_paths(root: str) -> dict[str, str]:
 
 
 def read_verdicts(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    """source_key, status, reason and result_key of the files of a run."""
+    """source_key, status, reason, result_key and output_prefix of the files of a run."""
     paths = RunPaths(root.rstrip("/"), run_id)
     return spark.read.schema(_VERDICT_SCHEMA).json(paths.verdicts)
 
 
 def _named_files(
-    spark: SparkSession, paths: Sequence[str], root: str, unit: str
+    spark: SparkSession, arrivals: Sequence[Arrival], root: str, unit: str
 ) -> DataFrame:
     prefix = plain_path(absolute(spark, root)) + "/"
-    paths = [absolute(spark, path) for path in paths]
-    strangers = [path for path in paths if not plain_path(path).startswith(prefix)]
-    if strangers:
-        raise ValueError(f"{strangers[0]} does not lie below {root}")
-    keys = [plain_path(path)[len(prefix) :] for path in paths]
+    keys = [plain_path(a.path)[len(prefix) :] for a in arrivals]
     if unit == "directory":
         keys = [key.rpartition("/")[0] for key in keys]
-    return spark.createDataFrame(list(zip(keys, paths, strict=True)), "source_key string, path string")
+    rows = [(key, *a) for key, a in zip(keys, arrivals, strict=True)]
+    return spark.createDataFrame(rows, _FILE_SCHEMA)
+
+
+def _arrivals(spark: SparkSession, files: Sequence[str | Arrival], root: str) -> list[Arrival]:
+    """The files that are there, as the versions they are now; all must lie below ``root``."""
+    prefix = plain_path(absolute(spark, root)) + "/"
+    found = []
+    for file in files:
+        path = absolute(spark, file.path if isinstance(file, Arrival) else file)
+        if not plain_path(path).startswith(prefix):
+            raise ValueError(f"{path} does not lie below {root}")
+        found.append(file if isinstance(file, Arrival) else arrival(spark, path))
+    return [a for a in found if a]
 
 
 def _good_plays(plays: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -107,32 +140,49 @@ def _good_plays(plays: DataFrame, verdicts: DataFrame) -> DataFrame:
     return plays.join(sized(failed, size <= BROADCAST_BYTES), "source_key", "left_anti")
 
 
+def _twice_ranked(outputs: dict[str, DataFrame]) -> DataFrame:
+    """(source_key, reason) of files whose own results hold a key of some table twice."""
+    found = []
+    for name, keys in KEYS.items():
+        values = [F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys]
+        key = F.concat_ws(", ", F.lit(f"table={name}"), *values)
+        found.append(outputs[name].select("source_key", key.alias("key")))
+    twice = found[0].unionByName(found[1]).unionByName(found[2]).groupBy("source_key", "key").count()
+    reason = F.concat(F.lit("Results hold a key more than once: "), F.min("key"))
+    return twice.where("count > 1").groupBy("source_key").agg(reason.alias("twice"))
+
+
 def load_tables(
     spark: SparkSession,
-    outputs: dict[str, str],
+    outputs: dict[str, DataFrame],
     arrivals: DataFrame,
     root: str,
     mode: str = "replace",
     on_duplicate: str = "error",
 ) -> dict[str, str]:
-    """Put the result tables of a run into the keyed tables.
+    """Put the result tables of a run into the keyed tables, all three or none.
 
-    The results are per file; where files share a key, the file that arrived last (see
-    ``arrivals``: source_key, arrived_at) counts, as if they had been loaded one by one.
-    A track under two names can hold one rank twice: that is an error, or with
+    The results are per file; where files share a key (with ``mode='replace_group'``: a
+    group), the file that arrived last (see ``arrivals``: source_key, arrived_at) counts, as
+    if they had been loaded one by one. Files that are not in ``arrivals`` stay out. A
+    track under two names can hold one rank twice: that is an error, or with
     ``on_duplicate='last'`` the row with the greatest other columns is kept.
+
+    Every table's new state is written first, then all are marked and swapped in, so an
+    error in one leaves all as they were.
     """
     targets = table_paths(root)
 
-    def load(name: str) -> None:
+    def stage(name: str) -> None:
         keys = KEYS[name]
-        results = read_parts(spark, outputs[name]).join(arrivals, "source_key")
-        rows = latest_per_key(results, keys, ARRIVAL).drop(*ARRIVAL)
+        group = ["genre_date"] if name == "top_songs_per_genre" else ["date"]
+        results = outputs[name].join(arrivals, "source_key")
+        rows = latest_per_key(results, group if mode == "replace_group" else keys, ARRIVAL)
+        rows = rows.drop(*ARRIVAL)
         if name == "top_songs_per_genre":
             rows = song_key_columns(rows)
-        group = ["genre_date"] if name == "top_songs_per_genre" else ["date"]
         others = sorted(set(rows.columns) - set(keys))
-        upsert_by_key(
+        stage_upsert(
             targets[name],
             rows,
             keys,
@@ -142,32 +192,47 @@ def load_tables(
             newest_by=others,
         )
 
-    side_by_side(spark, [partial(load, name) for name in KEYS])
+    side_by_side(spark, [partial(stage, name) for name in KEYS])
+    for target in targets.values():
+        mark_staged(spark, target)
+    side_by_side(spark, [partial(finish_pending, spark, target) for target in targets.values()])
     return targets
 
 
+def _write_results(spark: SparkSession, paths: RunPaths) -> None:
+    """The verdict of every file as an object of its own, where its ``result_key`` says."""
+
+    def write(row) -> None:
+        write_text(spark, f"{paths.root}/{row.result_key}", json.dumps(row.asDict(), ensure_ascii=False))
+
+    for_each(write, read_verdicts(spark, paths.root, paths.run_id).toLocalIterator())
+
+
 def _file_away(spark: SparkSession, paths: RunPaths, unit: str) -> None:
-    """Move every file of the run to the archive or the quarantine."""
+    """Move every file of the run to the archive or the quarantine, a portion at a time."""
     key = F.col("source_key")
     if unit == "directory":
         key = F.concat(key, F.lit("/"), F.substring_index("path", "/", -1))
-    files = spark.read.parquet(paths.files)
-    verdicts = read_verdicts(spark, paths.root, paths.run_id)
+    files = spark.read.schema(_FILE_SCHEMA).parquet(paths.files)
+    verdicts = read_verdicts(spark, paths.root, paths.run_id).select("source_key", "status")
     targets = files.join(verdicts, "source_key").select(
-        "path", target_key(key, F.col("status")).alias("target")
+        "path", "length", "modified", target_key(key, F.col("status")).alias("target")
     )
-    moves = [(row.path, f"{paths.root}/{row.target}") for row in targets.collect()]
-    move_all(spark, moves)
+
+    def one(row) -> None:
+        move(spark, Arrival(row.path, row.length, row.modified), f"{paths.root}/{row.target}")
+
+    for_each(one, targets.toLocalIterator())
 
 
 def run_files(
     spark: SparkSession,
-    files: Sequence[str],
+    files: Sequence[str | Arrival],
     songs: DataFrame,
     root: str,
     run_id: str,
     unit: str = "file",
-    sample_rows: int | None = SAMPLE_ROWS,
+    sample_rows: int | None = None,
     formats: Sequence[str] = (),
     mode: str = "replace",
     on_duplicate: str = "error",
@@ -176,42 +241,97 @@ def run_files(
     """Check the files, load the KPIs of the good ones and file all of them away.
 
     The KPIs are those of each single file (``unit='directory'``: of each folder of part
-    files). Gives the paths of the keyed tables.
+    files). A file whose own results hold a key twice fails alone, the others are loaded;
+    ``on_duplicate='last'`` loads it with the greatest of such rows. Gives the paths of the
+    keyed tables.
     """
     root = root.rstrip("/")
     paths = RunPaths(root, run_id)
-    named = _named_files(spark, files, root, unit)
-    if exists(spark, f"{paths.loaded}/_SUCCESS"):
-        done = spark.read.parquet(paths.files).select(without_scheme(F.col("path")).alias("place"))
-        named = named.withColumn("place", without_scheme(F.col("path")))
-        strangers = named.join(done, "place", "left_anti").head(1)
+    given = _arrivals(spark, files, root)
+    named = _named_files(spark, given, root, unit)
+    if exists(spark, paths.done) or exists(spark, paths.loaded):
+        done = _named_files(spark, [], root, unit)
+        if exists(spark, paths.files):
+            done = spark.read.schema(_FILE_SCHEMA).parquet(paths.files)
+        strangers = named.join(done, ["path", "length", "modified"], "left_anti").head(1)
         if strangers:
             raise ValueError(f"run {run_id} was already done without {strangers[0].path}")
     else:
         named = written(named, paths.files)
-        inspection = written(inspect_files(spark, files, root, unit), paths.inspection)
-        plays = land_plays(spark, inspection, root, paths.plays, unit, formats=formats)
+        touch(spark, paths.open)
+        inspection = inspect_files(spark, [a.path for a in given], root, unit, f"{paths.work}/inspection")
+        plays = land_plays(spark, inspection, root, f"{paths.work}/plays", unit, formats=formats)
+        verdicts = validate_files(
+            plays,
+            named,
+            inspection,
+            sample_rows=sample_rows,
+            formats=formats,
+            work=f"{paths.work}/profile",
+        )
+        verdicts = written(verdicts, f"{paths.work}/checked")
+        single = {row.source_key for row in named.select("source_key").distinct().limit(2).collect()}
+        place = f"{root}/{KPI_OUTPUT}/{single.pop()}" if len(single) == 1 else paths.output
+        outputs = write_frames(_good_plays(plays, verdicts), songs, place, by=["source_key"])
+        if on_duplicate == "error":
+            verdicts = _with_failures(verdicts, _twice_ranked(outputs))
+        key = F.col("source_key")
+        prefix = output_prefix(key) if place != paths.output else F.lit(place[len(root) + 1 :])
         (
-            validate_files(plays, named, inspection, sample_rows=sample_rows, formats=formats)
-            .withColumn("result_key", result_key(F.col("source_key")))
+            verdicts.withColumns({"result_key": result_key(key), "output_prefix": prefix})
             .write.mode("overwrite")
             .json(paths.verdicts)
         )
-        good = _good_plays(plays, read_verdicts(spark, root, run_id))
-        outputs = write_tables(good, songs, paths.output, by=["source_key"])
+        passed = read_verdicts(spark, root, run_id).where("status = 'PASSED'").select("source_key")
         arrivals = inspection.groupBy("source_key").agg(F.max("arrived_at").alias("arrived_at"))
-        load_tables(spark, outputs, arrivals, root, mode, on_duplicate)
-        named.limit(0).write.mode("overwrite").parquet(paths.loaded)
-    delete(spark, paths.plays)
+        load_tables(
+            spark, outputs, arrivals.join(passed, "source_key"), root, mode, on_duplicate
+        )
+        _write_results(spark, paths)
+        touch(spark, paths.loaded)
+    delete(spark, paths.work)
     if move_files:
-        _file_away(spark, paths, unit)
+        if exists(spark, paths.files):
+            _file_away(spark, paths, unit)
+        touch(spark, paths.done)
+        delete(spark, paths.open)
+        delete(spark, paths.files)
+        delete(spark, paths.loaded)
     return table_paths(root)
 
 
+def _with_failures(verdicts: DataFrame, failed: DataFrame) -> DataFrame:
+    """``verdicts`` where the files in ``failed`` (source_key, twice) fail too."""
+    return verdicts.join(failed, "source_key", "left").select(
+        "source_key",
+        F.when(F.col("twice").isNotNull(), "FAILED").otherwise(F.col("status")).alias("status"),
+        F.coalesce("twice", "reason").alias("reason"),
+    )
+
+
 def run_inbox(
     spark: SparkSession, songs: DataFrame, root: str, run_id: str, **options
 ) -> dict[str, str]:
     """Run over everything that lies in the inbox."""
     root = root.rstrip("/")
-    arrived = [path for path, _ in list_files(spark, f"{root}/{INBOX}")]
+    arrived = list_arrivals(spark, f"{root}/{INBOX}")
     return run_files(spark, arrived, songs, root, run_id, **options) if arrived else table_paths(root)
+
+
+def finish_open_runs(spark: SparkSession, songs: DataFrame, root: str, **options) -> None:
+    """Repeat the runs that began and did not get through, with what they still have to do.
+
+    Needed after a death only. Runs are open from the time that their list of files is
+    written; one that died before left its files in the inbox.
+    """
+    root = root.rstrip("/")
+    for mark in list_arrivals(spark, f"{root}/{OPEN_RUNS}"):
+        paths = RunPaths(root, plain_path(mark.path).rpartition("/")[2])
+        rows = spark.read.schema(_FILE_SCHEMA).parquet(paths.files).select(*Arrival._fields).collect()
+        given = [Arrival(*row) for row in rows]
+        if not exists(spark, paths.loaded):
+            given = [now for a in given if (now := arrival(spark, a.path))]
+        if given:
+            run_files(spark, given, songs, root, paths.run_id, **options)
+        else:
+            delete(spark, paths.open)

@@ -39,7 +39,10 @@ def kpi_tables(
     formats: Sequence[str] = (),
     small_catalogue: bool | None = None,
 ) -> dict[str, DataFrame]:
-    """The three result tables, with the columns ``by`` in front, nothing run yet."""
+    """The three result tables, with the columns ``by`` in front.
+
+    Only the catalogue is measured here, unless ``small_catalogue`` says what it is.
+    """
     if small_catalogue is None:
         small_catalogue = catalogue_fits(songs)
     kpis = daily_genre_kpis(plays, songs, by, formats, small_catalogue)
@@ -51,34 +54,45 @@ def kpi_tables(
     }
 
 
-def write_tables(
+def write_frames(
     plays: DataFrame,
     songs: DataFrame,
     prefix: str,
     by: Sequence[str] = (),
     formats: Sequence[str] = (),
-) -> dict[str, str]:
-    """Write the three tables below ``prefix``, replacing older ones; gives their paths.
+) -> dict[str, DataFrame]:
+    """Write the three tables below ``prefix``, replacing older ones; gives them as written.
 
     The genre ranking reads the KPIs just written, so the plays are scanned twice in
     all: once for the KPIs and once for the song counts.
     """
     prefix = prefix.rstrip("/")
-    paths = {name: f"{prefix}/{name}" for name in KEYS}
     tables = kpi_tables(plays, songs, by, formats)
+    frames: dict[str, DataFrame] = {}
 
-    def write(name: str, table: DataFrame) -> DataFrame:
-        return written(table, paths[name])
+    def write(name: str, table: DataFrame) -> None:
+        frames[name] = written(table, f"{prefix}/{name}")
 
     def write_genres() -> None:
-        kpis = write("daily_genre_kpis", tables["daily_genre_kpis"])
-        write("top_genres_per_day", top_genres_per_day(kpis, by=by))
+        write("daily_genre_kpis", tables["daily_genre_kpis"])
+        write("top_genres_per_day", top_genres_per_day(frames["daily_genre_kpis"], by=by))
 
     def write_songs() -> None:
         write("top_songs_per_genre", tables["top_songs_per_genre"])
 
     side_by_side(plays.sparkSession, [write_genres, write_songs])
-    return paths
+    return frames
+
+
+def write_tables(
+    plays: DataFrame,
+    songs: DataFrame,
+    prefix: str,
+    by: Sequence[str] = (),
+    formats: Sequence[str] = (),
+) -> dict[str, str]:
+    """``write_frames``, giving the paths of the three tables."""
+    return {name: f"{prefix.rstrip('/')}/{name}" for name in write_frames(plays, songs, prefix, by, formats)}
 
 
 def song_key_columns(top_songs: DataFrame) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from .catalogue import read_catalogue
 from .parts import read_parts
-from .plays import inspect_files, land_plays, normalise_header, read_plays
+from .plays import inspect_files, land_plays, read_plays
 
 __all__ = [
     "inspect_files",
     "land_plays",
-    "normalise_header",
     "read_catalogue",
     "read_parts",
     "read_plays",

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from ..files import absolute, decoded, folder_of, literal, plain_path, scanned_path, source_key
 from ..functions import listen_date
+from ..session import new_work_folder
 from ..staging import written
 
+# The columns of a play log.
 PLAY_COLUMNS = ("user_id", "track_id", "listen_time")
 
 # The order of the rows of a file: as read, and in the table that land_plays writes.
@@ -30,11 +32,6 @@ LANDED_ORDER = ("part", "block", "_metadata.row_index")
 _FIELD = ',("(?:[^"]|"")*"|[^,]*)'
 
 
-def normalise_header(df: DataFrame) -> DataFrame:
-    """Column names without outer blanks and in lower case."""
-    return df.toDF(*[name.strip().lower() for name in df.columns])
-
-
 def _field_count(line: Column) -> Column:
     return F.regexp_count(F.concat(F.lit(","), line), F.lit(_FIELD))
 
@@ -49,9 +46,15 @@ def _missing_columns(names: Column) -> Column:
 
 
 def inspect_files(
-    spark: SparkSession, paths: Sequence[str], root: str, unit: str = "file"
+    spark: SparkSession,
+    paths: Sequence[str],
+    root: str,
+    unit: str = "file",
+    target: str | None = None,
 ) -> DataFrame:
-    """One row for each file that holds any text.
+    """One row for each file that holds any text, worked out once and kept at ``target``.
+
+    Without a ``target`` the table lies in a new folder of the shared work space.
 
     Columns: source_key, path, file_path (as Spark's scans name it), arrived_at (modification
     time), missing (play columns the header lacks), header (its normalised names, null when
@@ -86,7 +89,7 @@ def inspect_files(
             F.max("modified").alias("arrived_at"),
         )
     )
-    return (
+    inspection = (
         kinds.groupBy("file_path")
         .agg(
             F.min_by(F.struct("missing", "header_line"), "first_row").alias("first"),
@@ -106,33 +109,35 @@ def inspect_files(
             "invalid_lines",
         )
     )
+    return written(inspection, target or new_work_folder(spark, "inspection"))
 
 
-def _row_key(layout: Row, root: str, unit: str) -> Column:
+def _row_key(files: Sequence[Row], root: str, unit: str) -> Column:
     """The source_key of a scanned row.
 
     It is worked out for every row, so what holds for all files is settled beforehand:
     where in their paths the key starts, and whether any path needs decoding.
     """
-    depth = layout.sample.path.count("/") - plain_path(root).count("/")
-    start = len(layout.sample.file_path.rsplit("/", depth)[0]) + 1
+    sample = files[0]
+    depth = sample.path.count("/") - plain_path(root).count("/")
+    start = len(sample.file_path.rsplit("/", depth)[0]) + 1
     key = F.substr(F.col("_metadata.file_path"), F.lit(start + 1))
     if unit == "directory":
         key = folder_of(key)
-    return decoded(key) if layout.encoded else key
+    return decoded(key) if any("%" in file.file_path for file in files) else key
 
 
 def _read_layout(
     spark: SparkSession,
-    layout: Row,
-    paths: Sequence[str],
+    header: Sequence[str],
+    files: Sequence[Row],
     root: str,
     unit: str,
     keep: Sequence[str],
 ) -> DataFrame:
     wanted = [*PLAY_COLUMNS, *keep]
     names, seen = [], set()
-    for position, name in enumerate(layout.header):
+    for position, name in enumerate(header):
         usable = name in wanted and name not in seen
         names.append(name if usable else f"unused_{position}")
         seen.add(name)
@@ -143,12 +148,12 @@ def _read_layout(
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "whole_line")
-        .csv([literal(path) for path in paths])
+        .csv([literal(file.path) for file in files])
     )
     # whole_line is set where the number of fields differs from the header, either way.
-    overlong = F.col("whole_line").isNotNull() & (_field_count(F.col("whole_line")) > len(layout.header))
+    overlong = F.col("whole_line").isNotNull() & (_field_count(F.col("whole_line")) > len(header))
     return rows.select(
-        _row_key(layout, root, unit).alias("source_key"),
+        _row_key(files, root, unit).alias("source_key"),
         (F.col("_metadata.file_name") if unit == "directory" else F.lit("")).alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
@@ -178,23 +183,18 @@ def read_plays(
 
     Columns: source_key; part (for folders of part files), block and row, which give the
     order of the rows; the play columns and ``keep`` as text; overlong, whether the row has
-    more fields than the header. The file names come to the driver, where Spark's
+    more fields than the header. The file names come to the driver once, where Spark's
     file index holds them in any case; the number of scans is the number of distinct headers.
     """
     root = absolute(spark, root)
-    usable = inspection.where(F.col("header").isNotNull())
-    layouts = (
-        usable.groupBy("header")
-        .agg(
-            F.first(F.struct("path", "file_path")).alias("sample"),
-            F.bool_or(F.contains("file_path", F.lit("%"))).alias("encoded"),
-        )
-        .collect()
-    )
-    scans = []
-    for layout in sorted(layouts, key=lambda row: row.header):
-        files = usable.where(F.col("header") == F.lit(layout.header)).select("path").collect()
-        scans.append(_read_layout(spark, layout, [f.path for f in files], root, unit, keep))
+    by_header: dict[tuple[str, ...], list[Row]] = {}
+    usable = inspection.where(F.col("header").isNotNull()).select("header", "path", "file_path")
+    for file in usable.collect():
+        by_header.setdefault(tuple(file.header), []).append(file)
+    scans = [
+        _read_layout(spark, header, files, root, unit, keep)
+        for header, files in sorted(by_header.items())
+    ]
     return reduce(DataFrame.unionByName, scans) if scans else _no_plays(spark, keep)
 
 

@@ -11,9 +11,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def part_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part`` as the song catalogue; small parts stay out so that some plays are unknown."""
-    return table(spark, sf_dir, "part").where("p_size > 5").select(
-        F.col("p_partkey").cast("string").alias("track_id"),
+    """``part`` as the song catalogue; no play has the keys of small parts, so some plays are unknown."""
+    key = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") <= 5, F.concat(F.lit("unplayed-"), key)).otherwise(key).alias("track_id"),
         F.col("p_type").alias("track_genre"),
         F.round(F.col("p_retailprice") * 100).cast("bigint").alias("duration_ms"),
         F.col("p_name").alias("track_name"),
@@ -43,6 +44,24 @@ def order_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def yearly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as one long play file for each year, in the order of their keys.
+
+    Unreadable times: in the later half of the keys of 1995, all over 1996.
+    """
+    orders = table(spark, sf_dir, "orders")
+    half = orders.agg(F.max("o_orderkey")).first()[0] // 2
+    year, key = F.year("o_orderdate"), F.col("o_orderkey")
+    bad = (key % 50 == 0) & (((year == 1995) & (key > half)) | (year == 1996))
+    return orders.select(
+        key.alias("event_id"),
+        F.concat(F.lit("raw/streams/"), year.cast("string"), F.lit(".csv")).alias("source_key"),
+        F.col("o_custkey").alias("user_id"),
+        (key % 97).cast("string").alias("track_id"),
+        F.when(bad, "not-a-time").otherwise(F.col("o_orderdate").cast("string")).alias("listen_time"),
+    )
+
+
 def defective_files(events: DataFrame) -> DataFrame:
     """``events`` as one play file for each day, with defects put in.
 

@@ -1,23 +1,30 @@
 """File arrivals as a stream.
 
 Exact distinct counts and ranks cannot be kept on a streaming frame, and each file is a
-unit of its own, so the work runs in ``foreachBatch``. The stream carries file names
-only: the binary source is pruned to the path and never opens a file.
+unit of its own, so the work runs in ``foreachBatch``. Spark's file source remembers names,
+so a file sent again under its name would never be seen; here a ticking source drives the
+batches, each batch lists the inbox once, and the identity of an arrival is its path, length
+and modification time.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..files import exists, list_files
+from ..files import Arrival, in_portions, list_arrivals
 from ..operators.routing import INBOX
 from ..operators.upsert import upsert_by_key
-from ..plans.run import run_files
+from ..plans.run import finish_open_runs, run_files
 
-_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+def arrivals_id(arrivals: Sequence[Arrival]) -> str:
+    """A run id that stands for these versions of these files."""
+    names = "\n".join(f"{a.path} {a.length} {a.modified}" for a in arrivals)
+    return f"arrivals-{hashlib.md5(names.encode(), usedforsecurity=False).hexdigest()}"
 
 
 def run_stream(
@@ -27,57 +34,35 @@ def run_stream(
     checkpoint: str,
     max_files_per_trigger: int | None = 1,
     available_now: bool = True,
-    sample_rows: int | None = None,
+    every: str = "10 seconds",
     unit: str = "file",
     **options,
 ) -> StreamingQuery:
-    """One run for every micro-batch of files that arrive below ``raw/streams``.
-
-    ``songs`` is called for each batch, so a renewed catalogue takes effect. With
-    ``max_files_per_trigger=1`` every file has a run of its own; larger batches give the
-    same tables with fewer jobs. A batch that is replayed after a failure has the same
-    run id, finds the files that were not filed away yet, and comes to the same state.
-    Empty files are no rows of any Spark source; each batch takes them from the inbox.
-    Folders of part files (``unit='directory'``) must arrive whole, so the files of a
-    batch cannot be limited then.
+    """Runs over the files that arrive below ``raw/streams``, in the order they arrive.
+
+    Each micro-batch lists the inbox once and takes what waits there in portions of
+    ``max_files_per_trigger`` files, each portion a run of its own; larger portions give the
+    same tables with fewer jobs. A file that is sent again runs again. ``songs`` is called for
+    each portion, so a renewed catalogue takes effect. A run that died is finished first, before
+    the inbox is listed. Folders of part files (``unit='directory'``) must arrive whole, so the
+    files of a run cannot be limited then. With ``available_now`` the query ends when what
+    waits is done, else it looks again ``every`` so often. An absent inbox is an empty one.
     """
     if unit == "directory" and max_files_per_trigger:
         raise ValueError("unit='directory' needs max_files_per_trigger=None")
     root = root.rstrip("/")
-    inbox = f"{root}/{INBOX}"
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def sweep(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        named = [row.path for row in batch.select("path").toLocalIterator()]
-        paths = [path for path in named if exists(session, path)]
-        paths += [path for path, size in list_files(session, inbox) if size == 0]
-        if paths:
-            run_files(
-                session,
-                paths,
-                songs(),
-                root,
-                f"batch-{batch_id}",
-                unit=unit,
-                sample_rows=sample_rows,
-                **options,
-            )
-
-    arrivals = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE_SCHEMA)
-        .option("recursiveFileLookup", True)
-        .option("ignoreMissingFiles", True)
-    )
-    if max_files_per_trigger:
-        arrivals = arrivals.option("maxFilesPerTrigger", max_files_per_trigger)
-    writer = (
-        arrivals.load(inbox)
-        .select("path")
-        .writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+        finish_open_runs(session, songs(), root, unit=unit, **options)
+        waiting = list_arrivals(session, f"{root}/{INBOX}")
+        for portion in in_portions(waiting, max_files_per_trigger or max(1, len(waiting))):
+            run_files(session, portion, songs(), root, arrivals_id(portion), unit=unit, **options)
+
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    writer = ticks.writeStream.foreachBatch(sweep).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    return writer.trigger(**trigger).start()
 
 
 def stream_into_table(

@@ -15,7 +15,7 @@ from listenlytics.operators import (
     validate_files,
 )
 from listenlytics.plans import row_counts, show_summary, write_tables
-from listenlytics.sources import inspect_files, normalise_header, read_catalogue, read_parts, read_plays
+from listenlytics.sources import inspect_files, read_catalogue, read_parts, read_plays
 
 
 @pytest.fixture(scope="module")
@@ -114,11 +114,6 @@ def test_parts_without_files_raise(spark, tmp_path):
         read_parts(spark, str(tmp_path / "none"))
 
 
-def test_header_names(spark):
-    df = spark.createDataFrame([(1, 2)], [" User_ID ", "TRACK_ID"])
-    assert normalise_header(df).columns == ["user_id", "track_id"]
-
-
 def test_missing_path_raises(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_catalogue(spark, f"{tmp_path}/nothing.csv")

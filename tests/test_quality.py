@@ -62,7 +62,7 @@ CASES = {
     "time_all_null": (csv(lines(time="")), "Column 'listen_time' has no non-null values to parse"),
     "time_bad": (csv(lines() + ["u,t,zzz"]), BAD_TIME),
     "time_bad_1000": (csv(bad_after(999)), BAD_TIME),
-    "time_bad_1001": (csv(bad_after(1000)), ""),
+    "time_bad_1001": (csv(bad_after(1000)), BAD_TIME),
     "one_track": (csv(lines(tracks=1)), ONE_TRACK),
     "one_row": (csv(lines(1)), ONE_TRACK),
     "precedence": (csv(lines(tracks=1, null_users=2)), NULLS.format("user_id")),
@@ -91,9 +91,10 @@ def test_every_rule(landed):
     assert got == expected
 
 
-def test_all_times(landed):
-    got = verdicts_of(validate_files(*landed, sample_rows=None))
-    assert got["time_bad_1001"] == ("FAILED", BAD_TIME)
+def test_the_first_1000_times(landed):
+    got = verdicts_of(validate_files(*landed, sample_rows=1000))
+    assert got["time_bad_1001"] == ("PASSED", "")
+    assert got["time_bad_1000"] == ("FAILED", BAD_TIME)
     assert got["ok"] == ("PASSED", "")
 
 
@@ -122,8 +123,7 @@ def test_header_in_a_later_block_is_data(spark, tmp_path):
         found = inspection.first()
         assert (found.line_count, found.header) == (20001, HEADER.split(","))
         profile = profile_files(plays).first()
-        assert (profile.row_count, profile.listen_time_bad) == (20001, 0)
-        assert profile_files(plays, sample_rows=None).first().listen_time_bad == 1
+        assert (profile.row_count, profile.listen_time_bad) == (20001, 1)
         assert profile_files(plays, sample_rows=20001).first().listen_time_bad == 1
         assert profile_files(plays, sample_rows=20000).first().listen_time_bad == 0
         read = read_plays(spark, inspection, str(tmp_path))

@@ -6,8 +6,8 @@ import pytest
 from conftest import rows_of, write_file
 
 from golden import SONGS
-from listenlytics.files import list_files
-from listenlytics.operators import DuplicateKeyError, read_keyed, route_files
+from listenlytics.files import list_arrivals, list_files
+from listenlytics.operators import read_keyed, route_files
 from listenlytics.plans import read_verdicts, run_files, run_inbox, table_paths
 from listenlytics.sources import read_catalogue
 from listenlytics.streaming import run_stream
@@ -131,10 +131,17 @@ def test_a_track_under_two_names(spark, tmp_path):
     text = SONGS + "t1,pop,200000,Alpha (live),Ann\n"
     songs = read_catalogue(spark, write_file(tmp_path, "raw/songs/songs.csv", text))
     paths = place(tmp_path, first=FIRST)
-    with pytest.raises(DuplicateKeyError):
-        run_files(spark, paths, songs, str(tmp_path), "r1")
-    assert names(tmp_path, "raw/streams") == ["first.csv"]
-    run_files(spark, paths, songs, str(tmp_path), "r1", on_duplicate="last")
+    paths += place(tmp_path, other=OTHER_DAY)
+    run_files(spark, paths, songs, str(tmp_path), "r1")
+    verdicts = {r.source_key: r for r in read_verdicts(spark, str(tmp_path), "r1").collect()}
+    assert verdicts["raw/streams/first.csv"].status == "FAILED"
+    assert "more than once" in verdicts["raw/streams/first.csv"].reason
+    assert verdicts["raw/streams/other.csv"].status == "PASSED"
+    assert names(tmp_path, "quarantine/streams") == ["first.csv"]
+    assert {day for _, day, _, _ in kpis(spark, tmp_path)} == {"2024-01-16"}
+    assert sorted(os.listdir(tmp_path / "tables")) == sorted(table_paths(""))
+    paths = place(tmp_path, first=FIRST)
+    run_files(spark, paths, songs, str(tmp_path), "r2", on_duplicate="last")
     top = read_keyed(spark, table_paths(str(tmp_path))["top_songs_per_genre"])
     assert rows_of(top.where("genre_date = 'pop#2024-01-15'"), "rank", "track_id", "track_name") == [
         (1, "t1", "Alpha (live)"),
@@ -228,7 +235,7 @@ def test_stream_runs_one_file_at_a_time(spark, tmp_path):
     place(tmp_path, zfirst=FIRST, broken=BROKEN, asecond=SECOND)
     stream(spark, tmp_path, songs)
     assert kpis(spark, tmp_path) == KPIS_BOTH
-    assert sorted(os.listdir(tmp_path / "tmp/runs")) == ["run=batch-0", "run=batch-1", "run=batch-2"]
+    assert len(os.listdir(tmp_path / "tmp/runs")) == 3 and _files(tmp_path / "tmp/open") == []
     assert names(tmp_path, "processed/streams") == ["asecond.csv", "zfirst.csv"]
     assert names(tmp_path, "quarantine/streams") == ["broken.csv"]
 
@@ -262,7 +269,236 @@ def test_stream_repeats_a_batch_that_failed(spark, tmp_path):
     assert names(tmp_path, "processed/streams") == ["first.csv"]
 
 
-def test_parsed_plays_do_not_stay(spark, tmp_path):
+def test_only_a_mark_stays_of_a_run(spark, tmp_path):
     place(tmp_path, first=FIRST)
+    before = work_left(spark)
     run_inbox(spark, catalogue(spark, tmp_path), f"{tmp_path}/", "r1")
-    assert sorted(os.listdir(tmp_path / "tmp/runs/run=r1")) == ["files", "inspection", "loaded"]
+    left = [name for name in os.listdir(tmp_path / "tmp/runs/run=r1") if not name.startswith(".")]
+    assert left == ["_done"] and _files(tmp_path / "tmp/runs") == []
+    assert _files(tmp_path / "tmp/open") == [] and work_left(spark) == before
+
+
+def work_left(spark):
+    folder = os.path.join(spark.conf.get("spark.checkpoint.dir"), "listenlytics")
+    return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+
+
+def long_log(bad_at):
+    rows = [f"u{i},t{i % 3 + 1},2024-01-15 10:00:00" for i in range(bad_at)]
+    return HEADER + "\n".join([*rows, "u1,t1,zzz"]) + "\n"
+
+
+def test_batch_and_stream_give_the_same_verdict(spark, tmp_path):
+    """A bad time behind 1500 good ones."""
+    verdicts = []
+    for way in ("batch", "stream"):
+        root = tmp_path / way
+        place(root, long=long_log(1500))
+        if way == "batch":
+            run_inbox(spark, catalogue(spark, root), str(root), "r1")
+        else:
+            stream(spark, root, catalogue(spark, root))
+        (name,) = os.listdir(root / "tmp/runs")
+        verdicts.append(rows_of(read_verdicts(spark, str(root), name[4:]), "status", "reason"))
+    assert verdicts[0] == verdicts[1] == [("FAILED", "Column 'listen_time' is not parseable as timestamps")]
+
+
+def test_a_file_sent_again_runs_again(spark, tmp_path):
+    songs = catalogue(spark, tmp_path)
+    place(tmp_path, a=FIRST)
+    stream(spark, tmp_path, songs)
+    assert kpis(spark, tmp_path) == KPIS_FIRST
+    write_file(tmp_path, "raw/streams/a.csv", SECOND, mtime=1_700_009_000)
+    stream(spark, tmp_path, songs)
+    assert kpis(spark, tmp_path) == KPIS_BOTH
+    assert names(tmp_path, "raw/streams") == []
+    assert (tmp_path / "processed/streams/a.csv").read_text() == SECOND
+
+
+def test_a_new_checkpoint_on_an_old_root_and_an_absent_inbox(spark, tmp_path):
+    songs = catalogue(spark, tmp_path)
+    stream(spark, tmp_path, songs)
+    place(tmp_path, a=FIRST)
+    stream(spark, tmp_path, songs)
+    place(tmp_path, b=OTHER_DAY)
+    query = run_stream(spark, lambda: songs, str(tmp_path), f"{tmp_path}/another")
+    query.awaitTermination()
+    assert len(kpis(spark, tmp_path)) == 5 and names(tmp_path, "raw/streams") == []
+
+
+def test_a_batch_lists_the_inbox_once(spark, tmp_path, monkeypatch):
+    from listenlytics.streaming import arrivals
+
+    listed = []
+
+    def count(session, folder):
+        found = list_arrivals(session, folder)
+        listed.append(len(found))
+        return found
+
+    monkeypatch.setattr(arrivals, "list_arrivals", count)
+    songs = catalogue(spark, tmp_path)
+    place(tmp_path, a=FIRST, b=SECOND, c=OTHER_DAY)
+    stream(spark, tmp_path, songs)
+    assert sum(listed) == 3
+
+
+def test_a_newer_version_is_not_filed_away(spark, tmp_path, monkeypatch):
+    """A file is sent again after the run has read it and before it is moved."""
+    from listenlytics.plans import run
+
+    (path,) = place(tmp_path, a=FIRST)
+    songs = catalogue(spark, tmp_path)
+    away = run._file_away
+
+    def late(*args):
+        write_file(tmp_path, "raw/streams/a.csv", SECOND, mtime=1_700_009_000)
+        away(*args)
+
+    monkeypatch.setattr(run, "_file_away", late)
+    run_files(spark, [path], songs, str(tmp_path), "r1")
+    assert names(tmp_path, "raw/streams") == ["a.csv"]
+    monkeypatch.undo()
+    stream(spark, tmp_path, songs)
+    assert kpis(spark, tmp_path) == KPIS_BOTH
+
+
+def test_a_stream_finishes_what_died_after_the_load(spark, tmp_path, monkeypatch):
+    """The older file must not be loaded once more behind the newer one."""
+    from listenlytics.plans import run
+
+    songs = catalogue(spark, tmp_path)
+    place(tmp_path, zfirst=FIRST, asecond=SECOND)
+
+    def die(*args):
+        os.remove(tmp_path / "raw/streams/asecond.csv")
+        raise RuntimeError("dies")
+
+    monkeypatch.setattr(run, "_file_away", die)
+    with pytest.raises(Exception, match="dies"):
+        stream(spark, tmp_path, songs, max_files_per_trigger=None)
+    monkeypatch.undo()
+    assert _files(tmp_path / "tmp/open") != []
+    stream(spark, tmp_path, songs, max_files_per_trigger=None)
+    assert kpis(spark, tmp_path) == KPIS_BOTH
+    assert names(tmp_path, "raw/streams") == [] and _files(tmp_path / "tmp/open") == []
+
+
+def all_tables(spark, root):
+    tables = {name: read_keyed(spark, path) for name, path in table_paths(str(root)).items()}
+    return {name: rows_of(table, *sorted(table.columns)) for name, table in tables.items()}
+
+
+@pytest.mark.parametrize("mode", ["replace", "replace_group"])
+def test_one_run_and_several_give_the_same_tables(spark, tmp_path, mode):
+    fewer = log(("u1", "t4"), ("u2", "t3"))
+    states = []
+    for way in ("one", "several"):
+        root = tmp_path / way
+        songs = catalogue(spark, root)
+        paths = place(root, zfirst=FIRST, asecond=fewer, other=OTHER_DAY)
+        for number, part in enumerate([paths] if way == "one" else [[p] for p in paths]):
+            run_files(spark, part, songs, str(root), f"r{number}", mode=mode)
+        states.append(all_tables(spark, root))
+    assert states[0] == states[1]
+    ranks = [r for r in states[0]["top_songs_per_genre"] if "pop#2024-01-15" in r]
+    assert len(ranks) == (1 if mode == "replace_group" else 2)
+
+
+def test_an_error_in_one_table_leaves_all_three(spark, tmp_path, monkeypatch):
+    from listenlytics.plans import run
+
+    songs = catalogue(spark, tmp_path)
+    run_files(spark, place(tmp_path, first=FIRST), songs, str(tmp_path), "r1")
+    before = all_tables(spark, tmp_path)
+    stage = run.stage_upsert
+
+    def fails(target, *args, **options):
+        if target.endswith("top_genres_per_day"):
+            raise RuntimeError("dies")
+        stage(target, *args, **options)
+
+    monkeypatch.setattr(run, "stage_upsert", fails)
+    paths = place(tmp_path, second=SECOND)
+    with pytest.raises(RuntimeError):
+        run_files(spark, paths, songs, str(tmp_path), "r2")
+    assert all_tables(spark, tmp_path) == before
+    monkeypatch.undo()
+    run_files(spark, paths, songs, str(tmp_path), "r2")
+    assert kpis(spark, tmp_path) == KPIS_BOTH
+    assert sorted(os.listdir(tmp_path / "tables")) == sorted(before)
+
+
+@pytest.mark.parametrize("swapped", [0, 1, 2])
+def test_a_death_between_the_swaps_is_seen_as_loaded(spark, tmp_path, monkeypatch, swapped):
+    from listenlytics.plans import run
+
+    songs = catalogue(spark, tmp_path)
+    run_files(spark, place(tmp_path, first=FIRST), songs, str(tmp_path), "r1")
+    finish, calls = run.finish_pending, []
+
+    def dies(session, target):
+        calls.append(target)
+        if len(calls) > swapped:
+            raise RuntimeError("dies")
+        finish(session, target)
+
+    monkeypatch.setattr(run, "finish_pending", dies)
+    monkeypatch.setattr(run, "side_by_side", lambda session, steps: [step() for step in steps])
+    paths = place(tmp_path, second=SECOND)
+    with pytest.raises(RuntimeError):
+        run_files(spark, paths, songs, str(tmp_path), "r2")
+    monkeypatch.undo()
+    assert kpis(spark, tmp_path) == KPIS_BOTH
+    seen = all_tables(spark, tmp_path)
+    run_files(spark, paths, songs, str(tmp_path), "r2")
+    assert all_tables(spark, tmp_path) == seen
+
+
+def test_results_lie_where_their_keys_say(spark, tmp_path):
+    songs = catalogue(spark, tmp_path)
+    run_files(spark, place(tmp_path, first=FIRST), songs, str(tmp_path), "r1")
+    (row,) = read_verdicts(spark, str(tmp_path), "r1").collect()
+    assert spark.read.json(f"{tmp_path}/{row.result_key}").first().status == "PASSED"
+    assert row.output_prefix == "processed/kpis/raw/streams/first.csv"
+    assert spark.read.parquet(f"{tmp_path}/{row.output_prefix}/daily_genre_kpis").count() == 2
+
+
+def test_one_text_scan_for_any_number_of_headers(spark, tmp_path):
+    from listenlytics.sources import inspect_files, read_plays
+
+    texts = [HEADER + "u1,t1,2024-01-15 10:00:00\n", "track_id,user_id,listen_time\nt1,u1,2024-01-15 10:00:00\n"]
+    paths = place(tmp_path, a=texts[0], b=texts[1], c="x," + texts[0].replace("\nu", "\n1,u"))
+    inspection = inspect_files(spark, paths, str(tmp_path), target=f"{tmp_path}/inspection")
+    plays = read_plays(spark, inspection, str(tmp_path))
+    plan = plays._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan text") == 0 and plan.count("Scan csv") == 3
+    assert "Scan text" not in inspection._jdf.queryExecution().executedPlan().toString()
+    assert plays.count() == 3
+
+
+def test_thousands_of_files_are_moved_in_portions(spark, tmp_path, monkeypatch):
+    from listenlytics import files
+    from listenlytics.files import Arrival, for_each, move
+
+    monkeypatch.setattr(files, "PORTION", 100)
+    taken = []
+
+    def given():
+        for k in range(2500):
+            path = tmp_path / f"in/{k}.csv"
+            path.parent.mkdir(exist_ok=True)
+            path.write_text("x")
+            taken.append(k)
+            yield files.arrival(spark, str(path)), k
+
+    most = []
+
+    def one(item):
+        source, k = item
+        most.append(len(taken) - k)
+        move(spark, source, f"{tmp_path}/out/{k}.csv")
+
+    for_each(one, given())
+    assert len(os.listdir(tmp_path / "out")) == 2500 and max(most) <= 101
+    assert isinstance(files.arrival(spark, f"{tmp_path}/out/1.csv"), Arrival)
