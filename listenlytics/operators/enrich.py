@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import has_date, listen_date, to_long
@@ -29,9 +29,13 @@ def ready_catalogue(songs: DataFrame) -> DataFrame:
     )
 
 
-def catalogue_fits(songs: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure the catalogue: is it small enough to send to every executor?"""
-    texts = [c for c in CATALOGUE_COLUMNS if c != "duration_ms"]
+def catalogue_fits(
+    songs: DataFrame,
+    limit: int = BROADCAST_BYTES,
+    columns: Sequence[str] = CATALOGUE_COLUMNS,
+) -> bool:
+    """Measure the catalogue's ``columns``: are they small enough to send to every executor?"""
+    texts = [c for c in columns if c != "duration_ms"]
     width = reduce(add, [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts])
     size = ready_catalogue(songs).agg(F.sum(width + _ROW_OVERHEAD).alias("bytes")).first()
     return (size.bytes or 0) <= limit
@@ -42,14 +46,24 @@ def sized(side: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(side) if small else side
 
 
+def is_dated(plays: DataFrame, formats: Sequence[str] = ()) -> Column:
+    """Whether the listening time of a play can be read."""
+    if "date" in plays.columns:
+        return F.col("date").isNotNull()
+    time = F.col("listen_time")
+    if dict(plays.dtypes)["listen_time"] != "string":
+        return time.isNotNull()
+    return has_date(time, formats)
+
+
 def dated_plays(plays: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
     """Plays with a readable listening time, and its ``date`` (kept when already there)."""
+    dated = plays.where(is_dated(plays, formats))
     if "date" in plays.columns:
-        return plays.where(F.col("date").isNotNull())
+        return dated
     time = F.col("listen_time")
-    if dict(plays.dtypes)["listen_time"] != "string":
-        return plays.where(time.isNotNull()).withColumn("date", time.cast("date"))
-    return plays.where(has_date(time, formats)).withColumn("date", listen_date(time, formats))
+    text = dict(plays.dtypes)["listen_time"] == "string"
+    return dated.withColumn("date", listen_date(time, formats) if text else time.cast("date"))
 
 
 def enrich(

@@ -18,6 +18,7 @@ from ..functions import genre_date
 from .enrich import catalogue_fits, dated_plays, ready_catalogue, sized
 from .topk import top_k_per_group
 
+# The columns of the results.
 KPI_COLUMNS = (
     "genre",
     "date",
@@ -37,20 +38,12 @@ def _aggregate(plays: DataFrame, by: Sequence[str], weight: Column, time: Column
     Spark plans the exact distinct count in two levels, first by user, each with a
     map-side part: the rows of a hot genre are spread by user and arrive pre-added.
     """
-    return (
-        plays.groupBy(*by, "track_genre", "date")
-        .agg(
-            F.sum(weight).alias("listen_count"),
-            F.count_distinct("user_id").alias("unique_listeners"),
-            F.sum(time).alias("total_listening_time_ms"),
-        )
-        .withColumn(
-            "avg_listening_time_per_user_ms",
-            F.expr("total_listening_time_ms div nullif(unique_listeners, 0)"),
-        )
-        .withColumnRenamed("track_genre", "genre")
-        .select(*by, *KPI_COLUMNS)
-    )
+    listens, listeners, total, per_user = KPI_COLUMNS[2:]
+    return plays.groupBy(*by, F.col("track_genre").alias("genre"), "date").agg(
+        F.sum(weight).alias(listens),
+        F.count_distinct("user_id").alias(listeners),
+        F.sum(time).alias(total),
+    ).select("*", F.expr(f"{total} div nullif({listeners}, 0)").alias(per_user))
 
 
 def kpis_of_enriched(enriched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -67,7 +60,7 @@ def genre_plays(
     """One row for each play and genre of its track, with ``copies`` (matching catalogue
     rows) and ``copies_ms`` (their durations in total)."""
     if small_catalogue is None:
-        small_catalogue = catalogue_fits(songs)
+        small_catalogue = catalogue_fits(songs, columns=("track_id", "track_genre"))
     weights = (
         ready_catalogue(songs)
         .groupBy("track_id", "track_genre")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 _SONGS = """songs AS (
-  SELECT CAST(p_partkey AS STRING) AS track_id, p_type AS track_genre,
+  SELECT concat(CASE WHEN p_size <= 5 THEN 'unplayed-' ELSE '' END, CAST(p_partkey AS STRING)) AS track_id,
+         p_type AS track_genre,
          CAST(ROUND(p_retailprice * 100) AS BIGINT) AS duration_ms, p_name AS track_name, p_brand AS artists
-  FROM part WHERE p_size > 5)"""
+  FROM part)"""
 
 _EVENT_PLAYS = """streams AS (
   SELECT event_id, user_id, regexp_extract(props, '([0-9]+)', 1) AS track_id, ts AS listen_time FROM events)"""
@@ -66,9 +67,7 @@ _EVENTS = f"WITH {_EVENT_PLAYS},\n{_SONGS},\n{_RESULTS}"
 _ORDERS = f"WITH {_ORDER_PLAYS},\n{_SONGS},\n{_RESULTS}"
 
 
-def _checked_files(sample_rows: int | None) -> str:
-    in_sample = "TRUE" if sample_rows is None else f"nn <= {sample_rows}"
-    return f"""files AS (
+_DAY_FILES = """files AS (
   SELECT event_id, concat('raw/streams/', CAST(CAST(ts AS DATE) AS STRING), '.csv') AS source_key,
     CASE WHEN event_id % 10 = 0 AND user_id < 75
               AND CAST(ts AS DATE) NOT IN (DATE '2024-01-07', DATE '2024-01-09', DATE '2024-01-11')
@@ -78,7 +77,20 @@ def _checked_files(sample_rows: int | None) -> str:
          ELSE regexp_extract(props, '([0-9]+)', 1) END AS track_id,
     CASE WHEN CAST(ts AS DATE) = DATE '2024-01-09' AND event_id % 50 = 0 THEN 'not-a-time'
          ELSE CAST(ts AS STRING) END AS listen_time
-  FROM events),
+  FROM events)"""
+
+_YEAR_FILES = """files AS (
+  SELECT o_orderkey AS event_id, concat('raw/streams/', CAST(year(o_orderdate) AS STRING), '.csv') AS source_key,
+    o_custkey AS user_id, CAST(o_orderkey % 97 AS STRING) AS track_id,
+    CASE WHEN o_orderkey % 50 = 0 AND (year(o_orderdate) = 1996 OR (year(o_orderdate) = 1995
+              AND o_orderkey > (SELECT MAX(o_orderkey) // 2 FROM orders))) THEN 'not-a-time'
+         ELSE CAST(o_orderdate AS STRING) END AS listen_time
+  FROM orders)"""
+
+
+def _checked_files(sample_rows: int | None, files: str = _DAY_FILES) -> str:
+    in_sample = "TRUE" if sample_rows is None else f"nn <= {sample_rows}"
+    return f"""{files},
 sampled AS (
   SELECT *, SUM(CASE WHEN listen_time IS NULL THEN 0 ELSE 1 END)
               OVER (PARTITION BY source_key ORDER BY event_id) AS nn FROM files),
@@ -106,7 +118,7 @@ verdict AS (
     ELSE '' END AS reason FROM prof)"""
 
 
-_FILES = f"WITH {_checked_files(1000)}"
+_FILES = f"WITH {_checked_files(None)}"
 _PASSED_PLAYS = """streams AS (
   SELECT f.event_id, f.user_id, f.track_id, TRY_CAST(f.listen_time AS TIMESTAMP) AS listen_time
   FROM files f JOIN verdict v ON f.source_key = v.source_key WHERE v.reason = '')"""
@@ -153,10 +165,14 @@ ORACLE_SQL: dict[str, str] = {
     "star_top_songs_per_genre_ties": f"{_ORDERS}\nSELECT * FROM tied_songs",
     "star_top_genres_per_day": f"{_ORDERS}\nSELECT * FROM top_genres",
     "kpis_null_users": f"{_NULL_USERS}\nSELECT * FROM kpis",
-    "duration_try_cast": """SELECT p_type AS track_genre, COUNT(*) AS n_songs, COUNT(d) AS n_parsed,
-  CAST(SUM(d) AS BIGINT) AS total_ms
-FROM (SELECT p_type, TRY_CAST(CASE WHEN p_size % 7 = 0 THEN 'oops' ELSE CAST(p_partkey AS STRING) END AS BIGINT) AS d
-      FROM part) t GROUP BY p_type""",
+    "duration_try_cast": """WITH written AS (
+  SELECT p_type AS track_genre, CASE p_size % 7 WHEN 0 THEN 'oops' WHEN 1 THEN concat(p_partkey, '.0')
+    WHEN 2 THEN concat(p_partkey, '.75') WHEN 3 THEN CAST(p_partkey + 9007199254740993 AS STRING)
+    WHEN 4 THEN concat(' ', p_partkey, ' ') ELSE CAST(p_partkey AS STRING) END AS text FROM part),
+parsed AS (SELECT track_genre, CAST(trunc(TRY_CAST(trim(text) AS DECIMAL(38, 9))) AS BIGINT) AS ms FROM written)
+SELECT track_genre, COUNT(*) AS n_songs, COUNT(ms) AS n_parsed, CAST(SUM(ms % 1000003) AS BIGINT) AS total_rest,
+  MAX(ms) AS longest_ms
+FROM parsed GROUP BY track_genre""",
     "genre_day_lookup": f"""{_EVENTS}
 SELECT * FROM kpis WHERE genre = 'ECONOMY' AND date = DATE '2024-01-15'""",
     "genre_date_top_songs_lookup": f"""{_EVENTS}
@@ -167,6 +183,10 @@ SELECT * FROM top_genres WHERE date = DATE '2024-01-15' ORDER BY rank""",
 SELECT date, listen_count FROM kpis WHERE genre = 'ECONOMY' ORDER BY date""",
     "kpis_by_listen_count": f"""{_EVENTS}
 SELECT * FROM kpis ORDER BY listen_count DESC, genre, date LIMIT 10""",
+    "first_top_songs": f"""{_EVENTS}
+SELECT * FROM tied_songs ORDER BY genre_date, rank, track_name, artists LIMIT 15""",
+    "first_top_genres": f"""{_EVENTS}
+SELECT * FROM tied_genres ORDER BY date, rank, genre LIMIT 20""",
     "run_row_counts": f"""{_EVENTS}
 SELECT (SELECT COUNT(*) FROM streams) AS streams_rows, (SELECT COUNT(*) FROM songs) AS songs_rows,
        (SELECT COUNT(*) FROM enriched) AS enriched_rows""",
@@ -196,7 +216,7 @@ FROM kpis""",
     "event_items": """SELECT event_id,
   CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
        ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts,
-  CAST(CAST(value AS DECIMAL(38,6)) AS DOUBLE) AS value FROM events""",
+  CASE WHEN event_id % 100 <> 0 THEN CAST(CAST(value AS DECIMAL(38,6)) AS DOUBLE) END AS value FROM events""",
     "union_part_files": """SELECT event_id, user_id, CAST(NULL AS STRING) AS event_type
 FROM events WHERE event_type = 'click'
 UNION ALL
@@ -205,7 +225,8 @@ SELECT event_id, CAST(NULL AS BIGINT), event_type FROM events WHERE event_type <
 SELECT source_key, row_count, user_id_null_rate, track_id_null_rate, listen_time_non_null, listen_time_bad,
        track_id_distinct FROM prof""",
     "validate_files": f"{_FILES}\n{_VERDICTS}",
-    "validate_files_all_times": f"WITH {_checked_files(None)}\n{_VERDICTS}",
+    "validate_files_all_times": f"WITH {_checked_files(None, _YEAR_FILES)}\n{_VERDICTS}",
+    "validate_files_first_1000": f"WITH {_checked_files(1000, _YEAR_FILES)}\n{_VERDICTS}",
     "route_files": f"""{_FILES}
 SELECT source_key, concat('tmp/validation/', source_key, '.result.json') AS result_key,
   concat('processed/kpis/', source_key) AS output_prefix,
@@ -214,16 +235,60 @@ SELECT source_key, concat('tmp/validation/', source_key, '.result.json') AS resu
     "passed_files_daily_kpis": f"{_PASSED}\n{_FOUR_KPI_COLUMNS}",
     "csv_enrich_streams": f"{_EVENTS}\nSELECT * FROM enriched",
     "csv_daily_genre_kpis": f"{_EVENTS}\nSELECT * FROM kpis",
+    "csv_kpis_decimal_durations": f"{_EVENTS}\nSELECT * FROM kpis",
     "csv_file_verdicts": """SELECT concat('raw/streams/type=', event_type) AS source_key,
   CASE WHEN event_type IN ('click', 'purchase') THEN 'FAILED' ELSE 'PASSED' END AS status,
   CASE event_type WHEN 'click' THEN 'Missing required columns: [''listen_time'']'
                   WHEN 'purchase' THEN 'Could not read file: a row has more fields than the header'
                   ELSE '' END AS reason
-FROM events GROUP BY event_type""",
+FROM events GROUP BY event_type
+UNION ALL
+SELECT concat('raw/streams/type=', kind), 'FAILED', reason
+FROM (VALUES ('header_only', 'File contains 0 rows — must have at least 1'),
+  ('untimed', 'Column ''listen_time'' has no non-null values to parse'),
+  ('latin', 'Could not read file: not valid UTF-8'),
+  ('empty', 'Could not read file: No columns to parse from file')) t(kind, reason)""",
     "run_verdicts": f"{_FILES}\n{_VERDICTS}",
     "run_daily_genre_kpis": f"{_PASSED}\nSELECT * FROM kpis",
     "run_top_songs_per_genre": f"{_PASSED}\nSELECT * FROM top_songs",
     "run_top_genres_per_day": f"{_PASSED}\nSELECT * FROM top_genres",
+    "run_result_objects": f"""{_FILES}
+SELECT source_key, CASE WHEN reason = '' THEN 'PASSED' ELSE 'FAILED' END AS status, reason,
+  concat('tmp/validation/', source_key, '.result.json') AS result_key FROM verdict""",
+    "run_replace_group": f"""{_EVENTS},
+first_plays AS (SELECT * FROM enriched WHERE day(date) <= 20),
+second_plays AS (SELECT * FROM enriched WHERE day(date) >= 15 AND event_id % 40 = 0),
+{_kpis("first_kpis", "first_plays")},
+{_kpis("second_kpis", "second_plays")},
+{_genre_ranks("first_ranks", "first_kpis")},
+{_genre_ranks("second_ranks", "second_kpis")}
+SELECT * FROM second_ranks
+UNION ALL
+SELECT * FROM first_ranks WHERE date NOT IN (SELECT date FROM second_ranks)""",
+    "run_duplicate_ranks": f"""WITH {_EVENT_PLAYS},
+{_SONGS.replace("songs AS", "listed AS", 1)},
+songs AS (
+  SELECT * FROM listed
+  UNION ALL
+  SELECT track_id, track_genre, duration_ms, concat(track_name, ' (live)'), artists FROM listed WHERE track_id = '7'),
+{_RESULTS},
+twice AS (
+  SELECT split_part(genre_date, '#', 2) AS day, genre_date, rank FROM top_songs
+  GROUP BY genre_date, rank HAVING COUNT(*) > 1),
+failed AS (
+  SELECT day, MIN(concat('table=top_songs_per_genre, genre_date=', genre_date, ', rank=', rank)) AS key
+  FROM twice GROUP BY day)
+SELECT concat('raw/streams/', d.day, '.csv') AS source_key,
+  CASE WHEN key IS NULL THEN 'PASSED' ELSE 'FAILED' END AS status,
+  CASE WHEN key IS NULL THEN '' ELSE concat('Results hold a key more than once: ', key) END AS reason
+FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS STRING) AS day FROM events) d LEFT JOIN failed USING (day)""",
     "stream_daily_kpis": f"{_EVENTS}\nSELECT * FROM kpis",
     "stream_passed_files": f"{_PASSED}\n{_FOUR_KPI_COLUMNS}",
+    "stream_resent_file": f"""{_EVENTS},
+resent AS (SELECT * FROM enriched WHERE day(date) BETWEEN 10 AND 15 AND event_id % 2 = 0),
+{_kpis("later", "resent")}
+SELECT genre, date, listen_count, unique_listeners FROM later
+UNION ALL
+SELECT genre, date, listen_count, unique_listeners FROM kpis
+WHERE (genre, date) NOT IN (SELECT (genre, date) FROM later)""",
 }

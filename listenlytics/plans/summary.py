@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.enrich import catalogue_fits
+from ..operators.enrich import catalogue_fits, is_dated, ready_catalogue, sized
 from ..operators.kpis import (
     daily_genre_kpis,
-    genre_plays,
     song_play_counts,
     top_genres_per_day,
     top_songs_per_genre,
@@ -19,20 +17,22 @@ from ..operators.kpis import (
 
 
 def row_counts(plays: DataFrame, songs: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
-    """One row: plays, catalogue rows, enriched rows."""
-    counted = {
-        "streams_rows": plays.agg(F.count("*").alias("n")),
-        "songs_rows": songs.agg(F.count("*").alias("n")),
-        "enriched_rows": genre_plays(plays, songs, formats).agg(F.sum("copies").alias("n")),
-    }
-    each = [df.select(F.lit(name).alias("what"), "n") for name, df in counted.items()]
-    return reduce(DataFrame.unionAll, each).agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("what") == name, F.col("n"))), F.lit(0))
-            .cast("bigint")
-            .alias(name)
-            for name in counted
-        ]
+    """One row: plays, catalogue rows, enriched rows. Plays and catalogue copies are scanned once."""
+    copies = ready_catalogue(songs).groupBy("track_id").agg(F.count("*").alias("copies"))
+    small = catalogue_fits(songs, columns=("track_id",))
+    matched = F.when(is_dated(plays, formats), F.col("copies"))
+    counted = plays.join(sized(copies, small), "track_id", "left").agg(
+        F.count("*").alias("streams_rows"),
+        F.lit(0).cast("bigint").alias("songs_rows"),
+        F.sum(matched).alias("enriched_rows"),
+    )
+    nothing = F.lit(0).cast("bigint")
+    listed = songs.agg(
+        nothing.alias("streams_rows"), F.count("*").alias("songs_rows"), nothing.alias("enriched_rows")
+    )
+    names = ("streams_rows", "songs_rows", "enriched_rows")
+    return counted.unionAll(listed).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names]
     )
 
 
@@ -41,6 +41,16 @@ def kpis_by_listen_count(kpis: DataFrame, n: int = 10) -> DataFrame:
     return kpis.orderBy(F.desc("listen_count"), "genre", "date").limit(n)
 
 
+def songs_in_order(top_songs: DataFrame, n: int = 15) -> DataFrame:
+    """The first ``n`` ranked songs by genre day and rank; songs of one rank by their name."""
+    return top_songs.orderBy("genre_date", "rank", "track_name", "artists").limit(n)
+
+
+def genres_in_order(top_genres: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` ranked genres by day and rank; genres of one rank by their name."""
+    return top_genres.orderBy("date", "rank", "genre").limit(n)
+
+
 def show_summary(plays: DataFrame, songs: DataFrame, formats: Sequence[str] = ()) -> None:
     """Print the row counts and the heads of the three tables; tied ranks are kept."""
     small = catalogue_fits(songs)
@@ -49,5 +59,5 @@ def show_summary(plays: DataFrame, songs: DataFrame, formats: Sequence[str] = ()
     row_counts(plays, songs, formats).show()
     kpis_by_listen_count(kpis).show(10, truncate=False)
     top_songs = top_songs_per_genre(counts, ties="keep").drop("track_id")
-    top_songs.orderBy("genre_date", "rank").show(15, truncate=40)
-    top_genres_per_day(kpis, ties="keep").orderBy("date", "rank").show(20, truncate=False)
+    songs_in_order(top_songs).show(15, truncate=40)
+    genres_in_order(top_genres_per_day(kpis, ties="keep")).show(20, truncate=False)

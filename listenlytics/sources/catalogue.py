@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The columns of the catalogue.
 CATALOGUE_COLUMNS = ("track_id", "track_genre", "duration_ms", "track_name", "artists")
 
 

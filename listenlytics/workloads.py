@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import to_long
@@ -27,12 +27,28 @@ from .operators import (
     upsert_by_key,
     validate_files,
 )
+from .files import list_arrivals, list_files, move, touch
 from .operators.routing import INBOX
-from .plans import kpis_by_listen_count, read_verdicts, row_counts, run_inbox
+from .plans import (
+    genres_in_order,
+    kpis_by_listen_count,
+    read_verdicts,
+    row_counts,
+    run_inbox,
+    song_key_columns,
+    songs_in_order,
+    table_paths,
+)
 from .session import new_work_folder
 from .sources import inspect_files, land_plays, read_catalogue, read_parts, read_plays
-from .sources.tables import defective_files, event_plays, order_plays, part_catalogue, table
-from .files import list_files
+from .sources.tables import (
+    defective_files,
+    event_plays,
+    order_plays,
+    part_catalogue,
+    table,
+    yearly_files,
+)
 from .streaming import run_stream, stream_into_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,37 +138,75 @@ def kpis_null_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis_of_enriched(enriched)
 
 
+def _written_duration(key: str, size: str) -> Column:
+    """A number as text in several spellings, some of them no number."""
+    text, kind = F.col(key).cast("string"), F.col(size) % 7
+    return (
+        F.when(kind == 0, "oops")
+        .when(kind == 1, F.concat(text, F.lit(".0")))
+        .when(kind == 2, F.concat(text, F.lit(".75")))
+        .when(kind == 3, (F.col(key) + F.lit(9007199254740993)).cast("string"))
+        .when(kind == 4, F.concat(F.lit(" "), text, F.lit(" ")))
+        .otherwise(text)
+    )
+
+
 def duration_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.when(F.col("p_size") % 7 == 0, "oops").otherwise(F.col("p_partkey").cast("string"))
+    ms = to_long(_written_duration("p_partkey", "p_size"))
     return (
         table(spark, sf_dir, "part")
-        .select(F.col("p_type").alias("track_genre"), to_long(text).alias("ms"))
+        .select(F.col("p_type").alias("track_genre"), ms.alias("ms"))
         .groupBy("track_genre")
         .agg(
             F.count("*").alias("n_songs"),
             F.count("ms").alias("n_parsed"),
-            F.sum("ms").alias("total_ms"),
+            F.sum(F.col("ms") % 1000003).alias("total_rest"),
+            F.max("ms").alias("longest_ms"),
         )
     )
 
 
-# Reads of the result tables
+# Reads of the stored result tables
+
+
+def _stored(spark: SparkSession, name: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+    target = new_work_folder(spark, name)
+    upsert_by_key(target, rows, keys)
+    return read_keyed(spark, target)
+
+
+def _stored_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, "daily_genre_kpis", _kpis(spark, sf_dir), ["genre", "date"])
 
 
 def genre_day_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genre_day(_kpis(spark, sf_dir), GENRE, DAY)
+    return genre_day(_stored_kpis(spark, sf_dir), GENRE, DAY)
 
 
 def genre_date_top_songs_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genre_date_top_songs(top_songs(spark, sf_dir), f"{GENRE}#{DAY}")
+    rows = song_key_columns(top_songs(spark, sf_dir))
+    stored = _stored(spark, "top_songs_per_genre", rows, ["genre_date", "rank"])
+    return genre_date_top_songs(stored, f"{GENRE}#{DAY}").drop("genre", "date")
 
 
 def date_top_genres_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return date_top_genres(top_genres(spark, sf_dir), DAY)
+    rows = top_genres(spark, sf_dir)
+    return date_top_genres(_stored(spark, "top_genres_per_day", rows, ["date", "rank"]), DAY)
 
 
 def genre_dates_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genre_dates(_kpis(spark, sf_dir), GENRE)
+    return genre_dates(_stored_kpis(spark, sf_dir), GENRE)
+
+
+# Reports
+
+
+def first_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return songs_in_order(top_songs_ties(spark, sf_dir))
+
+
+def first_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return genres_in_order(top_genres_ties(spark, sf_dir))
 
 
 def most_listened(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +264,8 @@ def kpi_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = to_items(table(spark, sf_dir, "events").select("event_id", "ts", "value"))
+    value = F.when(F.col("event_id") % 100 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    items = to_items(table(spark, sf_dir, "events").select("event_id", "ts", value.alias("value")))
     return items.withColumn("value", F.col("value").cast("double"))
 
 
@@ -228,15 +283,21 @@ def union_part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_files(_files(spark, sf_dir), order=["event_id"])
+    return profile_files(_files(spark, sf_dir))
 
 
 def validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_files(_files(spark, sf_dir), order=["event_id"])
+    return validate_files(_files(spark, sf_dir))
 
 
 def validate_all_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate_files(_files(spark, sf_dir), sample_rows=None)
+    """Long files, one of which has its first bad time behind the first thousand."""
+    return validate_files(yearly_files(spark, sf_dir))
+
+
+def validate_first_1000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, where only the first thousand times of each count."""
+    return validate_files(yearly_files(spark, sf_dir), order=["event_id"], sample_rows=1000)
 
 
 def route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,11 +358,23 @@ def csv_daily_genre_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_genre_kpis(plays, songs)
 
 
+def csv_kpis_decimal_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as CSV whose durations are written with and without fractions."""
+    root = new_work_folder(spark, "csv")
+    tail = F.when(F.col("duration_ms") % 3 == 0, ".0").when(F.col("duration_ms") % 3 == 1, ".5").otherwise("")
+    songs = part_catalogue(spark, sf_dir).withColumn(
+        "duration_ms", F.concat(F.col("duration_ms").cast("string"), tail)
+    )
+    songs.write.option("header", True).option("escape", '"').csv(f"{root}/songs")
+    return daily_genre_kpis(_plays(spark, sf_dir), read_catalogue(spark, f"{root}/songs"))
+
+
 def csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder of CSV files for each event type, with differing headers and widths.
 
     Clicks lack the time, purchases have a field too many in some rows, errors have
-    another column order, sign-ups other letter cases.
+    another column order, sign-ups other letter cases. Of the views there are three further
+    folders, with a header only, without times, and not in UTF-8, and one holds an empty file.
     """
     root = new_work_folder(spark, "csv")
     text = {c: F.col(c).cast("string").alias(c) for c in ("user_id", "track_id", "listen_time")}
@@ -322,10 +395,23 @@ def csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = log.where(F.col("event_type") == kind).select(*columns)
         writer = rows.write.option("header", True).option("quote", "\u0000")
         writer.csv(f"{root}/{INBOX}/type={kind}")
+    views = log.where(F.col("event_type") == "view")
+    untimed = F.lit(None).cast("string").alias("listen_time")
+    foreign = F.concat(text["user_id"], F.lit("\u00e9")).alias("user_id")
+    others = {
+        "header_only": (views.select(*text.values()).limit(0).coalesce(1), "UTF-8"),
+        "untimed": (views.select("user_id", "track_id", untimed), "UTF-8"),
+        "latin": (views.select(foreign, "track_id", text["listen_time"]), "ISO-8859-1"),
+    }
+    for kind, (rows, encoding) in others.items():
+        writer = rows.write.option("header", True).option("encoding", encoding)
+        writer.csv(f"{root}/{INBOX}/type={kind}")
+    touch(spark, f"{root}/{INBOX}/type=empty/part-0.csv")
     paths = [path for path, _ in list_files(spark, f"{root}/{INBOX}")]
     inspection = inspect_files(spark, paths, root, "directory")
     plays = land_plays(spark, inspection, root, f"{root}/plays", "directory")
-    folders = spark.createDataFrame([(f"{INBOX}/type={kind}",) for kind in layouts], "source_key string")
+    kinds = [(f"{INBOX}/type={kind}",) for kind in [*layouts, *others, "empty"]]
+    folders = spark.createDataFrame(kinds, "source_key string")
     return validate_files(plays, folders, inspection)
 
 
@@ -368,6 +454,55 @@ def run_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_result_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdicts as they lie at their result keys, one object for each file."""
+    root, _ = _run(spark, sf_dir)
+    objects = spark.read.schema("source_key string, status string, reason string, result_key string")
+    key = F.regexp_replace("source_key", "day=(.*)$", "$1.csv")
+    place = F.regexp_replace("result_key", "day=([0-9-]*)", "$1.csv")
+    return objects.json(f"{root}/tmp/validation/{INBOX}/*.result.json").select(
+        key.alias("source_key"), "status", "reason", place.alias("result_key")
+    )
+
+
+def _send(spark: SparkSession, rows: DataFrame, root: str) -> None:
+    """Put plays into the inbox, one CSV file for each value of ``file``, named after it."""
+    folder = new_work_folder(spark, "outbox")
+    plays = rows.select("file", "user_id", "track_id", F.col("listen_time").cast("string").alias("listen_time"))
+    plays.repartition("file").write.partitionBy("file").option("header", True).csv(folder)
+    for sent in list_arrivals(spark, folder):
+        name = sent.path.rpartition("/")[0].rpartition("file=")[2]
+        move(spark, sent, f"{root}/{INBOX}/{name}.csv")
+
+
+def _by_day(plays: DataFrame) -> DataFrame:
+    return plays.withColumn("file", F.col("listen_time").cast("date").cast("string"))
+
+
+def run_replace_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later file with few plays of the second half of the month replaces whole days."""
+    root = new_work_folder(spark, "run")
+    plays = _plays(spark, sf_dir)
+    day = F.dayofmonth("listen_time")
+    _send(spark, plays.where(day <= 20).withColumn("file", F.lit("first")), root)
+    later = plays.where((day >= 15) & (F.col("event_id") % 40 == 0))
+    _send(spark, later.withColumn("file", F.lit("second")), root)
+    run_inbox(spark, part_catalogue(spark, sf_dir), root, "both", mode="replace_group")
+    return read_keyed(
+        spark, table_paths(root)["top_genres_per_day"], "date date, rank int, genre string, listen_count bigint"
+    )
+
+
+def run_duplicate_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts where the catalogue has one track under two names: only files it ranks in fail."""
+    root = new_work_folder(spark, "run")
+    songs = part_catalogue(spark, sf_dir)
+    again = songs.where("track_id = '7'").withColumn("track_name", F.concat("track_name", F.lit(" (live)")))
+    _send(spark, _by_day(_plays(spark, sf_dir)), root)
+    run_inbox(spark, songs.unionByName(again), root, "twice")
+    return read_verdicts(spark, root, "twice").select("source_key", "status", "reason")
+
+
 # Streams
 
 
@@ -410,6 +545,23 @@ def stream_passed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("genre", "date", "listen_count", "unique_listeners")
 
 
+def stream_resent_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day files, some of which are sent again under their names with other rows."""
+    root = new_work_folder(spark, "arrivals")
+    songs = part_catalogue(spark, sf_dir)
+    plays = _by_day(_plays(spark, sf_dir))
+    again = plays.where(F.dayofmonth("listen_time").between(10, 15) & (F.col("event_id") % 2 == 0))
+    for sent in (plays, again):
+        _send(spark, sent, root)
+        run_stream(
+            spark, lambda: songs, root, f"{root}/checkpoint", max_files_per_trigger=None
+        ).awaitTermination()
+    return read_keyed(
+        spark, table_paths(root)["daily_genre_kpis"],
+        "genre string, date date, listen_count bigint, unique_listeners bigint",
+    ).select("genre", "date", "listen_count", "unique_listeners")
+
+
 QUERIES: dict[str, Query] = {
     "enrich_streams": enrich_streams,
     "daily_genre_kpis": _kpis,
@@ -430,6 +582,8 @@ QUERIES: dict[str, Query] = {
     "date_top_genres_lookup": date_top_genres_lookup,
     "genre_dates_lookup": genre_dates_lookup,
     "kpis_by_listen_count": most_listened,
+    "first_top_songs": first_top_songs,
+    "first_top_genres": first_top_genres,
     "run_row_counts": run_row_counts,
     "upsert_kpis": upsert_kpis,
     "upsert_top_genres_stale_ranks": upsert_top_genres_stale_ranks,
@@ -441,15 +595,21 @@ QUERIES: dict[str, Query] = {
     "file_quality_profile": file_quality_profile,
     "validate_files": validate,
     "validate_files_all_times": validate_all_times,
+    "validate_files_first_1000": validate_first_1000,
     "route_files": route,
     "passed_files_daily_kpis": passed_files_daily_kpis,
     "csv_enrich_streams": csv_enrich_streams,
     "csv_daily_genre_kpis": csv_daily_genre_kpis,
+    "csv_kpis_decimal_durations": csv_kpis_decimal_durations,
     "csv_file_verdicts": csv_file_verdicts,
     "run_verdicts": run_verdicts,
     "run_daily_genre_kpis": run_daily_kpis,
     "run_top_songs_per_genre": run_top_songs,
     "run_top_genres_per_day": run_top_genres,
+    "run_result_objects": run_result_objects,
+    "run_replace_group": run_replace_group,
+    "run_duplicate_ranks": run_duplicate_ranks,
     "stream_daily_kpis": stream_daily_kpis,
     "stream_passed_files": stream_passed_files,
+    "stream_resent_file": stream_resent_file,
 }

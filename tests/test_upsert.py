@@ -139,6 +139,16 @@ def test_lookups_open_one_day(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize(
+    "name", ["genre_day_lookup", "genre_date_top_songs_lookup", "date_top_genres_lookup"]
+)
+def test_lookup_queries_open_one_day(spark, sf_dir, name):
+    from listenlytics.workloads import QUERIES
+
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "Exchange" not in plan.replace("Exchange rangepartitioning", "")
+
+
 def test_song_table(spark, tmp_path):
     songs = spark.createDataFrame(
         [("r#b#2024-01-01", 2, "t2"), ("r#b#2024-01-01", 1, "t1"), ("pop#2024-01-02", 1, "t3")],
