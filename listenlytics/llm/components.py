@@ -50,6 +50,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if after == before:
             break
         before = after
+    # every edge now joins a node to the centre of its component
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.unionByName(centres)

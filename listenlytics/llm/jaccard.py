@@ -9,9 +9,10 @@ each: that is the window of regions into which a document is replicated, and eve
 within the limit meets in one of them.
 
 In a region, documents of at most ``SMALL`` members are compared in pairs. A larger region
-recurses with document pivots: all members are compared with 4 ** round pivots, members
+recurses with document pivots: all members are compared with 16 ** round pivots, members
 that end up in one component need no further comparison, the pivots leave, and what remains
-is the next, smaller region. Before any sets are moved, each pair has to pass the
+is the next, smaller region, until what is left of all crowds is few for the input and is
+compared in pairs. Before any sets are moved, each pair has to pass the
 triangle inequality on the distances to 64 fixed pivot sets, the parts of the hash range:
 the sum over parts of the differences of |A in part| is at most |A - B| + |B - A|.
 
@@ -25,21 +26,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import new_work_folder
 from ..staging import written
 from .components import components
 from .frames import map_texts
-from .words import shingle_hashes, text_blocks
+from .words import shingle_hashes, small_batches, text_blocks
 
 SHINGLE = 3
 PERCENT = 90
 SMALL = 24
+GROWTH = 16
+PAIRS_PER_MEMBER = 16
 PARTS = 64
-COUNTERS = 1 << 22
-LOCAL_TOP, GLOBAL_TOP = 4096, 1 << 16
+COUNTERS = 1 << 23
+LOCAL_TOP, GLOBAL_TOP = 1 << 16, 1 << 18
 BROADCAST_ROWS = 1_000_000
 
 
@@ -67,60 +72,71 @@ def _signature(shingles: np.ndarray) -> bytes:
     return parts.clip(max=65535).astype("<u2").tobytes()
 
 
-def _described(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(_id, n_shingles, key, signature) of every row."""
-
-    def start():
-        def make(column: pa.Array) -> list[pa.Array]:
-            sets = list(shingle_sets(column, size))
-            return [
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_key(s) for s in sets], pa.binary()),
-                pa.array([_signature(s) for s in sets], pa.binary()),
-            ]
-
-        return make
-
-    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return map_texts(named, "_text", "n_shingles long, key binary, signature binary", start, ["_id"])
-
-
 def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles & np.uint64(COUNTERS - 1)).astype(np.int64)
 
 
-def _frequent(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counters of shingles that are frequent in some part of the corpus, with their sums.
+def _described(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(_id, n_shingles, key, signature) of every row, and counters in the same pass.
 
-    They only set the order of the shingles, so that crowded shingles come last; any order
-    gives the same pairs. Each task reports at most ``LOCAL_TOP`` counters and at most
-    ``GLOBAL_TOP`` sums come to the driver.
+    The counters are rows with only ``counter`` and ``total``: for each task the
+    ``LOCAL_TOP`` most frequent of its shingles' counters.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(COUNTERS, np.int32)
         for batch in batches:
-            for shingles in shingle_sets(batch.column(0), size):
+            counts, keys, signatures = [], [], []
+            for shingles in shingle_sets(batch.column(1), size):
+                counts.append(len(shingles))
+                keys.append(_key(shingles))
+                signatures.append(_signature(shingles))
                 np.add.at(totals, _counter(shingles), 1)
+            nothing = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(counts, pa.int64()),
+                    pa.array(keys, pa.binary()),
+                    pa.array(signatures, pa.binary()),
+                    nothing,
+                    nothing,
+                ],
+                names=schema.names,
+            )
         top = np.argpartition(totals, -LOCAL_TOP)[-LOCAL_TOP:]
         top = top[totals[top] > 1]
+        columns = [pa.nulls(len(top), t) for t in (id_type, pa.int64(), pa.binary(), pa.binary())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(top, pa.int64()), pa.array(totals[top], pa.int64())], names=["counter", "total"]
+            [*columns, pa.array(top, pa.int64()), pa.array(totals[top], pa.int64())],
+            names=schema.names,
         )
 
-    text = docs.select(F.col(text_col).cast("string").alias("text"))
+    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    small_batches(docs.sparkSession)
+    schema = T.StructType.fromDDL(
+        "n_shingles long, key binary, signature binary, counter long, total long"
+    )
+    schema = T.StructType([named.schema["_id"], *schema.fields])
+    id_type = to_arrow_type(named.schema["_id"].dataType)
+    return named.mapInArrow(describe, schema)
+
+
+def _frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counters of shingles that are frequent in some part of the corpus, with their sums.
+
+    They only set the order of the shingles, so that crowded shingles come last; any order
+    gives the same links. At most ``GLOBAL_TOP`` sums come to the driver.
+    """
     rows = (
-        text.mapInArrow(count, "counter long, total long")
+        described.where("counter IS NOT NULL")
         .groupBy("counter")
         .agg(F.sum("total").alias("total"))
         .orderBy(F.desc("total"), "counter")
         .limit(GLOBAL_TOP)
-        .collect()
-    )
-    return (
-        np.array([row["counter"] for row in rows], np.int64),
-        np.array([row["total"] for row in rows], np.int64),
+        .toPandas()
     )
+    return rows["counter"].to_numpy(), rows["total"].to_numpy()
 
 
 def _least_overlap(n: int, percent: int) -> int:
@@ -131,7 +147,7 @@ def _least_overlap(n: int, percent: int) -> int:
 def _windows(
     docs: DataFrame, text_col: str, size: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]
 ) -> DataFrame:
-    """(region, key): the regions of each document's window, copies in a batch once."""
+    """(region, key, place): each document's window of regions in their order, copies in a batch once."""
     order = docs.sparkSession.sparkContext.broadcast(frequent)  # ``GLOBAL_TOP`` entries at most
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +155,7 @@ def _windows(
         weight = np.zeros(COUNTERS, np.int64)
         weight[counters] = totals
         for batch in batches:
-            regions, keys, seen = [], [], set()
+            regions, keys, places, seen = [], [], [], set()
             for shingles in shingle_sets(batch.column(0), size):
                 key = _key(shingles)
                 n = len(shingles)
@@ -149,17 +165,31 @@ def _windows(
                 window = n - _least_overlap(n, percent) + 1
                 ranked = np.lexsort((shingles, weight[_counter(shingles)]))[:window]
                 regions.append(shingles[ranked].view(np.int64))
+                places.append(np.arange(window))
                 keys += [key] * window
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(regions) if regions else np.zeros(0, np.int64)),
                     pa.array(keys, pa.binary()),
+                    pa.array(np.concatenate(places) if places else np.zeros(0, np.int64), pa.int32()),
                 ],
-                names=["region", "key"],
+                names=["region", "key", "place"],
             )
 
     text = docs.select(F.col(text_col).cast("string").alias("text"))
-    return text.mapInArrow(replicate, "region long, key binary")
+    return text.mapInArrow(replicate, "region long, key binary, place int")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and places of two members of a region allow a link.
+
+    In the region of their first common shingle, all common ones stand at or behind its
+    place in both, so neither may have fewer left than a link needs.
+    """
+    total = F.col("n_a") + F.col("n_b")
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    return sizes & ((100 + percent) * left >= percent * total)
 
 
 def _small_enough(df: DataFrame) -> DataFrame:
@@ -174,7 +204,7 @@ def _signature_passes(a: np.ndarray, b: np.ndarray, n: np.ndarray, percent: int)
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (key_a, key_b) whose sizes and signatures do not rule out a link."""
+    """Pairs (key_a, key_b) whose signatures do not rule out a link."""
     side = {
         s: classes.select(
             F.col("key").alias(f"key_{s}"), F.col("rep").alias(f"rep_{s}"),
@@ -183,9 +213,6 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for s in "ab"
     }
     known = pairs.join(side["a"], "key_a").join(side["b"], "key_b")
-    near = known.where(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,7 +226,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 yield batch.select([0, 1, 2, 3]).filter(keep)
 
     columns = ("key_a", "key_b", "rep_a", "rep_b", "signature_a", "signature_b")
-    return near.select(*columns, (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(
+    return known.select(*columns, (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(
         check, "key_a binary, key_b binary, rep_a long, rep_b long"
     )
 
@@ -224,8 +251,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).mapInArrow(check, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, text_col: str, size: int, keys: DataFrame) -> DataFrame:
-    """(key, shingles) of the wanted keys, worked out from the texts again."""
+def _sets_of(
+    docs: DataFrame, id_col: str, text_col: str, size: int, wanted: DataFrame
+) -> DataFrame:
+    """(key, shingles) of the ``wanted`` (key, rep), worked out from their texts again.
+
+    Only the representatives' texts are read anew, so no sets of other documents are kept
+    or moved.
+    """
 
     def start():
         def make(column: pa.Array) -> list[pa.Array]:
@@ -237,10 +270,13 @@ def _sets_of(docs: DataFrame, text_col: str, size: int, keys: DataFrame) -> Data
 
         return make
 
-    named = docs.select(F.col(text_col).alias("_text"))
-    every = map_texts(named, "_text", "key binary, shingles binary", start, [])
-    return every.join(_small_enough(keys), "key", "left_semi").groupBy("key").agg(
-        F.min("shingles").alias("shingles")
+    named = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text"))
+    theirs = named.join(_small_enough(wanted.select("rep").distinct()), "rep", "left_semi")
+    found = map_texts(theirs, "_text", "key binary, shingles binary", start, [])
+    return (
+        found.join(_small_enough(wanted.select("key")), "key", "left_semi")
+        .groupBy("key")
+        .agg(F.min("shingles").alias("shingles"))
     )
 
 
@@ -264,7 +300,8 @@ def jaccard_components(
     def kept(df: DataFrame, label: str) -> DataFrame:
         return written(df, new_work_folder(spark, label))
 
-    described = kept(_described(docs, id_col, text_col, size), "described")
+    table = kept(_described(docs, id_col, text_col, size), "described")
+    described = table.where("counter IS NULL").drop("counter", "total")
     classes = kept(
         described.where("n_shingles > 0 AND _id IS NOT NULL")
         .groupBy("key")
@@ -275,55 +312,72 @@ def jaccard_components(
         ),
         "classes",
     )
-    windows = _windows(
-        docs.where(F.col(id_col).isNotNull()), text_col, size, percent, _frequent(docs, text_col, size)
-    )
+    names = classes.select("key", "rep", F.col("n_shingles").alias("n"))
+    with_id = docs.where(F.col(id_col).isNotNull())
+    windows = kept(_windows(with_id, text_col, size, percent, _frequent(table)), "windows")
     mark = F.xxhash64("key")
     shared = windows.groupBy("region").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
     shared = kept(shared.where("low != high").select("region"), "regions")
-    members = kept(
-        windows.join(_small_enough(shared), "region", "left_semi").distinct(), "members"
-    )
-    wanted = kept(members.select("key").distinct(), "wanted")
-    sets = kept(_sets_of(docs, text_col, size, wanted), "sets")
-    names = classes.select("key", "rep")
+    members = windows.join(_small_enough(shared), "region", "left_semi").distinct()
+    members = kept(members.join(names, "key").select("region", "key", "rep", "n", "place"), "members")
 
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, component long")
-    turn = 0
+    n_members, turn = members.count(), 0
     while True:
-        labelled = (
-            members.join(names, "key")
-            .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("region", "key", F.coalesce("component", "rep").alias("component"))
+        labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "region", "key", "rep", "n", "place", F.coalesce("component", "rep").alias("component")
         )
         counts = labelled.groupBy("region").agg(
             F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
         )
         open_regions = counts.where("low != high").select("region", "size")
         current = kept(labelled.join(open_regions, "region"), "current")
-        if current.isEmpty():
+        open_rows = current.agg(
+            F.count("*").alias("rows"),
+            F.sum(F.when(F.col("size") > SMALL, F.col("size"))).alias("crowd_pairs"),
+        ).first()
+        if not open_rows["rows"]:
             break
-        rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("key"), "key"))
-        crowded = current.where(F.col("size") > SMALL)
-        pivots = kept(
-            crowded.withColumn("rank", rank).where(F.col("rank") <= 4**turn).select("region", "key", "component"),
-            "pivots",
+        # what is left of the crowds is compared in pairs as soon as these are few for the input
+        last = (open_rows["crowd_pairs"] or 0) <= (PAIRS_PER_MEMBER * n_members if turn else 0)
+        columns = ("key", "n", "place", "component")
+        crowded = current.where(F.lit(not last) & (F.col("size") > SMALL))
+        rest = current.where(F.lit(last) | (F.col("size") <= SMALL))
+        first = rest.select("region", *columns, F.lit(False).alias("pivot"))
+        if not last:
+            rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("key"), "key"))
+            pivots = kept(
+                crowded.withColumn("rank", rank)
+                .where(F.col("rank") <= GROWTH**turn)
+                .select("region", *columns, F.lit(True).alias("pivot")),
+                "pivots",
+            )
+            first = first.unionByName(pivots)
+        a = first.select("region", "pivot", *[F.col(c).alias(f"{c}_a") for c in columns])
+        b = current.select("region", *[F.col(c).alias(f"{c}_b") for c in columns])
+        pairs = (
+            a.join(b, "region")
+            .where("component_a != component_b AND (pivot OR key_a < key_b)")
+            .where(_may_link(percent))
+            .select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
+            .distinct()
         )
-        first = pivots.unionByName(current.where(F.col("size") <= SMALL).select("region", "key", "component"))
-        a = first.select("region", F.col("key").alias("key_a"), F.col("component").alias("component_a"))
-        b = current.select("region", F.col("key").alias("key_b"), F.col("component").alias("component_b"))
-        pairs = a.join(b, "region").where("component_a != component_b")
-        pairs = pairs.select(
-            F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b")
-        ).distinct()
         plausible = kept(_plausible(pairs, classes, percent), "plausible")
+        sides = [plausible.select(F.col(f"key_{s}").alias("key"), F.col(f"rep_{s}").alias("rep")) for s in "ab"]
+        wanted = kept(sides[0].unionByName(sides[1]).distinct(), "wanted")
+        sets = kept(_sets_of(with_id, id_col, text_col, size, wanted), "sets")
         found = kept(_verified(plausible, sets, percent), "found")
-        links = kept(links.unionByName(found), "links")
-        labels = kept(components(links), "labels")
-        members = crowded.join(pivots, ["region", "key"], "left_anti").select("region", "key")
+        if not found.isEmpty():
+            links = kept(links.unionByName(found), "links")
+            labels = components(links)
+        if last:
+            break
+        members = crowded.join(pivots, ["region", "key"], "left_anti").select(
+            "region", "key", "rep", "n", "place"
+        )
         turn += 1
-    result = described.join(names, "key", "left").join(
+    result = described.join(names.select("key", "rep"), "key", "left").join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
     )
     own = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(F.coalesce("component", "rep"))
@@ -361,3 +415,26 @@ def one_of_each(
     once = left.join(several, id_col, "left_anti")
     again = left.join(several, id_col, "left_semi").dropDuplicates([id_col])
     return once.unionByName(again).select(*docs.columns)
+
+
+COMPONENTS_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+spread AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM worded WHERE len(w) > 0),
+sets AS (SELECT DISTINCT doc_id, w[i:i + 2] AS shingle FROM spread),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+  WHERE 100 * s.n >= 90 * (x.n + y.n - s.n)),
+reach(a, b) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
+"""

@@ -11,7 +11,7 @@ from .benchmarks import contaminations
 from .bpe import public_vocabulary, token_digests
 from .gam import quality_scores
 from .hosts import JUDGE_SQL, judge_urls
-from .jaccard import jaccard_components
+from .jaccard import COMPONENTS_SQL, jaccard_components
 from .licenses import SCAN_SQL, license_scan
 from .pages import extract_pages
 from .secrets import secret_spans
@@ -98,5 +98,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": JUDGE_SQL,
+    "op6_ngram_jaccard_join": COMPONENTS_SQL,
     "op10_license_scans": SCAN_SQL,
 }

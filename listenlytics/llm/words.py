@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 BATCH_ROWS = "500"
 
 _rng = np.random.default_rng(20240607)

@@ -68,9 +68,12 @@ def near_copies(rng, base, n, most):
         yield " ".join(words)
 
 
-def test_crowded_regions(spark, monkeypatch):
+@pytest.mark.parametrize("pairs_per_member", [0, 16])
+def test_crowded_regions(spark, monkeypatch, pairs_per_member):
     """Far more near copies than a region may compare in pairs, in chains and next to each other."""
     monkeypatch.setattr(jaccard, "SMALL", 4)
+    monkeypatch.setattr(jaccard, "GROWTH", 3)
+    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", pairs_per_member)
     rng = random.Random(6)
     base = [f"w{k}" for k in range(120)]
     other = [f"v{k}" for k in range(60)] + base[:60]
@@ -225,7 +228,7 @@ def test_native_plans(spark, sf_dir):
 def test_against_sql(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for view in ("documents", "pages", "labels"):
+    for view in ("documents", "pages", "labels", "benchmark"):
         con.sql(f"CREATE VIEW {view} AS SELECT * FROM '{sf_dir}/{view}.parquet'")
     got = queries.QUERIES[name](spark, sf_dir)
     wanted = con.sql(queries.ORACLE_SQL[name])
