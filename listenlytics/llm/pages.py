@@ -17,10 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import new_work_folder
+from ..staging import written
 from .hosts import host_of
 from .words import small_batches
 
 MIN_VOTE_SHARE = 0.05
+BROADCAST_BYTES = 32 << 20
 
 # Kinds of elements, and class words of what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -277,8 +280,10 @@ def extract_pages(
         F.col(id_col).alias("_id"), url.alias("_url"), host_of(url).alias("host"),
         F.col(html_col).cast("string").alias("_html"),
     )
-    paths = host_paths(pages, url_col, html_col)
-    joined = named.join(paths, "host", "left")
+    # hosts are far fewer than pages; only a measured table of paths is broadcast, larger ones shuffle
+    paths = written(host_paths(pages, url_col, html_col), new_work_folder(pages.sparkSession, "paths"))
+    size = paths.agg(F.sum(F.octet_length("host") + F.octet_length(F.array_join("paths", " ")) + 64)).first()[0]
+    joined = named.join(F.broadcast(paths) if (size or 0) <= BROADCAST_BYTES else paths, "host", "left")
     fields = joined.select("_id", "_url").schema.add("text", "string").add("n_chars", "long").add("path", "string")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
