@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from listenlytics.llm.benchmarks import without_contaminated  # noqa: E402
-from listenlytics.llm.bpe import decode, encode, public_vocabulary  # noqa: E402
+from listenlytics.llm.bpe import encode, public_vocabulary  # noqa: E402
 from listenlytics.llm.jaccard import one_of_each  # noqa: E402
 from listenlytics.llm.secrets import mask_secrets  # noqa: E402
 from listenlytics.llm.weakrules import keep_good  # noqa: E402
@@ -50,7 +50,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, packed as little-endian uint32, and the round trip's digests."""
     vocabulary, pattern = public_vocabulary()
-    return decode(encode(docs, vocabulary, pattern), vocabulary).select(
+    return encode(docs, vocabulary, pattern, with_decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         "ids",

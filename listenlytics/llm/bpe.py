@@ -4,9 +4,9 @@ The distinct pieces of a slice of the corpus are laid out as one array of symbol
 inverted index gives for each rank (a pair of neighbours whose joined bytes have that rank)
 the positions where the pair stands; ranks are taken in ascending order from a heap, all
 positions of a rank are merged from left to right, and only the two neighbours of a merged
-position look up their new rank. A slice is what one task holds between two flushes, bounded
-by ``CACHE_PIECES``: joining the pieces of every document with one table for the whole corpus
-would shuffle several times the text for the same ids.
+position look up their new rank. A slice is the pieces of a batch that the worker has not met
+lately; those it has are remembered, at most ``2 * CACHE_PIECES``. Joining the pieces of every
+document with one table for the whole corpus would shuffle several times the text for the same ids.
 """
 
 from __future__ import annotations
@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .frames import map_texts
 from .words import small_batches
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 200_000
 MAX_VOCABULARY_BYTES = 64 << 20
 
-_workers: dict[int, tuple[MergeReplay, dict[str, bytes]]] = {}  # stays while Spark reuses a worker
+_workers: dict[int, Encoder] = {}  # stays while Spark reuses a worker
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -135,46 +136,91 @@ class MergeReplay:
         return [packed[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
+class Encoder:
+    """Encodes texts, remembering the pieces it met lately in two generations."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        import regex
+
+        self.pieces_of = regex.compile(pattern).findall
+        self.replay = MergeReplay(ranks)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text; null texts have none."""
+        pieces = [self.pieces_of(text) if text else [] for text in texts]
+        known: dict[str, bytes] = {}
+        new = []
+        for piece in {piece for one in pieces for piece in one}:
+            ids = self.young.get(piece) or self.old.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                known[piece] = ids
+        known.update(zip(new, self.replay.encode([p.encode() for p in new]), strict=True))
+        self.young.update(known)
+        if len(self.young) > CACHE_PIECES:
+            self.young, self.old = {}, self.young
+        return [b"".join([known[piece] for piece in one]) for one in pieces]
+
+
+class Decoder:
+    """The bytes that packed ids stand for."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_id = sorted((rank, token) for token, rank in ranks.items())
+        self.lengths = np.zeros(by_id[-1][0] + 1, np.int64)
+        self.lengths[[rank for rank, _ in by_id]] = [len(token) for _, token in by_id]
+        self.offsets = np.concatenate(([0], np.cumsum(self.lengths)))
+        self.content = np.frombuffer(b"".join(token for _, token in by_id), np.uint8)
+
+    def decode(self, packed: bytes) -> bytes:
+        ids = np.frombuffer(packed, "<u4")
+        size = self.lengths[ids]
+        ends = np.cumsum(size)
+        shift = np.repeat(self.offsets[ids] - (ends - size), size)
+        return self.content[shift + np.arange(len(shift))].tobytes()
+
+
 def encode(
     docs: DataFrame,
     vocabulary: str,
     pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
+    with_decoded: bool = False,
 ) -> DataFrame:
     """``id_col`` and ``ids``: the token ids of each text, packed little-endian uint32.
 
     ``vocabulary`` is the path of a rank file that the driver can read, ``pattern`` splits a
-    text into pieces that merge on their own. Null and empty texts have no ids (an empty
-    binary). One row for each input row, repeated rows and null ids included.
+    text into pieces that merge on their own. ``with_decoded`` adds what the ids decode to.
+    Null and empty texts have no ids (an empty binary). One row for each input row, repeated
+    rows and null ids included.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     table = read_ranks(vocabulary)
-    marker = zlib.crc32(b"".join(b"%s %d " % item for item in table.items()))
+    marker = zlib.crc32(b"".join(b"%s %d " % item for item in table.items()) + pattern.encode())
     ranks = spark.sparkContext.broadcast(table)
-    schema = docs.select(F.col(id_col)).schema.add("ids", "binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        pieces_of = regex.compile(pattern).findall
+    def start():
         if marker not in _workers:
             _workers.clear()
-            _workers[marker] = MergeReplay(ranks.value), {}
-        replay, known = _workers[marker]
-        for batch in batches:
-            texts = [pieces_of(text) if text else [] for text in batch.column(1).to_pylist()]
-            if len(known) > CACHE_PIECES:
-                known.clear()
-            new = list({piece for pieces in texts for piece in pieces if piece not in known})
-            known.update(zip(new, replay.encode([p.encode() for p in new]), strict=True))
-            ids = [b"".join([known[piece] for piece in pieces]) for pieces in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"]
-            )
+            _workers[marker] = Encoder(ranks.value, pattern)
+        decoder = Decoder(ranks.value) if with_decoded else None
+
+        def make(column: pa.Array) -> list[pa.Array]:
+            ids = _workers[marker].encode(column.to_pylist())
+            columns = [pa.array(ids, pa.binary())]
+            if decoder:
+                columns.append(pa.array([decoder.decode(one) for one in ids], pa.binary()))
+            return columns
+
+        return make
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    fields = "ids binary, decoded binary" if with_decoded else "ids binary"
+    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return map_texts(named, "_text", fields, start, ["_id"]).withColumnRenamed("_id", id_col)
 
 
 def decode(tokens: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
@@ -186,19 +232,10 @@ def decode(tokens: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFram
     schema = T.StructType([*tokens.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = sorted((rank, token) for token, rank in ranks.value.items())
-        lengths = np.zeros(by_id[-1][0] + 1, np.int64)
-        lengths[[rank for rank, _ in by_id]] = [len(token) for _, token in by_id]
-        offsets = np.concatenate(([0], np.cumsum(lengths)))
-        content = np.frombuffer(b"".join(token for _, token in by_id), np.uint8)
+        decoder = Decoder(ranks.value)
         for batch in batches:
-            decoded = []
-            for packed in batch.column(names.index(ids_col)):
-                ids = np.frombuffer(packed.as_buffer() if packed.is_valid else b"", "<u4")
-                size = lengths[ids]
-                ends = np.cumsum(size)
-                shift = np.repeat(offsets[ids] - (ends - size), size)
-                decoded.append(content[shift + np.arange(len(shift))].tobytes())
+            packed = batch.column(names.index(ids_col)).to_pylist()
+            decoded = [decoder.decode(one or b"") for one in packed]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(decoded, pa.binary())], names=[*names, "decoded"]
             )
@@ -210,8 +247,7 @@ def token_digests(
     docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Token counts and digests of ids and of decoded bytes, a round trip for each text."""
-    whole = decode(encode(docs, vocabulary, pattern, id_col, text_col), vocabulary)
-    return whole.select(
+    return encode(docs, vocabulary, pattern, id_col, text_col, with_decoded=True).select(
         id_col,
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
