@@ -8,23 +8,29 @@ from pyspark.sql import functions as F
 from ..session import new_work_folder
 from ..staging import written
 
+BROADCAST_EDGES = 1_000_000
+
 
 def _kept(df: DataFrame) -> DataFrame:
     return written(df, new_work_folder(df.sparkSession, "links"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the least of its neighbourhood."""
+def _large_star(edges: DataFrame, few: bool) -> DataFrame:
+    """Every larger neighbour of a node is linked to the least of its neighbourhood.
+
+    ``few``: the edges are counted and few, so a row for each node can be broadcast.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    linked = both.where("b > a").join(least, "a")
-    return linked.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a != b").distinct()
+    linked = both.where("b > a").join(F.broadcast(least) if few else least, "a")
+    return linked.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a != b")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, few: bool) -> DataFrame:
     """Every node and its smaller neighbours are linked to the least of them; a > b in all edges."""
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    linked = edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    linked = edges.join(F.broadcast(least) if few else least, "a")
+    linked = linked.select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = least.select("a", F.col("least").alias("b"))
     return linked.unionByName(own).where("a != b").distinct()
 
@@ -45,7 +51,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = _kept(edges.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
     before = _state(edges)
     while True:
-        edges = _kept(_small_star(_large_star(edges)))
+        few = before[0] <= BROADCAST_EDGES
+        edges = _kept(_small_star(_large_star(edges, few), few))
         after = _state(edges)
         if after == before:
             break

@@ -147,15 +147,19 @@ def _least_overlap(n: int, percent: int) -> int:
 def _windows(
     docs: DataFrame, text_col: str, size: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]
 ) -> DataFrame:
-    """(region, key, place): each document's window of regions in their order, copies in a batch once."""
+    """(region, key, n, place): each document's window of regions in their order.
+
+    ``n`` is the document's number of shingles. Copies in a batch come once.
+    """
     order = docs.sparkSession.sparkContext.broadcast(frequent)  # ``GLOBAL_TOP`` entries at most
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, totals = order.value
         weight = np.zeros(COUNTERS, np.int64)
         weight[counters] = totals
+        nothing = np.zeros(0, np.int64)
         for batch in batches:
-            regions, keys, places, seen = [], [], [], set()
+            regions, keys, sizes, places, seen = [], [], [], [], set()
             for shingles in shingle_sets(batch.column(0), size):
                 key = _key(shingles)
                 n = len(shingles)
@@ -167,17 +171,19 @@ def _windows(
                 regions.append(shingles[ranked].view(np.int64))
                 places.append(np.arange(window))
                 keys += [key] * window
+                sizes.append(np.full(window, n))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(regions) if regions else np.zeros(0, np.int64)),
+                    pa.array(np.concatenate([nothing, *regions])),
                     pa.array(keys, pa.binary()),
-                    pa.array(np.concatenate(places) if places else np.zeros(0, np.int64), pa.int32()),
+                    pa.array(np.concatenate([nothing, *sizes])),
+                    pa.array(np.concatenate([nothing, *places])),
                 ],
-                names=["region", "key", "place"],
+                names=["region", "key", "n", "place"],
             )
 
     text = docs.select(F.col(text_col).cast("string").alias("text"))
-    return text.mapInArrow(replicate, "region long, key binary, place int")
+    return text.mapInArrow(replicate, "region long, key binary, n long, place long")
 
 
 def _may_link(percent: int) -> Column:
@@ -192,6 +198,30 @@ def _may_link(percent: int) -> Column:
     return sizes & ((100 + percent) * left >= percent * total)
 
 
+def _shared_regions(windows: DataFrame, percent: int) -> DataFrame:
+    """(region) of the regions that two documents may link in.
+
+    Of a region with two rows, which most are, both sizes and places are known from the least
+    and the greatest of them, packed into one number each.
+    """
+    mark, shift = F.xxhash64("key"), 1 << 32
+    packed = F.col("n") * shift + F.col("place")
+    found = windows.groupBy("region").agg(
+        F.count("*").alias("rows"),
+        F.min(mark).alias("low"),
+        F.max(mark).alias("high"),
+        F.min(packed).alias("least"),
+        F.max(packed).alias("greatest"),
+    )
+    two = {
+        f"{name}_{side}": F.expr(f"{packed_row} {operation} {shift}")
+        for side, packed_row in (("a", "least"), ("b", "greatest"))
+        for name, operation in (("n", "div"), ("place", "%"))
+    }
+    possible = (F.col("rows") > 2) | _may_link(percent)
+    return found.where("low != high").withColumns(two).where(possible).select("region")
+
+
 def _small_enough(df: DataFrame) -> DataFrame:
     """With a broadcast hint when the written table has few rows; else it is shuffled."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -212,7 +242,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         )
         for s in "ab"
     }
-    known = pairs.join(side["a"], "key_a").join(side["b"], "key_b")
+    known = side["a"].join(_small_enough(pairs), "key_a").join(side["b"], "key_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,7 +275,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    whole = pairs.join(left, "key_a").join(right, "key_b")
+    whole = left.join(_small_enough(pairs), "key_a").join(right, "key_b")
     return whole.select(
         F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "shingles_a", "shingles_b"
     ).mapInArrow(check, "a long, b long")
@@ -257,7 +287,7 @@ def _sets_of(
     """(key, shingles) of the ``wanted`` (key, rep), worked out from their texts again.
 
     Only the representatives' texts are read anew, so no sets of other documents are kept
-    or moved.
+    or moved. A representative that stands on several rows gives its set several times.
     """
 
     def start():
@@ -273,11 +303,7 @@ def _sets_of(
     named = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text"))
     theirs = named.join(_small_enough(wanted.select("rep").distinct()), "rep", "left_semi")
     found = map_texts(theirs, "_text", "key binary, shingles binary", start, [])
-    return (
-        found.join(_small_enough(wanted.select("key")), "key", "left_semi")
-        .groupBy("key")
-        .agg(F.min("shingles").alias("shingles"))
-    )
+    return found.join(_small_enough(wanted.select("key")), "key", "left_semi")
 
 
 def jaccard_components(
@@ -312,12 +338,10 @@ def jaccard_components(
         ),
         "classes",
     )
-    names = classes.select("key", "rep", F.col("n_shingles").alias("n"))
+    names = classes.select("key", "rep")
     with_id = docs.where(F.col(id_col).isNotNull())
     windows = kept(_windows(with_id, text_col, size, percent, _frequent(table)), "windows")
-    mark = F.xxhash64("key")
-    shared = windows.groupBy("region").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
-    shared = kept(shared.where("low != high").select("region"), "regions")
+    shared = kept(_shared_regions(windows, percent), "regions")
     members = windows.join(_small_enough(shared), "region", "left_semi").distinct()
     members = kept(members.join(names, "key").select("region", "key", "rep", "n", "place"), "members")
 
@@ -325,7 +349,8 @@ def jaccard_components(
     labels = spark.createDataFrame([], "node long, component long")
     n_members, turn = members.count(), 0
     while True:
-        labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        of_rep = _small_enough(labels.withColumnRenamed("node", "rep"))
+        labelled = members.join(of_rep, "rep", "left").select(
             "region", "key", "rep", "n", "place", F.coalesce("component", "rep").alias("component")
         )
         counts = labelled.groupBy("region").agg(
@@ -363,6 +388,7 @@ def jaccard_components(
             .select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
             .distinct()
         )
+        pairs = kept(pairs, "pairs")
         plausible = kept(_plausible(pairs, classes, percent), "plausible")
         sides = [plausible.select(F.col(f"key_{s}").alias("key"), F.col(f"rep_{s}").alias("rep")) for s in "ab"]
         wanted = kept(sides[0].unionByName(sides[1]).distinct(), "wanted")
@@ -370,14 +396,14 @@ def jaccard_components(
         found = kept(_verified(plausible, sets, percent), "found")
         if not found.isEmpty():
             links = kept(links.unionByName(found), "links")
-            labels = components(links)
+            labels = kept(components(links), "labels")
         if last:
             break
         members = crowded.join(pivots, ["region", "key"], "left_anti").select(
             "region", "key", "rep", "n", "place"
         )
         turn += 1
-    result = described.join(names.select("key", "rep"), "key", "left").join(
+    result = described.join(names, "key", "left").join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
     )
     own = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(F.coalesce("component", "rep"))
