@@ -349,6 +349,22 @@ def test_pipeline(spark, sf_dir):
         assert np.frombuffer(row["ids"], "<u4").tolist() == library.encode_ordinary(texts[row["doc_id"]])
 
 
+def test_pipeline_keeps_one_of_near_copies(spark, sf_dir):
+    """The stage links by five-word shingles at 0.8, wider than op6 does."""
+    rng = random.Random(9)
+    texts = [r["text"] for r in table(spark, sf_dir, "documents").collect()]
+    for k in range(10):
+        base = [f"b{k}_{j}" for j in range(200)]
+        texts += [" ".join(base), *near_copies(rng, base, 4, 6), " ".join([*base, *(f"t{k}_{j}" for j in range(30))])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r["doc_id"] for r in corpus_pipeline.jaccard_join(spark, docs, sf_dir).collect()}
+    wide, narrow = (
+        {i for i, (_, root) in brute_components(enumerate(texts), *limits).items() if root == i}
+        for limits in ((80, 5), (90, 3))
+    )
+    assert left == wide and len(narrow) > len(wide)
+
+
 def test_pipeline_on_an_empty_table(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
