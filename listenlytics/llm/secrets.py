@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
 from collections import deque
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -48,12 +50,18 @@ EXTRA = (
 EXTRA_SIGNS = ("eyJ", "gh", "xox", "-----BEGIN ")
 ORDER = {kind: place for place, kind in enumerate((*KINDS, *(kind for kind, _ in EXTRA)))}
 
-MAX_LAYER = 1 << 24  # characters that a decompressed layer may have
+PIECE = 1 << 20  # bytes or characters of a decompressed layer that are held at a time
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _HEX_BYTES = re.compile(r"(?:[0-9a-fA-F]{2}){12,}")
+_BREAK = r"[ \t]*\r?\n[ \t]*"
+_GOES_ON = re.compile(_BREAK + r"[A-Za-z0-9+/_-]")
+_WRAPPED = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{_BREAK}[A-Za-z0-9+/_-]+)+={{0,2}}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+# Places that no pattern reaches across, before or after the escapes round them are decoded.
+_SAFE_CUT = re.compile(r"(?<=[g-z.]) (?=[A-Za-z0-9])|[,;()<>{}\[\]!?@#$&*|~^]|[^\x00-\x7F]| [^ \n]{0,15}\r?\n")
 
 Span = tuple[int, int, str]
 
@@ -62,13 +70,29 @@ Span = tuple[int, int, str]
 class Layer:
     """A decoded text; ``starts``/``ends`` give each character's stretch of the original.
 
-    Without them the layer is the original, or lies in ``span`` of it as a whole.
+    Without them the layer is the original, or lies in ``span`` of it as a whole. A long
+    decompressed layer has no text but the bytes and how often they are ``packed``.
     """
 
     text: str
     starts: list[int] | None = None
     ends: list[int] | None = None
     span: tuple[int, int] | None = None
+    packed: tuple[bytes, int] | None = None
+
+    def pieces(self) -> Iterator[Layer]:
+        """The layer, a long one in pieces that no find or encoded stretch crosses."""
+        if self.packed is None:
+            yield self
+        else:
+            for text in _unpacked(*self.packed):
+                yield Layer(text, span=self.span)
+
+    def mark(self) -> bytes:
+        content = self.text.encode("utf-8", "surrogatepass")
+        if self.packed:
+            content = self.packed[0] + b" packed %d" % self.packed[1]
+        return hashlib.sha256(content + repr(self.span).encode()).digest()
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         if self.span:
@@ -98,25 +122,108 @@ def extra_spans(text: str) -> list[Span]:
     return [(m.start(), m.end(), kind) for kind, pattern in EXTRA for m in pattern.finditer(text)]
 
 
-def _as_text(data: bytes) -> str | None:
-    """Decoded bytes as text, when they are text or compressed text."""
-    for _ in range(8):  # compressed bytes may be compressed again
-        if data[:2] == b"\x1f\x8b":
-            wbits = 31
-        elif data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            wbits = 15
-        else:
-            break
+def _compression(head: bytes) -> int | None:
+    """The ``wbits`` of a gzip or zlib stream that begins so."""
+    if head[:2] == b"\x1f\x8b":
+        return 31
+    return 15 if head[:1] == b"\x78" and len(head) > 2 and (head[0] * 256 + head[1]) % 31 == 0 else None
+
+
+def _decompressed(source: Iterator[bytes]) -> Iterator[bytes]:
+    """All members of a compressed stream, ``PIECE`` bytes at most at a time.
+
+    It ends where the stream cannot be read; a stream that breaks off gives what there is.
+    """
+    reader, data = None, b""
+    for more in source:
+        data += more
+        while data:
+            if reader is None:
+                wbits = _compression(data)
+                if wbits is None and len(data) > 2:
+                    return
+                if wbits is None:
+                    break
+                reader = zlib.decompressobj(wbits)
+            full = True
+            while full and not reader.eof:
+                try:
+                    out = reader.decompress(data, PIECE)
+                except zlib.error:
+                    return
+                data, full = reader.unconsumed_tail, len(out) == PIECE
+                if out:
+                    yield out
+            if reader.eof:
+                data, reader = reader.unused_data, None
+
+
+def _levels(data: bytes, times: int) -> Iterator[bytes]:
+    """The bytes, decompressed so many times."""
+    source = iter([data])
+    for _ in range(times):
+        source = _decompressed(source)
+    return source
+
+
+def _unpacked(data: bytes, times: int) -> Iterator[str]:
+    """The decompressed text, cut at safe places; without one a piece grows until there is one."""
+    decoder, text, tried = codecs.getincrementaldecoder("utf-8")(), "", 0
+    for part in _levels(data, times):
+        text += decoder.decode(part)
+        if len(text) < PIECE:
+            continue
+        for begin in (max(tried, len(text) - 4096), max(0, tried - 32)):
+            cuts = [m.end() for m in _SAFE_CUT.finditer(text, begin)]
+            if cuts:
+                yield text[: cuts[-1]]
+                text = text[cuts[-1] :]
+                break
+        tried = 0 if cuts else len(text)
+    if text:
+        yield text
+
+
+def _printable(text: str) -> int:
+    return len(text) if text.isprintable() else sum(c.isprintable() or c in "\n\r\t" for c in text)
+
+
+def _byte_layers(data: bytes, span: tuple[int, int]) -> Iterator[Layer]:
+    """Decoded bytes as layers, when they are text, or compressed text any number of times."""
+    if _compression(data) is None:
         try:
-            data = zlib.decompressobj(wbits).decompress(data, MAX_LAYER)
-        except zlib.error:
-            break
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    printable = sum(c.isprintable() or c in "\n\r\t" for c in text)
-    return text if text and printable >= 0.95 * len(text) else None
+            text = data.decode()
+        except UnicodeDecodeError:
+            return
+        if text and _printable(text) >= 0.95 * len(text):
+            yield Layer(text, span=span)
+        return
+    times, seen = 0, set()
+    while True:
+        digest, head, is_text = hashlib.sha256(), b"", True
+        decoder, n_chars, printable, texts = codecs.getincrementaldecoder("utf-8")(), 0, 0, []
+        for part in _levels(data, times):
+            digest.update(part)
+            head += part[:3] if len(head) < 3 else b""
+            if is_text:
+                try:
+                    text = decoder.decode(part)
+                except UnicodeDecodeError:
+                    is_text = False
+                    continue
+                n_chars += len(text)
+                printable += _printable(text)
+                if n_chars <= PIECE:
+                    texts.append(text)
+        if digest.digest() in seen:
+            return  # bytes that decompress to themselves
+        seen.add(digest.digest())
+        if is_text and n_chars and printable >= 0.95 * n_chars:
+            whole = n_chars <= PIECE
+            yield Layer("".join(texts), span=span) if whole else Layer("", span=span, packed=(data, times))
+        if _compression(head) is None:
+            return
+        times += 1
 
 
 def _unescape(text: str) -> str:
@@ -173,18 +280,42 @@ def _percent(stretch: str) -> str | None:
         return None
 
 
-def _base64_text(stretch: str) -> str | None:
+def _base64_bytes(stretch: str) -> bytes:
     body = stretch.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         body = body[:-1]
     try:
-        return _as_text(base64.b64decode(body + "=" * (-len(body) % 4)))
+        return base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
-        return None
+        return b""
 
 
-def _hex_text(stretch: str) -> str | None:
-    return _as_text(bytes.fromhex(stretch))
+def _wrapped_layers(layer: Layer, begin: int, end: int) -> Iterator[Layer]:
+    """Layers of the bodies in a run of lines: lines of one width, and a shorter last one.
+
+    The line above may be the body's beginning behind other text, and the line below may be
+    no part of it, so both are left out where the body cannot be read with them.
+    """
+    lines = [m.span() for m in _LINE.finditer(layer.text, begin, end)]
+    widths = [b - a for a, b in lines]
+    first = 0
+    while first < len(lines):
+        last = first
+        while last + 1 < len(lines) and widths[last + 1] == widths[first]:
+            last += 1
+        firsts = [0, 1] if first == 1 else [first]
+        lasts = [last + 1, last] if last + 1 < len(lines) and widths[last + 1] < widths[first] else [last]
+        tries = [(a, b) for a in firsts for b in lasts if a < b and widths[first] >= 16]
+        for a, b in tries:
+            body = "".join(layer.text[slice(*line)] for line in lines[a : b + 1])
+            span = layer.place(lines[a][0], end if b + 1 == len(lines) else lines[b][1])
+            found = list(_byte_layers(_base64_bytes(body), span))
+            if _HEX_BYTES.fullmatch(body):
+                found += _byte_layers(bytes.fromhex(body), span)
+            yield from found
+            if found:
+                break
+        first = last + 1
 
 
 def inner_layers(layer: Layer) -> list[Layer]:
@@ -194,11 +325,15 @@ def inner_layers(layer: Layer) -> list[Layer]:
         found.append(_escaped_layer(layer, _PERCENT, _percent))
     if "\\" in text:
         found.append(_escaped_layer(layer, _ESCAPES, _unescape))
-    for pattern, decode in ((_BASE64, _base64_text), (_HEX_BYTES, _hex_text)):
+    wrapped_to = 0
+    for pattern, decode in ((_BASE64, _base64_bytes), (_HEX_BYTES, bytes.fromhex)):
         for match in pattern.finditer(text):
-            decoded = decode(match[0])
-            if decoded:
-                found.append(Layer(decoded, span=layer.place(match.start(), match.end())))
+            found += _byte_layers(decode(match[0]), layer.place(match.start(), match.end()))
+            if match.start() >= wrapped_to and _GOES_ON.match(text, match.end()):
+                run = _WRAPPED.match(text, match.start())
+                if run:
+                    found += _wrapped_layers(layer, *run.span())
+                    wrapped_to = run.end()
     return [inner for inner in found if inner is not None]
 
 
@@ -212,17 +347,18 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[tuple[int, int, str
     base = sorted(base_spans(text), key=lambda s: (s[0], ORDER[s[2]]))
     finds = {span: (0, text[span[0] : span[1]]) for span in [*base, *extra_spans(text)]}
     work = deque([(Layer(text), 0)])
-    seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+    seen = {Layer(text).mark()}
     while work:
         layer, depth = work.popleft()
-        for inner in inner_layers(layer):
-            mark = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass") + repr(inner.span).encode())
-            if mark.digest() in seen:
+        for inner in (inner for piece in layer.pieces() for inner in inner_layers(piece)):
+            mark = inner.mark()
+            if mark in seen:
                 continue
-            seen.add(mark.digest())
-            for start, end, kind in (*base_spans(inner.text), *extra_spans(inner.text)):
-                place = (*inner.place(start, end), kind)
-                finds.setdefault(place, (depth + 1, inner.text[start:end]))
+            seen.add(mark)
+            for piece in inner.pieces():
+                for start, end, kind in (*base_spans(piece.text), *extra_spans(piece.text)):
+                    place = (*piece.place(start, end), kind)
+                    finds.setdefault(place, (depth + 1, piece.text[start:end]))
             work.append((inner, depth + 1))
     ordered = sorted(finds, key=lambda s: (s[0], ORDER[s[2]], s[1]))
     return base, [(*span, *finds[span]) for span in ordered]
