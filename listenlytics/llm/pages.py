@@ -191,37 +191,61 @@ def read_page(source: str | None) -> Page:
 BONUS = {"article": 1.6, "main": 1.4, "body": 0.7}
 
 
+NEAR = 0.98
+
+
 def best_container(page: Page) -> tuple[str, float] | None:
     """The path and score of the container with the most unlinked text, articles preferred.
 
-    Of containers that score nearly the same the innermost counts.
+    Of containers round the best one that score nearly the same the one with the most unlinked
+    text counts, and in it the innermost that still holds all its blocks with unlinked text.
     """
-    total, links = [0], [0]
+    total, links, free_blocks = [0], [0], [0]
     for block, linked in zip(page.blocks, page.linked, strict=True):
         total.append(total[-1] + len(block))
         links.append(links[-1] + linked)
-    best: tuple[str, float] | None = None
+        free_blocks.append(free_blocks[-1] + (linked < len(block)))
     scored = []
     for c in page.containers:
         size = total[c.end] - total[c.start]
         if size:
-            free = 1 - (links[c.end] - links[c.start]) / size
-            tag = c.path.rpartition("/")[2].partition(".")[0]
-            scored.append((size * free * free * BONUS.get(tag, 1.0), c))
-    if scored:
-        top = max(score for score, _ in scored)
-        score, c = max(((s, c) for s, c in scored if s >= 0.98 * top), key=lambda x: (x[1].depth, x[0]))
-        best = (c.path, score)
-    return best
+            unlinked = size - (links[c.end] - links[c.start])
+            bonus = BONUS.get(c.path.rpartition("/")[2].partition(".")[0], 1.0)
+            scored.append((unlinked * unlinked / size * bonus, c, unlinked, bonus))
+    if not scored:
+        return None
+    score, top, _, bonus = max(scored, key=lambda x: (x[0], x[1].depth))
+    near = [x for x in scored if x[0] >= NEAR * score]
+    outer = max(
+        (x for x in near if x[3] == bonus and x[1].start <= top.start and top.end <= x[1].end),
+        key=lambda x: (x[2], x[1].depth),
+    )[1]
+    whole = free_blocks[outer.end] - free_blocks[outer.start]
+    score, inner, *_ = max(
+        (
+            x
+            for x in near
+            if outer.start <= x[1].start
+            and x[1].end <= outer.end
+            and free_blocks[x[1].end] - free_blocks[x[1].start] == whole
+        ),
+        key=lambda x: (x[1].depth, x[0]),
+    )
+    return inner.path, score
 
 
 def text_on_path(page: Page, paths: list[str]) -> tuple[str, str | None]:
     """The text on the first of ``paths`` that the page has text on, and that path.
 
-    The page's own best container stands behind them, and behind that the whole page.
+    The page's own best container stands behind them, and behind that the whole page. It goes
+    before a path inside it when its host's pages have voted for both.
     """
     own = best_container(page)
-    for path in [*paths, *([own[0]] if own else [])]:
+
+    def widened(path: str) -> str:
+        return own[0] if own and own[0] in paths and path.startswith(f"{own[0]}/") else path
+
+    for path in [*map(widened, paths), *([own[0]] if own else [])]:
         blocks, last = [], 0
         for c in page.containers:
             if c.path == path and c.end > max(c.start, last):

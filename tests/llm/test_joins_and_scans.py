@@ -294,6 +294,22 @@ def test_one_page():
     assert pages.text_on_path(pages.read_page("plain < text"), []) == ("plain < text", None)
 
 
+def test_lead_and_tail_belong_to_the_article(spark):
+    """A container inside counts only when it holds all unlinked blocks of the one round it."""
+    body = "<p>" + "long body " * 500 + "</p>"
+    whole = "<body><div class=post><p>The lead stands above</p><div class=entry>{}</div><p>The tail below</p></div></body>"
+    bare = "<body><div class=post><p><a href='/'>All posts</a></p><div class=entry>{}</div></div></body>"
+    assert pages.best_container(pages.read_page(whole.format(body)))[0] == "/body/div.post"
+    assert pages.best_container(pages.read_page(bare.format(body)))[0] == "/body/div.post/div.entry"
+    rows = [(k, f"http://h.org/{k}", (bare if k % 2 else whole).format(body)) for k in range(9)]
+    rows += [(k, f"http://h.org/{k}", bare.format(body)) for k in range(9, 14)]
+    rows.append((20, "http://h.org/20", whole.format("<p>Short body here</p>")))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in pages.extract_pages(frame).collect()}
+    assert found[20] == "The lead stands above Short body here The tail below"
+    assert all(("lead" in found[k] and "tail" in found[k]) == (k < 9 and k % 2 == 0) for k in range(14))
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose own best container is a list of links follows its host's other pages."""
     good = "<body><div class=main>{}</div><div class=list>{}</div></body>"
