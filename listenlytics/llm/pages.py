@@ -50,6 +50,8 @@ SIDE_WORDS = re.compile(
     r"(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# Words of what a layout has or lacks, which say nothing of the element itself.
+MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|not|with|without)[_-]\S*", re.IGNORECASE)
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 
 _TOKEN = re.compile(
@@ -72,6 +74,18 @@ class Element:
     in_link: bool
     start: int  # the first block that may lie in it
     container: int = -1
+    side: int = -1  # the innermost element with side words that it is or lies in
+    owns_side: bool = False
+
+
+@dataclass
+class Side:
+    """A block element with side words; ``above`` is the next one round it."""
+
+    above: int
+    start: int
+    end: int = -1
+    holds_head: bool = False
 
 
 @dataclass
@@ -96,18 +110,63 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _is_side(tag: str, attributes: dict[str, str]) -> bool:
+    """Left out by its kind, whatever it holds."""
     if tag in LEFT_OUT:
         return True
     if not attributes or tag in NEVER_LEFT_OUT:
         return False
-    if "hidden" in attributes or attributes.get("role", "").lower() in SIDE_ROLES:
-        return True
-    return any(SIDE_WORDS.search(attributes.get(name, "")) for name in ("class", "id"))
+    return "hidden" in attributes or attributes.get("role", "").lower() in SIDE_ROLES
+
+
+def _has_side_words(tag: str, attributes: dict[str, str]) -> bool:
+    if not attributes or tag in NEVER_LEFT_OUT:
+        return False
+    return any(SIDE_WORDS.search(MODIFIED.sub("", attributes.get(name, ""))) for name in ("class", "id"))
+
+
+def _without_sides(page: Page, sides: list[Side]) -> Page:
+    """The page without the blocks of side elements, except those that hold the article.
+
+    These have a main or h1, the largest article, or more than half of the unlinked text of a
+    page without an article or main elsewhere.
+    """
+    free = [0]
+    for block, linked in zip(page.blocks, page.linked, strict=True):
+        free.append(free[-1] + len(block) - linked)
+    tagged = [(c.path.rpartition("/")[2].partition(".")[0], c) for c in page.containers]
+    bodies = [(tag, c) for tag, c in tagged if tag in ("article", "main") and free[c.end] > free[c.start]]
+    articles = [c for tag, c in bodies if tag == "article"]
+    largest = max(articles, key=lambda c: free[c.end] - free[c.start], default=None)
+    keep = [True] * len(page.blocks)
+    for side in sides:
+        holds_article = largest and side.start <= largest.start < largest.end <= side.end
+        most = not bodies and 2 * (free[side.end] - free[side.start]) > free[-1]
+        if not (side.holds_head or holds_article or most):
+            keep[side.start : side.end] = [False] * (side.end - side.start)
+    if all(keep):
+        return page
+    place = [0]
+    for kept in keep:
+        place.append(place[-1] + kept)
+    containers = [Container(c.path, c.depth, place[c.start], place[c.end]) for c in page.containers]
+    blocks, linked = ([x for x, kept in zip(xs, keep, strict=True) if kept] for xs in (page.blocks, page.linked))
+    return Page(blocks, linked, containers)
 
 
 def read_page(source: str | None) -> Page:
-    """One pass over the markup; unclosed and stray tags are taken as browsers mostly do."""
+    """The page's blocks and containers; without regard to side words when they leave nothing."""
+    page, left_out = _read(source, True)
+    return _read(source, False)[0] if left_out and not page.blocks else page
+
+
+def _read(source: str | None, by_words: bool) -> tuple[Page, bool]:
+    """One pass over the markup; unclosed and stray tags are taken as browsers mostly do.
+
+    Also gives whether any element has side words.
+    """
     page = Page()
+    sides: list[Side] = []
+    any_words = False
     stack: list[Element] = []
     parts: list[str] = []
     link_chars = 0
@@ -129,6 +188,8 @@ def read_page(source: str | None) -> Page:
         for element in stack[depth:]:
             if element.container >= 0:
                 page.containers[element.container].end = len(page.blocks)
+            if element.owns_side:
+                sides[element.side].end = len(page.blocks)
         del stack[depth:]
 
     for token in _TOKEN.finditer(source or ""):
@@ -174,7 +235,20 @@ def read_page(source: str | None) -> Page:
             bool(above and above.left_out) or _is_side(tag, attributes),
             tag == "a" or bool(above and above.in_link and inline),
             len(page.blocks),
+            side=above.side if above else -1,
         )
+        if by_words and not element.left_out and _has_side_words(tag, attributes):
+            any_words = True
+            if inline:
+                element.left_out = True
+            elif not token["attributes"].endswith("/"):
+                sides.append(Side(element.side, len(page.blocks)))
+                element.side, element.owns_side = len(sides) - 1, True
+        if tag in ("h1", "main") and not element.left_out:
+            side = element.side
+            while side >= 0 and not sides[side].holds_head:
+                sides[side].holds_head = True
+                side = sides[side].above
         if tag in CONTAINERS:
             words = sorted(_NUMBER.sub("0", attributes.get("class", "")).lower().split())
             element.path = f"{path}/{'.'.join([tag, *words])}"
@@ -185,7 +259,7 @@ def read_page(source: str | None) -> Page:
             stack.append(element)
     close(0)
     flush()
-    return page
+    return (_without_sides(page, sides) if sides else page), any_words
 
 
 BONUS = {"article": 1.6, "main": 1.4, "body": 0.7}

@@ -294,6 +294,23 @@ def test_one_page():
     assert pages.text_on_path(pages.read_page("plain < text"), []) == ("plain < text", None)
 
 
+@pytest.mark.parametrize("wrapper", ["class='content has-sidebar'", "class=no-comments", "id=page-search", "class=widget"])
+@pytest.mark.parametrize("inside", ["<article>{}</article>", "<h1>Head</h1>{}", "{}"])
+def test_wrappers_with_side_words_keep_the_article(wrapper, inside):
+    text = "<p>The story goes on</p><div class=share>Share this</div>"
+    rest = "<div class=sidebar>Other pages</div>"
+    page = pages.read_page(f"<body><div {wrapper}>{inside.format(text)}</div>{rest}</body>")
+    got = pages.text_on_path(page, [])[0]
+    assert got == ("Head " if "h1" in inside else "") + "The story goes on"
+    only = pages.read_page(f"<body><span {wrapper}><p>Story</p></span></body>")
+    assert pages.text_on_path(only, [])[0] == "Story"
+    comments = "<section class=comments><article><p>Nice</p></article></section>"
+    page = pages.read_page(f"<body><article><h1>Head</h1><p>A long story</p>{comments}</article></body>")
+    assert pages.text_on_path(page, [])[0] == "Head A long story"
+    same = pages.read_page("<body><div class=ad>Buy</div><div class=menu>See</div></body>")
+    assert pages.text_on_path(same, [])[0] == "Buy See"
+
+
 def test_lead_and_tail_belong_to_the_article(spark):
     """A container inside counts only when it holds all unlinked blocks of the one round it."""
     body = "<p>" + "long body " * 500 + "</p>"
