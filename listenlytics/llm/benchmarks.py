@@ -200,19 +200,34 @@ def _grams(words: np.ndarray) -> np.ndarray:
     return shingle_hashes(words, min(GRAM, len(words))) if len(words) else np.zeros(0, np.uint64)
 
 
-def _proposals(hashes: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
-    """The (window length, window start, item) that shared trigrams propose, each once, in order."""
-    found: set[tuple[int, int, int]] = set()
+def _proposals(block: TextBlock, hashes: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
+    """The (window length, text, window start, item) that shared trigrams propose, each once, in order.
+
+    A window may begin before its text when the item's first words are missing there; the one
+    from the text's start is then proposed too. Left out is where more words of the item are
+    beyond the text's edges than its limit.
+    """
+    found: set[tuple[int, int, int, int]] = set()
     lengths = [len(x) for x in index.items]
     for size in {min(GRAM, n) for n in lengths}:
         grams = shingle_hashes(hashes, size)
         near = np.flatnonzero(index.bitmap[(grams & np.uint64(_BITMAP - 1)).astype(np.int64)])
         at = np.searchsorted(index.grams, grams[near]).clip(max=len(index.grams) - 1)
         exact = index.grams[at] == grams[near]
-        for position, gram in zip(near[exact].tolist(), at[exact].tolist(), strict=True):
+        near, at = near[exact], at[exact]
+        texts = np.searchsorted(block.word_of, near, "right") - 1
+        low, high = block.word_of[texts], block.word_of[texts + 1]
+        rows = zip(near.tolist(), at.tolist(), texts.tolist(), low.tolist(), high.tolist(), strict=True)
+        for position, gram, text, first, end in rows:
+            if position + size > end:
+                continue
             for item, place in index.gram_places[gram]:
-                if min(GRAM, lengths[item]) == size:
-                    found.update((lengths[item], position - place + shift, item) for shift in SHIFTS)
+                length, start = lengths[item], position - place
+                missing = max(0, first - start) + max(0, start + length - end)
+                if min(GRAM, length) == size and missing <= index.limits[item]:
+                    found.update((length, text, start + shift, item) for shift in SHIFTS)
+                    if start - 1 < first:
+                        found.add((length, text, first, item))
     return sorted(found)
 
 
@@ -220,7 +235,7 @@ def _candidates(
     block: TextBlock, hashes: np.ndarray, index: Index
 ) -> Iterator[tuple[int, int, int]]:
     """(text, window start, item) of the windows that agree with an item on a whole sample."""
-    proposals = _proposals(hashes, index)
+    proposals = _proposals(block, hashes, index)
     done = 0
     while done < len(proposals):
         # as many windows of the ascending lengths as fit into the memory for one walk
@@ -228,19 +243,20 @@ def _candidates(
         end = min(end, done + max(1, WALK_CELLS // proposals[end - 1][0]))
         part = proposals[done:end]
         done = end
-        windows, which = np.unique(np.array([p[:2] for p in part]), axis=0, return_inverse=True)
-        lengths, starts = windows[:, 0], windows[:, 1]
-        text_of = np.searchsorted(block.word_of, starts.clip(min=0), "right") - 1
-        text_of = np.minimum(text_of, len(block.word_of) - 2)
+        windows, which = np.unique(np.array([p[:3] for p in part]), axis=0, return_inverse=True)
+        lengths, text_of, starts = windows.T
         low, high = block.word_of[text_of], block.word_of[text_of + 1]
         places = starts[:, None] + np.arange(lengths.max())
         inside = (places >= low[:, None]) & (places < high[:, None])
-        inside &= np.arange(lengths.max()) < lengths[:, None]
+        # the walk must move on over words before the text, so these are distinct and not zero
+        before = mix(places.astype(np.uint64)) | np.uint64(1)
         words = np.where(inside, hashes[places.clip(0, len(hashes) - 1)], np.uint64(0))
+        words = np.where(places < low[:, None], before, words)
+        words[np.arange(lengths.max()) >= lengths[:, None]] = 0
         keys = index.sampler.keys(words, lengths).tolist()
-        for (_, start, item), place in zip(part, which.ravel().tolist(), strict=True):
+        for (_, text, start, item), place in zip(part, which.ravel().tolist(), strict=True):
             if not index.keys[item].isdisjoint(keys[place]):
-                yield int(text_of[place]), start, item
+                yield text, start, item
 
 
 def find_items(column: pa.Array, index: Index) -> list[list[tuple[int, int, int, int]]]:

@@ -167,6 +167,25 @@ def test_edited_items_reach_the_recall():
     assert len(got & truth) / len(truth) >= 0.9
 
 
+def test_items_cut_off_at_a_texts_edge():
+    rng = random.Random(10)
+    items = [[f"w{n}x{k}" for k in range(rng.randint(20, 50))] for n in range(40)]
+    rows = list(benchmarks.word_rows(pa.array([" ".join(item) for item in items])))
+    index = benchmarks.build_index(list(range(40)), rows, benchmarks.SHARE, benchmarks.RECALL)
+    for first_in_block in (True, False):
+        for cut, at_start in ((2, True), (3, True), (5, True), (3, False), (5, False)):
+            hits = 0
+            for number, item in enumerate(items):
+                other = " ".join(f"o{k}" for k in range(60))
+                text = [*item[cut:], *other.split()] if at_start else [*other.split(), *item[:-cut]]
+                texts = [" ".join(text), other] if first_in_block else [other, " ".join(text), other]
+                found = benchmarks.find_items(pa.array(texts), index)
+                assert not any(one for k, one in enumerate(found) if k != (not first_in_block))
+                wanted = cut if cut <= benchmarks.max_edits(len(item)) else None
+                hits += [f[:2] for f in found[not first_in_block]] == ([(number, wanted)] if wanted else [])
+            assert hits >= 0.95 * len(items)
+
+
 def test_odd_documents_and_items(spark):
     item = "the quick brown fox jumps over the lazy dog near the river bank today"
     docs = spark.createDataFrame(
