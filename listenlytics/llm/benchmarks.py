@@ -5,8 +5,9 @@ A CGK walk reads a sequence with a pointer that moves on or stays by a random bi
 word), and writes the word under the pointer at every step: sequences a few edits apart fall
 into step again, so their written words agree at most steps, and edit distance becomes
 Hamming distance. Every walk is sampled several times at a few steps; sequences that agree
-on one whole sample are candidates. How many steps a sample has is chosen by simulation on
-the items themselves, edited at the limit, to reach the recall asked for. Candidates are
+on one whole sample are candidates. How many steps a sample has is chosen for each class of
+item lengths, by simulation on the items themselves, edited at the limit, to reach the recall
+asked for. Candidates are
 verified by the exact edit distance of the item to the best stretch of the document.
 
 Windows as long as an item start where the document and the item share a word trigram: an
@@ -15,6 +16,7 @@ item within the limit keeps at least one trigram, since the limit is below a thi
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -29,6 +31,7 @@ from .words import NOT_ALPHANUMERIC, TextBlock, mix, shingle_hashes, text_blocks
 SHARE = 0.25
 RECALL = 0.95
 WALKS, SAMPLES = 8, 16
+TRIALS = 400  # edited copies that a sampler is chosen by, at least
 MAX_ITEMS = 20_000  # items in one pass over the documents; more items take more passes
 GRAM = 3
 SHIFTS = (0, -1, 1)
@@ -85,7 +88,7 @@ class Sampler:
         out = np.zeros((n, walks * samples), np.uint64)
         n_steps = 2 * int(lengths.max(initial=0))
         for w in range(walks):
-            written = walk(windows, lengths, w, n_steps)
+            written = walk(windows, lengths, w, n_steps if bits else 0)
             key = np.repeat(lengths.astype(np.uint64)[:, None], samples, axis=1)
             for bit in range(bits):
                 steps = (self.shares[w, :, bit][None, :] * (2 * lengths)[:, None]).astype(np.int64)
@@ -125,19 +128,33 @@ def _edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
     return np.array([*words, *filler][: len(item)], np.uint64)
 
 
+def length_class(n_words: int) -> int:
+    """Items of one class differ in length by less than a half."""
+    return int(2 * np.log2(n_words))
+
+
 def choose_sampler(items: list[np.ndarray], share: float, recall: float) -> tuple[Sampler, float]:
     """The most selective sampler that finds ``recall`` of copies edited at the limit.
 
-    Measured on at most 200 items, spread evenly over all, with five edited copies each; with
-    one bit a sample the recall may stay below the target, and is then what one bit reaches.
+    Measured on edited copies of all items, ``TRIALS`` at least; items that must be copied
+    exactly are found by any. Without bits, which is the last resort, nothing is ruled out.
     """
     rng = np.random.default_rng(5)
-    chosen = [items[i] for i in np.unique(np.linspace(0, len(items) - 1, 200).astype(int))] if items else []
-    trials = [(x, _edited(x, max_edits(len(x), share), rng)) for x in chosen if len(x) for _ in range(5)]
-    for bits in (6, 5, 4, 3, 2, 1):
-        sampler = _sampler(bits)
-        a, b = (sampler.keys(*_as_rows([trial[side] for trial in trials])) for side in (0, 1))
-        found = int((a == b).any(axis=1).sum())
+    edited = [x for x in items if len(x) and max_edits(len(x), share)]
+    trials = [
+        (x, copy)
+        for x in edited
+        for _ in range(-(-TRIALS // len(edited)))
+        if not np.array_equal(x, copy := _edited(x, max_edits(len(x), share), rng))
+    ]
+    width = max((len(x) for x, _ in trials), default=1)
+    rows = max(1, WALK_CELLS // width)
+    for bits in (6, 5, 4, 3, 2, 1, 0):
+        sampler, found = _sampler(bits), 0
+        for first in range(0, len(trials), rows):
+            part = trials[first : first + rows]
+            a, b = (sampler.keys(*_as_rows([trial[side] for trial in part])) for side in (0, 1))
+            found += int((a == b).any(axis=1).sum())
         reached = found / len(trials) if trials else 1.0
         if reached >= recall:
             break
@@ -166,7 +183,10 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 @dataclass
 class Index:
-    """Items with their trigrams and their sampled keys; small enough to be broadcast."""
+    """Items with their trigrams and their sampled keys; small enough to be broadcast.
+
+    ``samplers`` and ``recalls`` are by class of item lengths.
+    """
 
     ids: list[int]
     items: list[np.ndarray]
@@ -175,12 +195,16 @@ class Index:
     gram_places: list[list[tuple[int, int]]]  # for each trigram the (item, place) pairs
     bitmap: np.ndarray
     keys: list[set[int]]
-    sampler: Sampler
-    recall: float
+    samplers: dict[int, Sampler]
+    recalls: dict[int, float]
 
 
 def build_index(ids: list[int], items: list[np.ndarray], share: float, recall: float) -> Index:
-    sampler, reached = choose_sampler(items, share, recall)
+    by_class: dict[int, list[np.ndarray]] = {}
+    for item in items:
+        by_class.setdefault(length_class(len(item)), []).append(item)
+    chosen = {c: choose_sampler(own, share, recall) for c, own in by_class.items()}
+    samplers = {c: sampler for c, (sampler, _) in chosen.items()}
     places: dict[int, list[tuple[int, int]]] = {}
     for number, item in enumerate(items):
         for place, gram in enumerate(_grams(item)):
@@ -188,10 +212,10 @@ def build_index(ids: list[int], items: list[np.ndarray], share: float, recall: f
     grams = np.array(sorted(places), np.uint64)
     bitmap = np.zeros(_BITMAP, bool)
     bitmap[(grams & np.uint64(_BITMAP - 1)).astype(np.int64)] = True
-    keys = [set(sampler.keys(*_as_rows([x]))[0].tolist()) for x in items]
+    keys = [set(samplers[length_class(len(x))].keys(*_as_rows([x]))[0].tolist()) for x in items]
     return Index(
         ids, items, [max_edits(len(x), share) for x in items], grams,
-        [places[int(g)] for g in grams], bitmap, keys, sampler, reached,
+        [places[int(g)] for g in grams], bitmap, keys, samplers, {c: reached for c, (_, reached) in chosen.items()},
     )
 
 
@@ -241,6 +265,8 @@ def _candidates(
         # as many windows of the ascending lengths as fit into the memory for one walk
         end = min(len(proposals), done + max(1, WALK_CELLS // proposals[done][0]))
         end = min(end, done + max(1, WALK_CELLS // proposals[end - 1][0]))
+        group = length_class(proposals[done][0])
+        end = bisect_left(proposals, group + 1, done, end, key=lambda p: length_class(p[0]))
         part = proposals[done:end]
         done = end
         windows, which = np.unique(np.array([p[:3] for p in part]), axis=0, return_inverse=True)
@@ -253,7 +279,7 @@ def _candidates(
         words = np.where(inside, hashes[places.clip(0, len(hashes) - 1)], np.uint64(0))
         words = np.where(places < low[:, None], before, words)
         words[np.arange(lengths.max()) >= lengths[:, None]] = 0
-        keys = index.sampler.keys(words, lengths).tolist()
+        keys = index.samplers[group].keys(words, lengths).tolist()
         for (_, text, start, item), place in zip(part, which.ravel().tolist(), strict=True):
             if not index.keys[item].isdisjoint(keys[place]):
                 yield text, start, item

@@ -167,6 +167,26 @@ def test_edited_items_reach_the_recall():
     assert len(got & truth) / len(truth) >= 0.9
 
 
+def test_long_items_reach_the_recall_beside_short_ones():
+    rng = random.Random(12)
+    lengths = [rng.randint(4, 12) for _ in range(190)] + [100, 130, 170, 200, 250, 300]
+    items = [[f"w{rng.randrange(3000)}" for _ in range(n)] for n in lengths]
+    rows = list(benchmarks.word_rows(pa.array([" ".join(item) for item in items])))
+    index = benchmarks.build_index(list(range(len(items))), rows, benchmarks.SHARE, benchmarks.RECALL)
+    assert min(index.recalls.values()) >= benchmarks.RECALL
+    texts, truth = [], []
+    for number in range(190, 196):
+        for _ in range(5):
+            words = list(items[number])
+            for place in rng.sample(range(len(words)), benchmarks.max_edits(len(words))):
+                words[place] = f"x{rng.randrange(10**9)}"
+            texts.append(" ".join(words))
+            truth.append(number)
+    found = benchmarks.find_items(pa.array(texts), index)
+    hits = sum(number in [f[0] for f in one] for number, one in zip(truth, found, strict=True))
+    assert hits >= 0.95 * len(truth)
+
+
 def test_items_cut_off_at_a_texts_edge():
     rng = random.Random(10)
     items = [[f"w{n}x{k}" for k in range(rng.randint(20, 50))] for n in range(40)]
