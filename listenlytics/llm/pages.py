@@ -8,10 +8,14 @@ its host's paths uses its own best container.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,8 +66,66 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
+_NO_TAG = re.compile(
+    r"<!--.*?(?:-->|$)"
+    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg)\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
+    r"|<[!?][^>]*>"
+    r"|(?P<close>(?!))|(?P<tag>(?!))|(?P<attributes>(?!))"
+    r"|(?P<text>[^<]+|<)",
+    re.IGNORECASE | re.DOTALL,
+)
+_AFTER_TAGS = re.compile(r"<!--.*?(?:-->|$)|(?P<close>(?!))|(?P<tag>(?!))|(?P<text>[^<]+|<)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _NUMBER = re.compile(r"[0-9]+")
+_MARK = re.compile("[>'\"]")
+MAX_LONE = 8
+MAX_PATH = 512
+
+
+def _closes(source: str) -> Callable[[int], bool]:
+    """Whether a tag that opens at a place has a ``>`` outside of quotes, for any place.
+
+    From each ``>`` and quote on it is known what follows, found once from the right.
+    """
+    marks = [(m.start(), m[0]) for m in _MARK.finditer(source)]
+    places = [place for place, _ in marks]
+    good = [False] * (len(marks) + 1)
+    later = {"'": -1, '"': -1}  # the next quote of a kind, as its number
+    for k in range(len(marks) - 1, -1, -1):
+        mark = marks[k][1]
+        if mark == ">":
+            good[k] = True
+        else:
+            good[k] = later[mark] >= 0 and good[later[mark] + 1]
+            later[mark] = k
+    return lambda place: good[bisect_right(places, place)]
+
+
+def tokens(source: str) -> Iterator[re.Match[str]]:
+    """The tags, comments and stretches of text of a page, in linear time.
+
+    A tag without its ``>`` is text. Trying that for each of many unclosed tags reads on to
+    the end every time, so after some of them it is looked up first.
+    """
+    last = source.rfind(">")
+    place = lone = 0
+    for token in _TOKEN.finditer(source, 0, len(source)) if last >= 0 else ():
+        place = token.end()
+        yield token
+        lone += token["text"] == "<"
+        if place > last or lone > MAX_LONE:
+            break
+    closes = _closes(source) if place <= last else None
+    while place < len(source):
+        if place > last:
+            pattern = _AFTER_TAGS
+        elif source[place] == "<" and not closes(place):
+            pattern = _NO_TAG
+        else:
+            pattern = _TOKEN
+        token = pattern.match(source, place)
+        place = token.end()
+        yield token
 
 
 @dataclass
@@ -76,6 +138,7 @@ class Element:
     container: int = -1
     side: int = -1  # the innermost element with side words that it is or lies in
     owns_side: bool = False
+    block: int = -1  # the place of the innermost open element that is not inline
 
 
 @dataclass
@@ -137,12 +200,14 @@ def _without_sides(page: Page, sides: list[Side]) -> Page:
     bodies = [(tag, c) for tag, c in tagged if tag in ("article", "main") and free[c.end] > free[c.start]]
     articles = [c for tag, c in bodies if tag == "article"]
     largest = max(articles, key=lambda c: free[c.end] - free[c.start], default=None)
-    keep = [True] * len(page.blocks)
+    change = [0] * (len(page.blocks) + 1)
     for side in sides:
         holds_article = largest and side.start <= largest.start < largest.end <= side.end
         most = not bodies and 2 * (free[side.end] - free[side.start]) > free[-1]
         if not (side.holds_head or holds_article or most):
-            keep[side.start : side.end] = [False] * (side.end - side.start)
+            change[side.start] += 1
+            change[side.end] -= 1
+    keep = [n == 0 for n in accumulate(change[:-1])]
     if all(keep):
         return page
     place = [0]
@@ -153,6 +218,13 @@ def _without_sides(page: Page, sides: list[Side]) -> Page:
     return Page(blocks, linked, containers)
 
 
+def _bounded(path: str) -> str:
+    """A path, or a digest that stands for a very long one, so that depth does not cost its square."""
+    if len(path) <= MAX_PATH:
+        return path
+    return f"/#{hashlib.md5(path.encode('utf-8', 'replace'), usedforsecurity=False).hexdigest()}"
+
+
 def read_page(source: str | None) -> Page:
     """The page's blocks and containers; without regard to side words when they leave nothing."""
     page, left_out = _read(source, True)
@@ -168,6 +240,7 @@ def _read(source: str | None, by_words: bool) -> tuple[Page, bool]:
     sides: list[Side] = []
     any_words = False
     stack: list[Element] = []
+    open_tags: Counter[str] = Counter()
     parts: list[str] = []
     link_chars = 0
 
@@ -186,13 +259,14 @@ def _read(source: str | None, by_words: bool) -> tuple[Page, bool]:
         if flush_needed:
             flush()
         for element in stack[depth:]:
+            open_tags[element.tag] -= 1
             if element.container >= 0:
                 page.containers[element.container].end = len(page.blocks)
             if element.owns_side:
                 sides[element.side].end = len(page.blocks)
         del stack[depth:]
 
-    for token in _TOKEN.finditer(source or ""):
+    for token in tokens(source or ""):
         text = token["text"]
         if text is not None:
             if not (stack and stack[-1].left_out):
@@ -204,13 +278,10 @@ def _read(source: str | None, by_words: bool) -> tuple[Page, bool]:
             continue
         tag = token["tag"].lower()
         if token["close"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    close(depth)
-                    break
-            else:
-                if tag not in INLINE:
-                    flush()
+            if open_tags[tag]:
+                close(next(d for d in range(len(stack) - 1, -1, -1) if stack[d].tag == tag))
+            elif tag not in INLINE:
+                flush()
             continue
         if tag in VOID:
             if tag in ("br", "hr") and not (stack and stack[-1].left_out):
@@ -218,13 +289,11 @@ def _read(source: str | None, by_words: bool) -> tuple[Page, bool]:
             continue
         inline = tag in INLINE
         if not inline:
-            for depth in range(len(stack) - 1, -1, -1):
+            depth = stack[-1].block if stack else -1
+            if depth >= 0:
                 open_tag = stack[depth].tag
                 if open_tag == CLOSED_BY_BLOCK or open_tag in CLOSED_BY_SAME.get(tag, ()):
                     close(depth)
-                    break
-                if open_tag not in INLINE:
-                    break
             flush()
         attributes = _attributes(token["attributes"]) if token["attributes"] else {}
         above = stack[-1] if stack else None
@@ -251,12 +320,14 @@ def _read(source: str | None, by_words: bool) -> tuple[Page, bool]:
                 side = sides[side].above
         if tag in CONTAINERS:
             words = sorted(_NUMBER.sub("0", attributes.get("class", "")).lower().split())
-            element.path = f"{path}/{'.'.join([tag, *words])}"
+            element.path = f"{_bounded(path)}/{'.'.join([tag, *words])}"
             if not element.left_out:
                 element.container = len(page.containers)
                 page.containers.append(Container(element.path, len(stack), len(page.blocks)))
         if not token["attributes"].endswith("/"):
+            element.block = (above.block if above else -1) if inline else len(stack)
             stack.append(element)
+            open_tags[tag] += 1
     close(0)
     flush()
     return (_without_sides(page, sides) if sides else page), any_words
