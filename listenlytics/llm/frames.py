@@ -32,7 +32,8 @@ def map_texts(
     """The columns ``keep`` and new columns ``fields`` (a DDL string) made from the text.
 
     ``start`` runs once in each task and gives the function that turns the texts of a batch
-    into the new columns. Names in ``fields`` must not be in ``keep``.
+    into the new columns. Names in ``fields`` must not be in ``keep``. Bytes that are not UTF-8
+    come as the replacement character.
     """
     small_batches(rows.sparkSession)
     new = T.StructType.fromDDL(fields)
@@ -46,5 +47,5 @@ def map_texts(
             made = make(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=names)
 
-    text = F.col(text_col).cast("string").alias(new_name(keep, "_text"))
+    text = F.make_valid_utf8(F.col(text_col).cast("string")).alias(new_name(keep, "_text"))
     return rows.select(*[F.col(c) for c in keep], text).mapInArrow(run, schema)
