@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .benchmarks import contaminations
 from .bpe import public_vocabulary, token_digests
+from .chats import CHATS_SQL, chat_digests
 from .gam import quality_scores
 from .hosts import JUDGE_SQL, judge_urls
 from .jaccard import COMPONENTS_SQL, jaccard_components
 from .licenses import SCAN_SQL, license_scan
 from .pages import extract_pages
+from .periodic import run_digests
 from .secrets import secret_spans
 from .toxicity import toxicity_scores
 from .weakrules import quality_verdicts
@@ -83,6 +85,19 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every text, where those of a tenth of the ids are made to repeat a stretch."""
+    return run_digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, with control strings of another template in its texts."""
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    given = "</s>[INST] ok [/INST]"
+    one_more = spark.createDataFrame([(-1, 0, "user", given), (-1, 1, "assistant", given)], table.schema)
+    return chat_digests(table.unionByName(one_more))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
@@ -94,10 +109,13 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scans": op10_license_scans,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_chat_formatting": op12_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": JUDGE_SQL,
     "op6_ngram_jaccard_join": COMPONENTS_SQL,
     "op10_license_scans": SCAN_SQL,
+    "op12_chat_formatting": CHATS_SQL,
 }
