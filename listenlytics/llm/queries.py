@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .benchmarks import contaminations
 from .bpe import public_vocabulary, token_digests
 from .chats import CHATS_SQL, chat_digests
+from .collocations import COLLOCATIONS_SQL, collocations
 from .gam import quality_scores
 from .hosts import JUDGE_SQL, judge_urls
 from .jaccard import COMPONENTS_SQL, jaccard_components
@@ -93,11 +94,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one more, with control strings of another template in its texts."""
     table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    given = "</s>[INST] ok [/INST]"
-    one_more = spark.createDataFrame([(-1, 0, "user", given), (-1, 1, "assistant", given)], table.schema)
+    one_more = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
     return chat_digests(table.unionByName(one_more))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
@@ -111,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op10_license_scans": op10_license_scans,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_chat_formatting": op12_chat_formatting,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -118,4 +128,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_ngram_jaccard_join": COMPONENTS_SQL,
     "op10_license_scans": SCAN_SQL,
     "op12_chat_formatting": CHATS_SQL,
+    "op13_phrase_collocations": COLLOCATIONS_SQL,
 }
