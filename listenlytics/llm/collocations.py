@@ -30,12 +30,13 @@ from .words import TextBlock, mix, segment_hashes, small_batches, text_blocks
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-PORTION = 1 << 19
+PORTION = 3 << 18
 BITMAP_BITS = 26
-ROWS_PER_RANGE = 500
-MIN_RANGES, MAX_RANGES = 8, 4096
+ROWS_PER_RANGE = 8000
+MIN_RANGES, MAX_RANGES = 8, 1 << 16
 PHRASES_PER_RANGE = 20_000
 SALTS = 8
+REQUESTS = 50_000
 BROADCAST_BYTES = 32 << 20
 NO_LANGUAGE = "und"
 
@@ -162,26 +163,37 @@ class Transducer:
         return tuple(np.concatenate([np.zeros(0, np.int64), *column]) for column in zip(*found, strict=True))
 
     def to_bytes(self) -> bytes:
+        """The columns, label numbers as steps within a state, compressed."""
+        steps = np.diff(self.arc_labels, prepend=0)
+        begins = self.offsets[:-1][np.diff(self.offsets) > 0]
+        steps[begins] = self.arc_labels[begins]
         columns = [
-            _small(np.array([len(label) for label in self.labels], np.int64)),
+            _small(np.fromiter(map(len, self.labels), np.int64, len(self.labels))),
             np.frombuffer(b"".join(self.labels), np.uint8),
-            *map(_small, (np.diff(self.offsets), self.arc_labels, self.weights, self.targets)),
+            *map(_small, (np.diff(self.offsets), steps, self.weights, self.targets)),
         ]
         head = np.array([n for column in columns for n in (len(column), column.itemsize)], "<i8")
-        return head.tobytes() + b"".join(column.tobytes() for column in columns)
+        # byte by byte of all numbers, the low ones first, so that zeros stand together
+        planes = [column.view(np.uint8).reshape(-1, column.itemsize).T.tobytes() for column in columns]
+        content = head.tobytes() + b"".join(planes)
+        return len(content).to_bytes(8, "little") + pa.compress(content, "zstd", asbytes=True)
 
     @classmethod
     def from_bytes(cls, content: bytes) -> Transducer:
+        content = pa.decompress(content[8:], int.from_bytes(content[:8], "little"), "zstd", asbytes=True)
         head = np.frombuffer(content, "<i8", 12).reshape(-1, 2)
         place, columns = 96, []
         for n, size in head.tolist():
-            columns.append(np.frombuffer(content, f"<u{size}", n, place))
+            planes = np.frombuffer(content, np.uint8, n * size, place).reshape(size, n)
+            columns.append(np.ascontiguousarray(planes.T).view(f"<u{size}").reshape(-1).astype(np.int64))
             place += n * size
-        lengths, blob, sizes, *arcs = columns
-        blob, ends = blob.tobytes(), np.cumsum(lengths, dtype=np.int64).tolist()
+        lengths, blob, sizes, steps, weights, targets = columns
+        blob, ends = blob.astype(np.uint8).tobytes(), np.cumsum(lengths).tolist()
         labels = [blob[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
-        offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
-        return cls(labels, offsets, *[arc.astype(np.int64) for arc in arcs])
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        summed = np.cumsum(steps)
+        before = np.concatenate(([0], summed))[offsets[:-1]]
+        return cls(labels, offsets, summed - np.repeat(before, sizes), weights, targets)
 
 
 def sorted_transducer(labels: list[bytes], rows: np.ndarray, weights: np.ndarray) -> Transducer:
@@ -456,30 +468,37 @@ def _range_key(words: Column, salt: Column, n_ranges: int) -> Column:
     return F.pmod(F.xxhash64(F.get(words, F.lit(0)), first, second, salt), F.lit(n_ranges)).cast("int")
 
 
-def _answer(counts: tuple[list, list], asked: dict[str, list]) -> pa.RecordBatch:
-    """The requests of a portion with the counts of their parts."""
-    phrases, weights = counts
-    parts = asked["words"]
-    unique = {tuple(part): None for part in parts}
-    for i, part in enumerate(unique):
-        unique[part] = i + 1
-    number: dict[str, int] = {}
+class Answers:
+    """The counts of the parts that are asked for in one range."""
 
-    def transducer(rows: list, values: Sequence[int]) -> Transducer:
-        numbered = [[number.setdefault(word, len(number)) for word in row] for row in rows]
-        depth = max(map(len, numbered))
-        padded = np.array([row + [-1] * (depth - len(row)) for row in numbered], np.int64)
-        labels = [word.encode() for word in number]
-        return sorted_transducer(labels, padded, np.array(values, np.int64))
+    def __init__(self):
+        self.counts: tuple[list[list[str]], list[int]] = ([], [])
+        self.asked: list[tuple] = []
+        self.transducer: Transducer | None = None
 
-    here, there = transducer(list(unique), list(unique.values())).composed(transducer(phrases, weights))
-    found = np.zeros(len(unique) + 1, np.int64)
-    found[here] = there
-    f = found[[unique[tuple(part)] for part in parts]]
-    names = ["lang", "phrase", "a", "cut", "side"]
-    types = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string()]
-    columns = [pa.array(asked[name], kind) for name, kind in zip(names, types, strict=True)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(f)], names=[*names, "f"])
+    @staticmethod
+    def _transducer(rows: Sequence[Sequence[str]], weights: Sequence[int]) -> Transducer:
+        number: dict[str, int] = {}
+        numbered = [[number.setdefault(word, len(number)) for word in row] for row in rows]
+        depth = max(map(len, numbered), default=1)
+        padded = np.array([row + [-1] * (depth - len(row)) for row in numbered], np.int64).reshape(-1, depth)
+        return sorted_transducer([word.encode() for word in number], padded, np.array(weights, np.int64))
+
+    def give(self) -> pa.RecordBatch:
+        """The requests so far, with f; all counts must have come before."""
+        if self.transducer is None:
+            self.transducer = self._transducer(*self.counts)
+            self.counts = ([], [])
+        number = {tuple(row[1]): 0 for row in self.asked}
+        number = {part: i for i, part in enumerate(number, 1)}
+        here, there = self._transducer(list(number), list(number.values())).composed(self.transducer)
+        found = np.zeros(len(number) + 1, np.int64)
+        found[here] = there
+        f = found[[number[tuple(row[1])] for row in self.asked]]
+        types = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string())
+        columns = [pa.array([row[i] for row in self.asked], t) for i, t in enumerate(types, 3)]
+        self.asked.clear()
+        return pa.RecordBatch.from_arrays([*columns, pa.array(f)], names=[*_REQUEST, "f"])
 
 
 def part_counts(phrases: DataFrame, n_ranges: int) -> DataFrame:
@@ -513,28 +532,21 @@ def part_counts(phrases: DataFrame, n_ranges: int) -> DataFrame:
     names = ["range", "words", "f", *_REQUEST]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, counts = None, ([], [])
+        current, answers = None, Answers()
         for batch in batches:
-            columns = {name: batch.column(i).to_pylist() for i, name in enumerate(names)}
-            asked: dict[str, list] = {name: [] for name in names}
-
-            def answers() -> Iterator[pa.RecordBatch]:
-                if asked["words"]:
-                    yield _answer(counts, asked)
-                    for values in asked.values():
-                        values.clear()
-
-            for row in zip(*columns.values(), strict=True):
-                if row[0] != current:
-                    yield from answers()
-                    current, counts = row[0], ([], [])
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if row[0] != current or len(answers.asked) >= REQUESTS:
+                    if answers.asked:
+                        yield answers.give()
+                    if row[0] != current:
+                        current, answers = row[0], Answers()
                 if row[2] is not None:
-                    counts[0].append(row[1])
-                    counts[1].append(row[2])
+                    answers.counts[0].append(row[1])
+                    answers.counts[1].append(row[2])
                 else:
-                    for name, value in zip(names, row, strict=True):
-                        asked[name].append(value)
-            yield from answers()
+                    answers.asked.append(row)
+        if answers.asked:
+            yield answers.give()
 
     together = rows.select(*names).repartition("range")
     ordered = together.sortWithinPartitions("range", F.col("f").isNull())  # counts first
