@@ -4,8 +4,8 @@ The distinct pieces of a slice of the corpus are laid out as one array of symbol
 inverted index gives for each rank (a pair of neighbours whose joined bytes have that rank)
 the positions where the pair stands; ranks are taken in ascending order from a heap, all
 positions of a rank are merged from left to right, and only the two neighbours of a merged
-position look up their new rank. A slice is the pieces of a batch that the worker has not met
-lately; those it has are remembered, at most ``2 * CACHE_PIECES``. Joining the pieces of every
+position look up their new rank. A slice is up to ``SLICE_BYTES`` of pieces that the task has not
+met lately; those it has are remembered, at most ``2 * CACHE_PIECES``. Joining the pieces of every
 document with one table for the whole corpus would shuffle several times the text for the same ids.
 """
 
@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +25,13 @@ from pyspark.sql import types as T
 from .frames import map_texts
 from .words import small_batches
 
-CACHE_PIECES = 200_000
+CACHE_PIECES = 160_000
+CACHE_PAIRS = 200_000
+SLICE_BYTES = 1 << 16
+GROUP_CHARS = 1 << 18
+PORTION_PIECES = 1 << 16
 MAX_VOCABULARY_BYTES = 64 << 20
 
-_workers: dict[int, Encoder] = {}  # stays while Spark reuses a worker
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """A rank file: one line for each token, its bytes in base64 and its id."""
@@ -47,18 +49,17 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.pairs: dict[int, int] = {}  # by left << 32 | right
         self.first_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         byte_pairs = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
         self.first_ranks = np.array(byte_pairs, np.int64).reshape(256, 256)
 
-    def _rank(self, left: int, right: int) -> int:
-        pair = (left, right)
-        rank = self.pairs.get(pair)
-        if rank is None:
-            rank = self.ranks.get(self.token[left] + self.token[right], -1)
-            if len(self.pairs) < 2_000_000:
-                self.pairs[pair] = rank
+    def _look_up(self, left: int, right: int) -> int:
+        """The rank of a pair that is not remembered, -1 without one."""
+        rank = self.ranks.get(self.token[left] + self.token[right], -1)
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        self.pairs[left << 32 | right] = rank
         return rank
 
     def _first_index(self, symbols: np.ndarray) -> dict[int, list[int]]:
@@ -80,7 +81,7 @@ class MergeReplay:
         """The ids of each piece, packed as little-endian unsigned 32-bit integers."""
         if not pieces:
             return []
-        rank_of = self._rank
+        look_up, known = self._look_up, self.pairs.get
         data = np.frombuffer(b"".join(pieces), np.uint8)
         piece_ends = np.cumsum([len(piece) for piece in pieces], dtype=np.int64)
         symbols = np.insert(self.first_ids[data], piece_ends, -1)  # no pair reaches over an end
@@ -91,16 +92,6 @@ class MergeReplay:
         heap = list(index)
         heapq.heapify(heap)
 
-        def note(position: int, left: int, right: int) -> None:
-            rank = rank_of(left, right)
-            if rank >= 0:
-                places = index.get(rank)
-                if places is None:
-                    index[rank] = [position]
-                    heapq.heappush(heap, rank)
-                else:
-                    places.append(position)
-
         while heap:
             rank = heapq.heappop(heap)
             places = index.pop(rank)
@@ -111,16 +102,27 @@ class MergeReplay:
                     continue
                 follower = after[position]
                 right = ids[follower]
-                if right < 0 or rank_of(left, right) != rank:
+                if right < 0:
+                    continue
+                found = known(left << 32 | right)
+                if (look_up(left, right) if found is None else found) != rank:
                     continue
                 ids[position], ids[follower] = rank, -2
                 behind = after[follower]
                 after[position], before[behind] = behind, position
                 ahead = before[position]
-                if ahead >= 0 and ids[ahead] >= 0:
-                    note(ahead, ids[ahead], rank)
-                if ids[behind] >= 0:
-                    note(position, rank, ids[behind])
+                for at, a, b in ((ahead, ids[ahead] if ahead >= 0 else -1, rank), (position, rank, ids[behind])):
+                    if a < 0 or b < 0:
+                        continue
+                    found = known(a << 32 | b)
+                    if found is None:
+                        found = look_up(a, b)
+                    if found >= 0:
+                        if found in index:
+                            index[found].append(at)
+                        else:
+                            index[found] = [at]
+                            heapq.heappush(heap, found)
                 if heap and heap[0] < rank:  # a merge that comes first; go on with this rank later
                     rest = places[done + 1 :]
                     if rest:
@@ -142,27 +144,68 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
-        self.pieces_of = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
         self.replay = MergeReplay(ranks)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The packed ids of each text; null texts have none."""
-        pieces = [self.pieces_of(text) if text else [] for text in texts]
+    def _ids_of(self, pieces: set[str]) -> dict[str, bytes]:
         known: dict[str, bytes] = {}
-        new = []
-        for piece in {piece for one in pieces for piece in one}:
+        new: list[str] = []
+        size = 0
+
+        def learn() -> None:
+            known.update(zip(new, self.replay.encode([p.encode() for p in new]), strict=True))
+            new.clear()
+
+        for piece in pieces:
             ids = self.young.get(piece) or self.old.get(piece)
             if ids is None:
                 new.append(piece)
+                size += len(piece)
+                if size >= SLICE_BYTES:
+                    learn()
+                    size = 0
             else:
                 known[piece] = ids
-        known.update(zip(new, self.replay.encode([p.encode() for p in new]), strict=True))
+        learn()
         self.young.update(known)
         if len(self.young) > CACHE_PIECES:
             self.young, self.old = {}, self.young
-        return [b"".join([known[piece] for piece in one]) for one in pieces]
+        return known
+
+    def _long(self, text: str) -> bytes:
+        """The ids of one long text, a portion of its pieces after the other."""
+        pieces = (match[0] for match in self.pattern.finditer(text))
+        ids = []
+        while portion := list(islice(pieces, PORTION_PIECES)):
+            known = self._ids_of(set(portion))
+            ids.append(b"".join([known[piece] for piece in portion]))
+        return b"".join(ids)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text; null texts have none."""
+        found: list[bytes] = []
+        group: list[list[str]] = []
+        chars = 0
+
+        def finish() -> None:
+            known = self._ids_of({piece for one in group for piece in one})
+            found.extend([b"".join([known[piece] for piece in one]) for one in group])
+            group.clear()
+
+        for text in texts:
+            if text and len(text) > GROUP_CHARS:
+                finish()
+                found.append(self._long(text))
+                continue
+            group.append(self.pattern.findall(text) if text else [])
+            chars += len(text or "")
+            if chars >= GROUP_CHARS:
+                finish()
+                chars = 0
+        finish()
+        return found
 
 
 class Decoder:
@@ -200,17 +243,14 @@ def encode(
     """
     spark = docs.sparkSession
     table = read_ranks(vocabulary)
-    marker = zlib.crc32(b"".join(b"%s %d " % item for item in table.items()) + pattern.encode())
     ranks = spark.sparkContext.broadcast(table)
 
     def start():
-        if marker not in _workers:
-            _workers.clear()
-            _workers[marker] = Encoder(ranks.value, pattern)
+        encoder = Encoder(ranks.value, pattern)  # lives as long as the task
         decoder = Decoder(ranks.value) if with_decoded else None
 
         def make(column: pa.Array) -> list[pa.Array]:
-            ids = _workers[marker].encode(column.to_pylist())
+            ids = encoder.encode(column.to_pylist())
             columns = [pa.array(ids, pa.binary())]
             if decoder:
                 columns.append(pa.array([decoder.decode(one) for one in ids], pa.binary()))
