@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import new_work_folder
 from ..staging import written
 
-BROADCAST_EDGES = 1_000_000
+BROADCAST_EDGES = 1 << 19  # two ids each
 
 
 def _kept(df: DataFrame) -> DataFrame:

@@ -9,10 +9,13 @@ each: that is the window of regions into which a document is replicated, and eve
 within the limit meets in one of them.
 
 In a region, documents of at most ``SMALL`` members are compared in pairs. A larger region
-recurses with document pivots: all members are compared with 16 ** round pivots, members
-that end up in one component need no further comparison, the pivots leave, and what remains
+recurses with document pivots: all members are compared with 4 * 16 ** round pivots, members
+known to be connected need no further comparison, the pivots leave, and what remains
 is the next, smaller region, until what is left of all crowds is few for the input and is
-compared in pairs. Before any sets are moved, each pair has to pass the
+compared in pairs. Pivots are the members whose window has the fewest shingles before the
+region's: of near copies of one text that is the text itself, since what a copy changes
+is rare and stands first. The members of a crowd are dealt over ``SALTS`` tasks, and its pivots
+go to all of them. Before any sets are moved, each pair has to pass the
 triangle inequality on the distances to 64 fixed pivot sets, the parts of the hash range:
 the sum over parts of the differences of |A in part| is at most |A - B| + |B - A|.
 
@@ -40,12 +43,13 @@ from .words import shingle_hashes, small_batches, text_blocks
 SHINGLE = 3
 PERCENT = 90
 SMALL = 24
-GROWTH = 16
-PAIRS_PER_MEMBER = 16
+FIRST_PIVOTS, GROWTH = 4, 16
+SALTS = 16
+PAIRS_PER_MEMBER, PAIRS_LATER = 16, 256
 PARTS = 64
 COUNTERS = 1 << 23
 LOCAL_TOP, GLOBAL_TOP = 1 << 16, 1 << 18
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -155,8 +159,8 @@ def _windows(
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, totals = order.value
-        weight = np.zeros(COUNTERS, np.int64)
-        weight[counters] = totals
+        weight = np.zeros(COUNTERS, np.int32)
+        weight[counters] = np.minimum(totals, np.iinfo(np.int32).max)
         nothing = np.zeros(0, np.int64)
         for batch in batches:
             regions, keys, sizes, places, seen = [], [], [], [], set()
@@ -198,33 +202,49 @@ def _may_link(percent: int) -> Column:
     return sizes & ((100 + percent) * left >= percent * total)
 
 
+def _is_early(percent: int) -> Column:
+    """Whether a member's place allows a link with one of its own size.
+
+    Of two that link, the larger one's partner is no larger than it, so by ``_may_link`` the
+    smaller one has enough left for twice its own size. Every pair has such a member.
+    """
+    left = F.col("n") - F.col("place")
+    return (100 + percent) * left >= 2 * percent * F.col("n")
+
+
 def _shared_regions(windows: DataFrame, percent: int) -> DataFrame:
     """(region) of the regions that two documents may link in.
 
-    Of a region with two rows, which most are, both sizes and places are known from the least
-    and the greatest of them, packed into one number each.
+    A row is told from others by its size, its place and 32 bits that are drawn anew for each
+    region, packed into one number, so that little is shuffled. Of a region with two rows, which
+    most are, the least and the greatest number give both sizes and places; those too large
+    for their bits may link with all.
     """
-    mark, shift = F.xxhash64("key"), 1 << 32
-    packed = F.col("n") * shift + F.col("place")
+    bits_n, bits_place = 20, 12
+    n, place = (
+        F.least(F.col(name), F.lit((1 << bits) - 1)) for name, bits in (("n", bits_n), ("place", bits_place))
+    )
+    mark = F.xxhash64("key", "region").bitwiseAND((1 << 32) - 1)
+    packed = F.shiftleft(n, 32 + bits_place).bitwiseOR(F.shiftleft(place, 32)).bitwiseOR(mark)
     found = windows.groupBy("region").agg(
-        F.count("*").alias("rows"),
-        F.min(mark).alias("low"),
-        F.max(mark).alias("high"),
-        F.min(packed).alias("least"),
-        F.max(packed).alias("greatest"),
+        F.count("*").alias("rows"), F.min(packed).alias("least"), F.max(packed).alias("greatest")
     )
-    two = {
-        f"{name}_{side}": F.expr(f"{packed_row} {operation} {shift}")
-        for side, packed_row in (("a", "least"), ("b", "greatest"))
-        for name, operation in (("n", "div"), ("place", "%"))
-    }
-    possible = (F.col("rows") > 2) | _may_link(percent)
-    return found.where("low != high").withColumns(two).where(possible).select("region")
+    two = {}
+    for side, row in (("a", "least"), ("b", "greatest")):
+        two[f"n_{side}"] = F.shiftrightunsigned(row, 32 + bits_place)
+        two[f"place_{side}"] = F.shiftrightunsigned(row, 32).bitwiseAND((1 << bits_place) - 1)
+    huge = (F.col("n_b") == (1 << bits_n) - 1) | (F.col("place_a") == (1 << bits_place) - 1)
+    huge = huge | (F.col("place_b") == (1 << bits_place) - 1)
+    possible = (F.col("rows") > 2) | huge | _may_link(percent)
+    return found.where("least != greatest").withColumns(two).where(possible).select("region")
 
 
 def _small_enough(df: DataFrame) -> DataFrame:
-    """With a broadcast hint when the written table has few rows; else it is shuffled."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """With a broadcast hint when the rows of a written table are few bytes; else it is shuffled."""
+    widths = [F.octet_length(F.col(f.name).cast("binary")) if isinstance(f.dataType, (T.StringType, T.BinaryType))
+              else F.lit(8) for f in df.schema.fields]
+    size = df.agg(F.sum(sum(widths, F.lit(24)))).first()[0]  # 24 for a row's place in the hash table
+    return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df
 
 
 def _signature_passes(a: np.ndarray, b: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
@@ -256,9 +276,8 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 yield batch.select([0, 1, 2, 3]).filter(keep)
 
     columns = ("key_a", "key_b", "rep_a", "rep_b", "signature_a", "signature_b")
-    return known.select(*columns, (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(
-        check, "key_a binary, key_b binary, rep_a long, rep_b long"
-    )
+    checked = known.select(*columns, (F.col("n_a") + F.col("n_b")).alias("n"))
+    return checked.mapInArrow(check, T.StructType(checked.schema.fields[:4]))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -276,9 +295,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     whole = left.join(_small_enough(pairs), "key_a").join(right, "key_b")
-    return whole.select(
-        F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "shingles_a", "shingles_b"
-    ).mapInArrow(check, "a long, b long")
+    both = whole.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "shingles_a", "shingles_b")
+    return both.mapInArrow(check, T.StructType(both.schema.fields[:2]))
+
+
+def _connected(links: DataFrame) -> DataFrame:
+    """(node, label) of the linked nodes; nodes with one label are connected, though not the reverse.
+
+    The label is the least node within two steps, which joins a star to its centre's least
+    neighbour. Whole components are worked out once, at the end.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    near = written(near, new_work_folder(links.sparkSession, "near"))
+    beside = both.join(_small_enough(near.withColumnRenamed("a", "b")), "b").select("a", "least")
+    return (
+        beside.unionByName(near).groupBy(F.col("a").alias("node")).agg(F.min("least").alias("label"))
+    )
 
 
 def _sets_of(
@@ -342,48 +375,60 @@ def jaccard_components(
     with_id = docs.where(F.col(id_col).isNotNull())
     windows = kept(_windows(with_id, text_col, size, percent, _frequent(table)), "windows")
     shared = kept(_shared_regions(windows, percent), "regions")
-    members = windows.join(_small_enough(shared), "region", "left_semi").distinct()
-    members = kept(members.join(names, "key").select("region", "key", "rep", "n", "place"), "members")
+    members = windows.join(_small_enough(shared), "region", "left_semi").join(names, "key")
+    # by key and then all of the row, so that the join's partitioning serves
+    members = kept(members.groupBy("key", "region", "rep", "n", "place").agg(F.lit(True).alias("once")).drop("once"), "members")
 
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, component long")
+    id_type = docs.schema[id_col].dataType
+    links = spark.createDataFrame([], T.StructType([T.StructField(n, id_type) for n in "ab"]))
+    labels = None
     n_members, turn = members.count(), 0
     while True:
-        of_rep = _small_enough(labels.withColumnRenamed("node", "rep"))
-        labelled = members.join(of_rep, "rep", "left").select(
-            "region", "key", "rep", "n", "place", F.coalesce("component", "rep").alias("component")
-        )
+        labelled = members.withColumn("label", F.col("rep"))
+        if labels is not None:
+            of_rep = _small_enough(labels.withColumnRenamed("node", "rep"))
+            labelled = members.join(of_rep, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         counts = labelled.groupBy("region").agg(
-            F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
+            F.count("*").alias("size"),
+            F.count_if(_is_early(percent)).alias("n_early"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
         )
-        open_regions = counts.where("low != high").select("region", "size")
+        open_regions = counts.where("low != high AND n_early > 0").select("region", "size", "n_early")
         current = kept(labelled.join(open_regions, "region"), "current")
         open_rows = current.agg(
             F.count("*").alias("rows"),
-            F.sum(F.when(F.col("size") > SMALL, F.col("size"))).alias("crowd_pairs"),
+            F.sum(F.when(F.col("size") > SMALL, F.col("n_early"))).alias("crowd_pairs"),
         ).first()
         if not open_rows["rows"]:
             break
         # what is left of the crowds is compared in pairs as soon as these are few for the input
-        last = (open_rows["crowd_pairs"] or 0) <= (PAIRS_PER_MEMBER * n_members if turn else 0)
-        columns = ("key", "n", "place", "component")
-        crowded = current.where(F.lit(not last) & (F.col("size") > SMALL))
-        rest = current.where(F.lit(last) | (F.col("size") <= SMALL))
-        first = rest.select("region", *columns, F.lit(False).alias("pivot"))
+        last = (open_rows["crowd_pairs"] or 0) <= (PAIRS_LATER if turn else PAIRS_PER_MEMBER) * n_members
+        in_crowd = F.col("size") > SMALL
+        columns = ("key", "n", "place", "label", "early")
+        salt = F.when(in_crowd, F.pmod(F.xxhash64("key"), F.lit(SALTS))).otherwise(F.lit(0))
+        salts = F.when(in_crowd, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        dealt = current.withColumns({"salt": salt.cast("int"), "salts": salts, "early": _is_early(percent)})
+        crowded = dealt.where(F.lit(not last) & in_crowd)
+        rest = dealt.where(F.lit(last) | ~in_crowd)
+        first = rest.where("early").select("region", "salts", *columns, F.lit(False).alias("pivot"))
         if not last:
-            rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("key"), "key"))
+            rank = F.row_number().over(Window.partitionBy("region").orderBy("place", "n", "key"))
             pivots = kept(
-                crowded.withColumn("rank", rank)
-                .where(F.col("rank") <= GROWTH**turn)
-                .select("region", *columns, F.lit(True).alias("pivot")),
+                crowded.where("early")
+                .withColumn("rank", rank)
+                .where(F.col("rank") <= FIRST_PIVOTS * GROWTH**turn)
+                .select("region", "salts", *columns, F.lit(True).alias("pivot")),
                 "pivots",
             )
             first = first.unionByName(pivots)
-        a = first.select("region", "pivot", *[F.col(c).alias(f"{c}_a") for c in columns])
-        b = current.select("region", *[F.col(c).alias(f"{c}_b") for c in columns])
+        a = first.select(
+            "region", F.explode("salts").alias("salt"), "pivot", *[F.col(c).alias(f"{c}_a") for c in columns]
+        )
+        b = dealt.select("region", "salt", *[F.col(c).alias(f"{c}_b") for c in columns])
         pairs = (
-            a.join(b, "region")
-            .where("component_a != component_b AND (pivot OR key_a < key_b)")
+            a.join(b, ["region", "salt"])
+            .where("label_a != label_b AND (pivot OR NOT early_b OR key_a < key_b)")
             .where(_may_link(percent))
             .select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
             .distinct()
@@ -394,15 +439,15 @@ def jaccard_components(
         wanted = kept(sides[0].unionByName(sides[1]).distinct(), "wanted")
         sets = kept(_sets_of(with_id, id_col, text_col, size, wanted), "sets")
         found = kept(_verified(plausible, sets, percent), "found")
-        if not found.isEmpty():
-            links = kept(links.unionByName(found), "links")
-            labels = kept(components(links), "labels")
+        links = links.unionByName(found)
         if last:
             break
+        labels = kept(_connected(links), "near-labels")
         members = crowded.join(pivots, ["region", "key"], "left_anti").select(
             "region", "key", "rep", "n", "place"
         )
         turn += 1
+    labels = kept(components(links), "labels")
     result = described.join(names, "key", "left").join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
     )
