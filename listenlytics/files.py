@@ -6,12 +6,15 @@ commit protocol; file contents never do.
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,60 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, hadoop_path = _open(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file as a whole, unless there is one; of several writers one succeeds.
+
+    The content is written beside it first. A store must rename without replacing in one step
+    (as HDFS does); a file of this machine is linked, since its rename replaces.
+    """
+    fs, hadoop_path = _open(spark, path)
+    if fs.exists(hadoop_path):
+        return False
+    beside = f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}"
+    write_text(spark, beside, text)
+    try:
+        if fs.getScheme() == "file":
+            os.link(plain_path(beside), plain_path(path))
+            return True
+        options = spark._jvm.org.apache.hadoop.fs.Options
+        none = spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 0)
+        context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            hadoop_path.toUri(), spark._jsc.hadoopConfiguration()
+        )
+        context.rename(_open(spark, beside)[1], hadoop_path, none)
+        return True
+    except (FileExistsError, Py4JJavaError):
+        if not fs.exists(hadoop_path):
+            raise
+        return False
+    finally:
+        delete(spark, beside)
+
+
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names of what lies directly in a folder; none where it is absent."""
+    fs, hadoop_path = _open(spark, folder)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(hadoop_path))
+
+
+def modified_at(spark: SparkSession, path: str) -> int:
+    """When a file or folder was changed last, in milliseconds."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime()
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; ``target`` must not be there."""
     fs, source_path = _open(spark, source)
@@ -152,6 +209,12 @@ def absolute(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toString()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme of its store."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def literal(path: str) -> str:
     """A path for Spark's readers that stands for this one file, whatever its name holds."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -13,9 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..files import any_match, delete, exists, move_folder, touch
 from ..staging import written
+from .snapshots import version_of
 
 
 class DuplicateKeyError(ValueError):
@@ -60,8 +62,13 @@ def read_keyed(
     """The table at ``target``; ``schema`` names its columns, and an absent table is empty then.
 
     Where a writer died between its two writes, the whole state it left beside the table
-    stands in for the partitions it would have replaced.
+    stands in for the partitions it would have replaced. A table that a version holds is
+    read as the latest version has it.
     """
+    if versioned := version_of(spark, target):
+        found, name = versioned
+        table = found.read(spark, name)
+        return table.select(*T.StructType.fromDDL(schema).names) if schema else table
     pending, mark = _pending(target)
     reader = spark.read.schema(schema) if schema else spark.read
     if exists(spark, mark):
@@ -76,7 +83,7 @@ def read_keyed(
     return spark.createDataFrame([], schema)
 
 
-def _one_row_per_key(
+def one_row_per_key(
     rows: DataFrame, keys: Sequence[str], on_duplicate: str, newest_by: Sequence[str]
 ) -> DataFrame:
     if on_duplicate == "last":
@@ -104,10 +111,12 @@ def stage_upsert(
     if on_duplicate == "last" and not newest_by:
         raise ValueError("on_duplicate='last' needs newest_by")
     spark = rows.sparkSession
+    if version_of(spark, target):
+        raise ValueError(f"{target} belongs to a version of several tables and changes with it")
     finish_pending(spark, target, partition)
     arrived, (pending, _) = _beside(target, "arrived"), _pending(target)
     try:
-        new = _one_row_per_key(written(rows, arrived), keys, on_duplicate, newest_by)
+        new = one_row_per_key(written(rows, arrived), keys, on_duplicate, newest_by)
         if any_match(spark, f"{target}/*=*"):
             replaced = list(group or [partition]) if mode == "replace_group" else list(keys)
             # As values, so that the scan opens these folders only; they are no more than the folders.

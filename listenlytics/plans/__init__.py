@@ -1,6 +1,6 @@
 """Whole jobs: the three result tables, a run over arrived files, the run summary."""
 
-from .run import read_verdicts, run_files, run_inbox, table_paths
+from .run import finish_filing, read_tables, read_verdicts, run_files, run_inbox, table_paths
 from .summary import (
     genres_in_order,
     kpis_by_listen_count,
@@ -12,9 +12,11 @@ from .transform import KEYS, kpi_tables, song_key_columns, write_tables
 
 __all__ = [
     "KEYS",
+    "finish_filing",
     "genres_in_order",
     "kpi_tables",
     "kpis_by_listen_count",
+    "read_tables",
     "read_verdicts",
     "row_counts",
     "run_files",

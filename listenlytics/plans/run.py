@@ -8,19 +8,24 @@ Below one root folder, on storage that all executors share:
     tmp/validation/run=<id>    verdicts as JSON
     tmp/validation/<key>.result.json   the verdict of one file, where ``result_key`` says
     tmp/open/<id>              runs that are not through yet
+    tmp/filing/run=<id>        where the files of a run go, until they are there
     tmp/runs/run=<id>/...      what a run works with; only its mark stays when it is through
     processed/kpis/run=<id>    the result tables of the run, per file; of a run over a
                                single file at processed/kpis/<key>
     tables/<name>              the keyed tables that are served
+    tables__versions           their versions, one file each
 
-Every step writes to a path of its run, and files move last. An error leaves the files
-where they arrived, and a run that died is started again with the same id: before the
-load is complete it does everything again, after that it only moves the other files.
+Every step writes to a path of its run. One commit makes the three tables' new states count
+and files the run's inputs; their bytes are moved after it. An error before leaves all as it
+was, and a run that died is started again with the same id: before the commit it does
+everything again, after that it only moves the other files.
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
+import uuid
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -31,26 +36,28 @@ from pyspark.sql import functions as F
 from ..files import (
     Arrival,
     absolute,
+    any_match,
     arrival,
     delete,
     exists,
-    for_each,
     list_arrivals,
-    move,
     plain_path,
     touch,
-    write_text,
 )
+from ..objects import move_files as move_in_tasks
+from ..objects import write_objects
 from ..operators.enrich import BROADCAST_BYTES, sized
 from ..operators.quality import validate_files
 from ..operators.routing import INBOX, KPI_OUTPUT, RESULTS, output_prefix, result_key, target_key
 from ..operators.topk import latest_per_key
-from ..operators.upsert import finish_pending, mark_staged, stage_upsert
+from ..operators.snapshots import Change, Snapshot, latest, snapshot, stage_state, update
+from ..operators.upsert import one_row_per_key, read_keyed
 from ..sources import inspect_files, land_plays
 from ..staging import side_by_side, written
 from .transform import KEYS, song_key_columns, write_frames
 
 ARRIVAL = ("arrived_at", "source_key")
+_GROUPS = {"daily_genre_kpis": ["date"], "top_songs_per_genre": ["genre_date"], "top_genres_per_day": ["date"]}
 OPEN_RUNS = "tmp/open"
 _VERDICT_SCHEMA = (
     "source_key string, status string, reason string, result_key string, output_prefix string"
@@ -84,6 +91,10 @@ class RunPaths:
     def done(self) -> str:
         return self._work("_done")
 
+    @property
+    def filing(self) -> str:
+        return f"{self.root}/tmp/filing/run={self.run_id}"
+
     @property
     def open(self) -> str:
         return f"{self.root}/{OPEN_RUNS}/{self.run_id}"
@@ -97,9 +108,13 @@ class RunPaths:
         return f"{self.root}/{KPI_OUTPUT}/run={self.run_id}"
 
 
+def _tables_root(root: str) -> str:
+    return f"{root.rstrip('/')}/tables"
+
+
 def table_paths(root: str) -> dict[str, str]:
     """The keyed tables below ``root``."""
-    return {name: f"{root.rstrip('/')}/tables/{name}" for name in KEYS}
+    return {name: f"{_tables_root(root)}/{name}" for name in KEYS}
 
 
 def read_verdicts(spark: SparkSession, root: str, run_id: str) -> DataFrame:
@@ -152,6 +167,16 @@ def _twice_ranked(outputs: dict[str, DataFrame]) -> DataFrame:
     return twice.where("count > 1").groupBy("source_key").agg(reason.alias("twice"))
 
 
+def read_tables(spark: SparkSession, root: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The three tables as one version has them, by default the latest; none before the first load.
+
+    All are of the same version, however many loads are committed while they are read.
+    """
+    tables_root = _tables_root(root)
+    found = latest(spark, tables_root) if version is None else snapshot(spark, tables_root, version)
+    return {name: found.read(spark, name) for name in KEYS if name in found.schemas}
+
+
 def load_tables(
     spark: SparkSession,
     outputs: dict[str, DataFrame],
@@ -159,8 +184,10 @@ def load_tables(
     root: str,
     mode: str = "replace",
     on_duplicate: str = "error",
+    load: str | None = None,
+    filing: dict[str, str] | None = None,
 ) -> dict[str, str]:
-    """Put the result tables of a run into the keyed tables, all three or none.
+    """Put the result tables of a run into the keyed tables, all three by one commit.
 
     The results are per file; where files share a key (with ``mode='replace_group'``: a
     group), the file that arrived last (see ``arrivals``: source_key, arrived_at) counts, as
@@ -168,61 +195,107 @@ def load_tables(
     track under two names can hold one rank twice: that is an error, or with
     ``on_duplicate='last'`` the row with the greatest other columns is kept.
 
-    Every table's new state is written first, then all are marked and swapped in, so an
-    error in one leaves all as they were.
+    Every table's new state is written first. Readers see all of them from the commit of the
+    next version on, and none before. When another load was committed meanwhile, the states are
+    written again on what it left, if it touched the same days. A ``load`` that some version
+    holds is not done again. ``filing`` (name to folder) is filing work that the commit adds.
     """
+    if mode not in ("replace", "replace_group"):
+        raise ValueError(f"mode must be 'replace' or 'replace_group', not {mode!r}")
     targets = table_paths(root)
+    work = f"{root.rstrip('/')}/tmp/loads/{uuid.uuid4().hex}"
+    ready: dict[str, DataFrame] = {}
 
-    def stage(name: str) -> None:
-        keys = KEYS[name]
-        group = ["genre_date"] if name == "top_songs_per_genre" else ["date"]
+    def prepare(name: str) -> None:
+        keys, group = KEYS[name], _GROUPS[name]
         results = outputs[name].join(arrivals, "source_key")
         rows = latest_per_key(results, group if mode == "replace_group" else keys, ARRIVAL)
         rows = rows.drop(*ARRIVAL)
         if name == "top_songs_per_genre":
             rows = song_key_columns(rows)
         others = sorted(set(rows.columns) - set(keys))
-        stage_upsert(
-            targets[name],
-            rows,
-            keys,
-            mode=mode,
-            group=group,
-            on_duplicate=on_duplicate,
-            newest_by=others,
-        )
-
-    side_by_side(spark, [partial(stage, name) for name in KEYS])
-    for target in targets.values():
-        mark_staged(spark, target)
-    side_by_side(spark, [partial(finish_pending, spark, target) for target in targets.values()])
+        rows = one_row_per_key(written(rows, f"{work}/{name}"), keys, on_duplicate, others)
+        ready[name] = written(rows, f"{work}/{name}-once") if on_duplicate == "last" else rows
+
+    def stage(base: Snapshot) -> dict[str, Change]:
+        changes: dict[str, Change] = {}
+
+        def one(name: str) -> None:
+            unversioned = None
+            if name not in base.schemas and any_match(spark, f"{targets[name]}/date=*"):
+                unversioned = read_keyed(spark, targets[name])
+            replaced = _GROUPS[name] if mode == "replace_group" else None
+            changes[name] = stage_state(
+                base, name, ready[name], KEYS[name], replaced=replaced, unversioned=unversioned
+            )
+
+        side_by_side(spark, [partial(one, name) for name in KEYS])
+        return changes
+
+    try:
+        side_by_side(spark, [partial(prepare, name) for name in KEYS])
+        update(spark, _tables_root(root), stage, load, filing)
+    finally:
+        delete(spark, work)
     return targets
 
 
 def _write_results(spark: SparkSession, paths: RunPaths) -> None:
     """The verdict of every file as an object of its own, where its ``result_key`` says."""
-
-    def write(row) -> None:
-        write_text(spark, f"{paths.root}/{row.result_key}", json.dumps(row.asDict(), ensure_ascii=False))
-
-    for_each(write, read_verdicts(spark, paths.root, paths.run_id).toLocalIterator())
+    verdicts = read_verdicts(spark, paths.root, paths.run_id)
+    content = F.to_json(F.struct(*verdicts.columns), {"ignoreNullFields": "false"})
+    write_objects(verdicts.select(F.col("result_key").alias("key"), content.alias("content")), paths.root)
 
 
-def _file_away(spark: SparkSession, paths: RunPaths, unit: str) -> None:
-    """Move every file of the run to the archive or the quarantine, a portion at a time."""
+def _plan_filing(spark: SparkSession, paths: RunPaths, unit: str) -> None:
+    """Write where every file of the run goes: archive or quarantine."""
     key = F.col("source_key")
+    name = F.substring_index("path", "/", -1)
     if unit == "directory":
-        key = F.concat(key, F.lit("/"), F.substring_index("path", "/", -1))
+        key = F.concat(key, F.lit("/"), name)
     files = spark.read.schema(_FILE_SCHEMA).parquet(paths.files)
     verdicts = read_verdicts(spark, paths.root, paths.run_id).select("source_key", "status")
-    targets = files.join(verdicts, "source_key").select(
-        "path", "length", "modified", target_key(key, F.col("status")).alias("target")
+    moves = files.join(verdicts, "source_key").select(
+        key.alias("source"), "length", "modified", target_key(key, F.col("status")).alias("target")
     )
+    moves.write.mode("overwrite").parquet(paths.filing)
+
+
+_FILING_SCHEMA = "source string, length bigint, modified bigint, target string"
+
+
+def finish_filing(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> dict[str, int]:
+    """Move the files that loads have filed and that still lie in the inbox; gives counts of them.
+
+    A file counts as filed from the commit of its load on; here its bytes follow, moved by
+    tasks. The work of a load is done with the commit that takes it off the list, and one that
+    dies before is repeated, which moves only what is left. ``names`` limits it to some loads.
+    """
+    root = root.rstrip("/")
+    open_filing = latest(spark, _tables_root(root)).filing
+    counts: Counter[str] = Counter()
+    for name, folder in open_filing.items():
+        if names is not None and name not in names:
+            continue
+        counts += Counter(move_in_tasks(spark.read.schema(_FILING_SCHEMA).parquet(folder), root))
+        update(spark, _tables_root(root), lambda base: {}, filing={name: None})
+        delete(spark, folder)
+    return dict(counts)
+
+
+def _file_away(spark: SparkSession, paths: RunPaths, unit: str) -> None:
+    """Move every file of the run to the archive or the quarantine."""
+    tables_root = _tables_root(paths.root)
+    if paths.run_id not in latest(spark, tables_root).filing:
+        _plan_filing(spark, paths, unit)  # the load was done without filing
+        update(spark, tables_root, lambda base: {}, filing={paths.run_id: paths.filing})
+    finish_filing(spark, paths.root, [paths.run_id])
 
-    def one(row) -> None:
-        move(spark, Arrival(row.path, row.length, row.modified), f"{paths.root}/{row.target}")
 
-    for_each(one, targets.toLocalIterator())
+def _load_id(run_id: str, given: Sequence[Arrival]) -> str:
+    """A run over these versions of these files."""
+    names = "\n".join(sorted(f"{plain_path(a.path)} {a.length} {a.modified}" for a in given))
+    return f"{run_id}-{hashlib.md5(names.encode(), usedforsecurity=False).hexdigest()}"
 
 
 def run_files(
@@ -284,8 +357,19 @@ def run_files(
         )
         passed = read_verdicts(spark, root, run_id).where("status = 'PASSED'").select("source_key")
         arrivals = inspection.groupBy("source_key").agg(F.max("arrived_at").alias("arrived_at"))
+        filing = None
+        if move_files:
+            _plan_filing(spark, paths, unit)
+            filing = {run_id: paths.filing}
         load_tables(
-            spark, outputs, arrivals.join(passed, "source_key"), root, mode, on_duplicate
+            spark,
+            outputs,
+            arrivals.join(passed, "source_key"),
+            root,
+            mode,
+            on_duplicate,
+            _load_id(run_id, given),
+            filing,
         )
         _write_results(spark, paths)
         touch(spark, paths.loaded)
@@ -312,8 +396,9 @@ def _with_failures(verdicts: DataFrame, failed: DataFrame) -> DataFrame:
 def run_inbox(
     spark: SparkSession, songs: DataFrame, root: str, run_id: str, **options
 ) -> dict[str, str]:
-    """Run over everything that lies in the inbox."""
+    """Run over everything that lies in the inbox; what is filed but not moved yet is moved first."""
     root = root.rstrip("/")
+    finish_filing(spark, root)
     arrived = list_arrivals(spark, f"{root}/{INBOX}")
     return run_files(spark, arrived, songs, root, run_id, **options) if arrived else table_paths(root)
 

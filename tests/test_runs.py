@@ -8,6 +8,7 @@ from conftest import rows_of, write_file
 from golden import SONGS
 from listenlytics.files import list_arrivals, list_files
 from listenlytics.operators import read_keyed, route_files
+from listenlytics.operators.snapshots import latest
 from listenlytics.plans import read_verdicts, run_files, run_inbox, table_paths
 from listenlytics.sources import read_catalogue
 from listenlytics.streaming import run_stream
@@ -411,14 +412,14 @@ def test_an_error_in_one_table_leaves_all_three(spark, tmp_path, monkeypatch):
     songs = catalogue(spark, tmp_path)
     run_files(spark, place(tmp_path, first=FIRST), songs, str(tmp_path), "r1")
     before = all_tables(spark, tmp_path)
-    stage = run.stage_upsert
+    stage = run.stage_state
 
-    def fails(target, *args, **options):
-        if target.endswith("top_genres_per_day"):
+    def fails(base, name, *args, **options):
+        if name == "top_genres_per_day":
             raise RuntimeError("dies")
-        stage(target, *args, **options)
+        return stage(base, name, *args, **options)
 
-    monkeypatch.setattr(run, "stage_upsert", fails)
+    monkeypatch.setattr(run, "stage_state", fails)
     paths = place(tmp_path, second=SECOND)
     with pytest.raises(RuntimeError):
         run_files(spark, paths, songs, str(tmp_path), "r2")
@@ -429,30 +430,52 @@ def test_an_error_in_one_table_leaves_all_three(spark, tmp_path, monkeypatch):
     assert sorted(os.listdir(tmp_path / "tables")) == sorted(before)
 
 
-@pytest.mark.parametrize("swapped", [0, 1, 2])
-def test_a_death_between_the_swaps_is_seen_as_loaded(spark, tmp_path, monkeypatch, swapped):
+@pytest.mark.parametrize("point", ["before the commit", "in the commit", "after the commit", "in the moves"])
+def test_a_death_leaves_all_old_or_all_new(spark, tmp_path, monkeypatch, point):
+    from listenlytics.operators import snapshots
     from listenlytics.plans import run
 
     songs = catalogue(spark, tmp_path)
     run_files(spark, place(tmp_path, first=FIRST), songs, str(tmp_path), "r1")
-    finish, calls = run.finish_pending, []
+    before = all_tables(spark, tmp_path)
 
-    def dies(session, target):
-        calls.append(target)
-        if len(calls) > swapped:
-            raise RuntimeError("dies")
-        finish(session, target)
+    def dies(*args, **options):
+        raise RuntimeError("dies")
 
-    monkeypatch.setattr(run, "finish_pending", dies)
-    monkeypatch.setattr(run, "side_by_side", lambda session, steps: [step() for step in steps])
+    module, name = {
+        "before the commit": (run, "update"),
+        "in the commit": (snapshots, "create_once"),
+        "after the commit": (run, "_write_results"),
+        "in the moves": (run, "move_in_tasks"),
+    }[point]
+    monkeypatch.setattr(module, name, dies)
     paths = place(tmp_path, second=SECOND)
     with pytest.raises(RuntimeError):
         run_files(spark, paths, songs, str(tmp_path), "r2")
     monkeypatch.undo()
-    assert kpis(spark, tmp_path) == KPIS_BOTH
     seen = all_tables(spark, tmp_path)
+    assert (kpis(spark, tmp_path) == KPIS_BOTH) if point in ("after the commit", "in the moves") else seen == before
     run_files(spark, paths, songs, str(tmp_path), "r2")
-    assert all_tables(spark, tmp_path) == seen
+    assert kpis(spark, tmp_path) == KPIS_BOTH
+    assert names(tmp_path, "raw/streams") == []
+    # r1: load and filing done; r2 the same, the load by one commit however often it was begun
+    assert latest(spark, f"{tmp_path}/tables").version == 4 and not latest(spark, f"{tmp_path}/tables").filing
+
+
+def test_filed_files_are_not_taken_again(spark, tmp_path, monkeypatch):
+    """A file counts as filed from the commit on, though its bytes still lie in the inbox."""
+    from listenlytics.plans import run
+
+    songs = catalogue(spark, tmp_path)
+    place(tmp_path, first=FIRST)
+    monkeypatch.setattr(run, "move_in_tasks", lambda *_: (_ for _ in ()).throw(RuntimeError("dies")))
+    with pytest.raises(RuntimeError):
+        run_inbox(spark, songs, str(tmp_path), "r1")
+    monkeypatch.undo()
+    assert names(tmp_path, "raw/streams") == ["first.csv"]
+    run_inbox(spark, songs, str(tmp_path), "r2")
+    assert names(tmp_path, "raw/streams") == [] and names(tmp_path, "processed/streams") == ["first.csv"]
+    assert not (tmp_path / "tmp/runs/run=r2").exists()
 
 
 def test_results_lie_where_their_keys_say(spark, tmp_path):
