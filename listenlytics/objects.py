@@ -18,7 +18,7 @@ from .files import Arrival, for_each, move, qualified, write_text
 FILES_PER_TASK = 500
 
 
-def _uri(spark: SparkSession, root: str) -> str | None:
+def known_uri(spark: SparkSession, root: str) -> str | None:
     """The root as pyarrow names it, None where pyarrow does not know its store."""
     scheme, _, rest = qualified(spark, root).partition(":")
     uri = f"{scheme}://{rest.removeprefix('//')}" if scheme != "file" else f"file:///{rest.lstrip('/')}"
@@ -56,7 +56,7 @@ def move_files(moves: DataFrame, root: str) -> dict[str, int]:
     """
     spark = moves.sparkSession
     moves = moves.select("source", "length", "modified", "target")
-    uri = _uri(spark, root)
+    uri = known_uri(spark, root)
     if uri is None:
 
         def one(row) -> None:
@@ -101,7 +101,7 @@ def write_objects(objects: DataFrame, root: str) -> None:
     """
     spark = objects.sparkSession
     objects = objects.select("key", "content")
-    uri = _uri(spark, root)
+    uri = known_uri(spark, root)
     if uri is None:
         for_each(lambda row: write_text(spark, f"{root}/{row.key}", row.content), objects.toLocalIterator())
         return

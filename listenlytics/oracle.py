@@ -221,6 +221,8 @@ FROM kpis""",
 FROM events WHERE event_type = 'click'
 UNION ALL
 SELECT event_id, CAST(NULL AS BIGINT), event_type FROM events WHERE event_type <> 'click'""",
+    "union_parts_of_other_types": """SELECT CAST(event_id AS DOUBLE) AS event_id,
+  CASE WHEN event_type IN ('click', 'view', 'purchase') THEN CAST(user_id AS VARCHAR) END AS user_id FROM events""",
     "file_quality_profile": f"""{_FILES}
 SELECT source_key, row_count, user_id_null_rate, track_id_null_rate, listen_time_non_null, listen_time_bad,
        track_id_distinct FROM prof""",

@@ -279,6 +279,19 @@ def union_part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parts(spark, folder).select("event_id", "user_id", "event_type")
 
 
+def union_parts_of_other_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of the event log that hold the same columns as int, bigint, double, and as text."""
+    folder = new_work_folder(spark, "parts")
+    events = table(spark, sf_dir, "events")
+    kinds = {"click": ("int", "bigint"), "view": ("bigint", "string"), "purchase": ("double", "int")}
+    rest = events.where(~F.col("event_type").isin(list(kinds)))
+    rest.select("event_id").write.parquet(f"{folder}/rest")
+    for kind, (number, user) in kinds.items():
+        part = events.where(F.col("event_type") == kind)
+        part.select(F.col("event_id").cast(number), F.col("user_id").cast(user)).write.parquet(f"{folder}/{kind}")
+    return read_parts(spark, folder).select("event_id", "user_id")
+
+
 # Quality of files
 
 
@@ -592,6 +605,7 @@ QUERIES: dict[str, Query] = {
     "kpi_documents": kpi_documents,
     "event_items": event_items,
     "union_part_files": union_part_files,
+    "union_parts_of_other_types": union_parts_of_other_types,
     "file_quality_profile": file_quality_profile,
     "validate_files": validate,
     "validate_files_all_times": validate_all_times,
