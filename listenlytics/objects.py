@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import Arrival, for_each, move, qualified, write_text
+from .files import Arrival, folder_names, for_each, list_arrivals, move, qualified, write_text
 
 FILES_PER_TASK = 500
 
@@ -47,6 +47,54 @@ def _in_tasks(rows: DataFrame, uri: str, start: Callable) -> dict[str, int]:
     return {row["said"]: row["count"] for row in dealt.mapInArrow(run, "said string").groupBy("said").count().collect()}
 
 
+ARRIVALS = "path string, length bigint, modified bigint"
+
+
+def look(spark: SparkSession, root: str, folder: str) -> DataFrame:
+    """(path, length, modified) of all visible files below ``root``/``folder``, listed by tasks.
+
+    Each folder that lies directly in it is a prefix that one task walks through; the files
+    beside them are another. An absent folder is empty. HDFS, whose times pyarrow gives in
+    whole seconds only, and stores that pyarrow does not know are listed by the driver.
+    """
+    uri = known_uri(spark, root)
+    if uri is None or not uri.startswith(("file:", "s3:", "gs:", "abfs")):
+        return spark.createDataFrame(list_arrivals(spark, f"{root}/{folder}"), ARRIVALS)
+    whole = qualified(spark, root).rstrip("/")
+    prefixes = [(name,) for name in ["", *folder_names(spark, f"{root}/{folder}")] if not name.startswith(("_", "."))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow
+        import pyarrow.fs
+
+        file_system, base = pyarrow.fs.FileSystem.from_uri(uri)
+        above = f"{base.rstrip('/')}/{folder}"
+        for batch in batches:
+            for prefix in batch.column(0).to_pylist():
+                place = f"{above}/{prefix}".rstrip("/")
+                kind = file_system.get_file_info(place).type
+                if prefix and kind != pyarrow.fs.FileType.Directory:
+                    continue  # a file of the first level, or one that has just been moved
+                selector = pyarrow.fs.FileSelector(place, allow_not_found=True, recursive=bool(prefix))
+                found = [
+                    (info.path[len(above) + 1 :], info.size, info.mtime_ns // 10**6)
+                    for info in file_system.get_file_info(selector)
+                    if info.type == pyarrow.fs.FileType.File
+                ]
+                found = [f for f in found if not any(n.startswith(("_", ".")) for n in f[0].split("/"))]
+                yield pyarrow.RecordBatch.from_arrays(
+                    [
+                        pyarrow.array([f"{whole}/{folder}/{name}" for name, _, _ in found], pyarrow.string()),
+                        pyarrow.array([size for _, size, _ in found], pyarrow.int64()),
+                        pyarrow.array([at for _, _, at in found], pyarrow.int64()),
+                    ],
+                    names=["path", "length", "modified"],
+                )
+
+    listed = spark.createDataFrame(prefixes, "prefix string").repartition(max(1, min(len(prefixes), 1000)))
+    return listed.mapInArrow(run, ARRIVALS)
+
+
 def move_files(moves: DataFrame, root: str) -> dict[str, int]:
     """Move files below ``root``: (source, length, modified, target), names relative to it.
 

@@ -7,6 +7,7 @@ from conftest import rows_of, write_file
 
 from golden import SONGS
 from listenlytics.files import list_arrivals, list_files
+from listenlytics.objects import look
 from listenlytics.operators import read_keyed, route_files
 from listenlytics.operators.snapshots import latest
 from listenlytics.plans import read_verdicts, run_files, run_inbox, table_paths
@@ -332,18 +333,48 @@ def test_a_batch_lists_the_inbox_once(spark, tmp_path, monkeypatch):
 
     listed = []
 
-    def count(session, folder):
-        found = list_arrivals(session, folder)
-        listed.append(len(found))
-        return found
+    def count(session, root, folder):
+        listed.append(look(session, root, folder).count())
+        return look(session, root, folder)
 
-    monkeypatch.setattr(arrivals, "list_arrivals", count)
+    monkeypatch.setattr(arrivals, "look", count)
     songs = catalogue(spark, tmp_path)
     place(tmp_path, a=FIRST, b=SECOND, c=OTHER_DAY)
     stream(spark, tmp_path, songs)
     assert sum(listed) == 3
 
 
+def test_tasks_see_what_the_driver_sees(spark, tmp_path):
+    for name in ("a.csv", "x/b.csv", "x/y/c d%.csv", "é/d.csv", "_hidden/e.csv", "x/.f.csv", "empty/g.csv"):
+        write_file(tmp_path, f"raw/streams/{name}", "" if "empty" in name else name, mtime=1_700_000_000.25)
+    seen = {tuple(row) for row in look(spark, str(tmp_path), "raw/streams").collect()}
+    assert seen == {tuple(a) for a in list_arrivals(spark, f"{tmp_path}/raw/streams")} and len(seen) == 5
+    assert look(spark, str(tmp_path), "raw/absent").count() == 0
+
+
+def test_a_growing_file_is_read_once_and_whole(spark, tmp_path, monkeypatch):
+    """It grows between the two looks of the first stream, and has settled in the second."""
+    from listenlytics.streaming import arrivals
+
+    songs = catalogue(spark, tmp_path)
+    place(tmp_path, whole=OTHER_DAY, growing=FIRST[: len(FIRST) // 2])
+    pauses = []
+
+    def pause(seconds):
+        pauses.append(seconds)
+        if len(pauses) == 1:
+            write_file(tmp_path, "raw/streams/growing.csv", FIRST)
+
+    monkeypatch.setattr(arrivals.time, "sleep", pause)
+    stream(spark, tmp_path, songs, settle=5)
+    assert names(tmp_path, "raw/streams") == ["growing.csv"] and names(tmp_path, "processed/streams") == ["whole.csv"]
+    stream(spark, tmp_path, songs, settle=5)
+    assert names(tmp_path, "raw/streams") == [] and names(tmp_path, "processed/streams") == ["growing.csv", "whole.csv"]
+    both = tmp_path / "both"
+    run_files(spark, place(both, whole=OTHER_DAY, growing=FIRST), catalogue(spark, both), str(both), "r1")
+    assert kpis(spark, tmp_path) == kpis(spark, both)
+
+
 def test_a_newer_version_is_not_filed_away(spark, tmp_path, monkeypatch):
     """A file is sent again after the run has read it and before it is moved."""
     from listenlytics.plans import run
