@@ -108,8 +108,9 @@ def _described(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
                 ],
                 names=schema.names,
             )
-        top = np.argpartition(totals, -LOCAL_TOP)[-LOCAL_TOP:]
-        top = top[totals[top] > 1]
+        top = np.flatnonzero(totals > 1)
+        if len(top) > LOCAL_TOP:
+            top = top[np.argpartition(totals[top], -LOCAL_TOP)[-LOCAL_TOP:]]
         columns = [pa.nulls(len(top), t) for t in (id_type, pa.int64(), pa.binary(), pa.binary())]
         yield pa.RecordBatch.from_arrays(
             [*columns, pa.array(top, pa.int64()), pa.array(totals[top], pa.int64())],
