@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .frames import map_texts
 from .words import small_batches
 
-CACHE_PIECES = 160_000
+CACHE_PIECES = 250_000
 CACHE_PAIRS = 200_000
 SLICE_BYTES = 1 << 16
 GROUP_CHARS = 1 << 18
