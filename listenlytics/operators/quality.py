@@ -161,6 +161,7 @@ def _reason(max_null_rate: float, min_rows: int) -> Column:
     rules = [
         (F.col("line_count").isNull(), could_not_read("No columns to parse from file")),
         (F.col("invalid_lines") > 0, could_not_read("not valid UTF-8")),
+        (F.col("unreadable"), could_not_read("a quoted field is not closed")),
         (F.col("overlong"), could_not_read("a row has more fields than the header")),
         (
             F.col("row_count") < min_rows,
@@ -214,11 +215,14 @@ def validate_files(
     """
     checked = _checked(plays, null_tokens)
     track_hash = F.when(F.col("track_id").isNotNull(), F.xxhash64("track_id"))
-    overlong = F.bool_or("overlong") if "overlong" in plays.columns else F.bool_or(F.lit(False))
+    marks = [
+        F.bool_or(mark if mark in plays.columns else F.lit(False)).alias(mark)
+        for mark in ("unreadable", "overlong")
+    ]
     statistics = [
         F.min(track_hash).alias("low_hash"),
         F.max(track_hash).alias("high_hash"),
-        overlong.alias("overlong"),
+        *marks,
     ]
     profile = _profile(checked, statistics, formats, work)
     if sample_rows is not None:

@@ -238,6 +238,10 @@ SELECT source_key, concat('tmp/validation/', source_key, '.result.json') AS resu
     "csv_enrich_streams": f"{_EVENTS}\nSELECT * FROM enriched",
     "csv_daily_genre_kpis": f"{_EVENTS}\nSELECT * FROM kpis",
     "csv_kpis_decimal_durations": f"{_EVENTS}\nSELECT * FROM kpis",
+    "csv_line_breaks": """WITH ended AS (SELECT *, CASE event_id % 3 WHEN 0 THEN concat(chr(10), chr(10), ',"')
+    WHEN 1 THEN chr(10) ELSE ';' END AS ends FROM events)
+SELECT event_id, user_id, regexp_extract(props, '([0-9]+)', 1) AS track_id, ts AS listen_time,
+  concat(event_type, ends, props, ends, event_id) AS note FROM ended""",
     "csv_file_verdicts": """SELECT concat('raw/streams/type=', event_type) AS source_key,
   CASE WHEN event_type IN ('click', 'purchase') THEN 'FAILED' ELSE 'PASSED' END AS status,
   CASE event_type WHEN 'click' THEN 'Missing required columns: [''listen_time'']'

@@ -4,7 +4,8 @@ Files of one drop may differ in their headers, and one Spark CSV scan applies on
 schema to all its files by position. So the headers are looked at first, in one text
 scan that also finds bytes that are not UTF-8, and the files are then read with one
 scan for each distinct header. ``land_plays`` does the CSV parsing once and keeps the
-needed columns as parquet for the check and for every KPI.
+needed columns as parquet for the check and for every KPI. Files in which a quoted field
+holds a line break are read record by record (``records``), by blocks as well.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from ..files import absolute, decoded, folder_of, literal, plain_path, scanned_p
 from ..functions import listen_date
 from ..session import new_work_folder
 from ..staging import written
+from .records import leaves_open, read_records
 
 # The columns of a play log.
 PLAY_COLUMNS = ("user_id", "track_id", "listen_time")
@@ -58,8 +60,9 @@ def inspect_files(
 
     Columns: source_key, path, file_path (as Spark's scans name it), arrived_at (modification
     time), missing (play columns the header lacks), header (its normalised names, null when
-    some are missing), line_count (data lines) and invalid_lines (lines that are not UTF-8).
-    Files without text give no row.
+    some are missing), line_count (data lines), invalid_lines (lines that are not UTF-8) and
+    broken_lines (lines that leave a quoted field open, each taken for itself: where there are
+    none, every line is a record). Files without text give no row. A header is one line.
 
     The first line cannot be taken with an aggregate over texts, which Spark would sort
     for. Lines are instead counted by what they would mean as a header, with hashed
@@ -85,6 +88,7 @@ def inspect_files(
         .agg(
             F.count("*").alias("lines"),
             F.count_if(~F.is_valid_utf8("value")).alias("invalid"),
+            F.count_if(leaves_open(F.col("value"))).alias("broken"),
             F.min(F.when(F.col("block") == 0, F.col("row"))).alias("first_row"),
             F.max("modified").alias("arrived_at"),
         )
@@ -95,6 +99,7 @@ def inspect_files(
             F.min_by(F.struct("missing", "header_line"), "first_row").alias("first"),
             (F.sum("lines") - 1).alias("line_count"),
             F.sum("invalid").alias("invalid_lines"),
+            F.sum("broken").alias("broken_lines"),
             F.max("arrived_at").alias("arrived_at"),
         )
         .withColumn("path", scanned_path(F.col("file_path")))
@@ -107,13 +112,14 @@ def inspect_files(
             _header_names(F.col("first.header_line")).alias("header"),
             "line_count",
             "invalid_lines",
+            "broken_lines",
         )
     )
     return written(inspection, target or new_work_folder(spark, "inspection"))
 
 
-def _row_key(files: Sequence[Row], root: str, unit: str) -> Column:
-    """The source_key of a scanned row.
+def _row_key(file_path: Column, files: Sequence[Row], root: str, unit: str) -> Column:
+    """The source_key of a row scanned from ``file_path``.
 
     It is worked out for every row, so what holds for all files is settled beforehand:
     where in their paths the key starts, and whether any path needs decoding.
@@ -121,12 +127,21 @@ def _row_key(files: Sequence[Row], root: str, unit: str) -> Column:
     sample = files[0]
     depth = sample.path.count("/") - plain_path(root).count("/")
     start = len(sample.file_path.rsplit("/", depth)[0]) + 1
-    key = F.substr(F.col("_metadata.file_path"), F.lit(start + 1))
+    key = F.substr(file_path, F.lit(start + 1))
     if unit == "directory":
         key = folder_of(key)
     return decoded(key) if any("%" in file.file_path for file in files) else key
 
 
+def _csv_names(header: Sequence[str], wanted: Sequence[str]) -> list[str]:
+    """A column name for each field: its own at its first place if it is wanted."""
+    names, seen = [], set()
+    for position, name in enumerate(header):
+        names.append(name if name in wanted and name not in seen else f"unused_{position}")
+        seen.add(name)
+    return names
+
+
 def _read_layout(
     spark: SparkSession,
     header: Sequence[str],
@@ -134,32 +149,36 @@ def _read_layout(
     root: str,
     unit: str,
     keep: Sequence[str],
+    broken: bool,
 ) -> DataFrame:
-    wanted = [*PLAY_COLUMNS, *keep]
-    names, seen = [], set()
-    for position, name in enumerate(header):
-        usable = name in wanted and name not in seen
-        names.append(name if usable else f"unused_{position}")
-        seen.add(name)
+    """Rows of the files with this header; ``broken`` files are put together from their lines."""
+    names = _csv_names(header, [*PLAY_COLUMNS, *keep])
     schema = ", ".join(f"`{name}` string" for name in [*names, "whole_line"])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "whole_line")
-        .csv([literal(file.path) for file in files])
-    )
-    # whole_line is set where the number of fields differs from the header, either way.
+    # quotes in a quoted field are doubled; whole_line is set where the number of fields
+    # differs from the header, either way
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "whole_line", "escape": '"'}
+    paths = [file.path for file in files]
+    if broken:
+        fields = F.from_csv("value", schema, options)
+        rows = read_records(spark, paths).withColumn("fields", fields).select("*", "fields.*")
+        file_path, block, row = F.col("file_path"), F.col("block"), F.col("row")
+        file_name, unreadable = decoded(F.substring_index("file_path", "/", -1)), F.col("unreadable")
+    else:
+        reader = spark.read.schema(schema).options(header=True, enforceSchema=True, **options)
+        rows = reader.csv([literal(path) for path in paths])
+        file_path, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+        row, unreadable = F.monotonically_increasing_id(), F.lit(False)
+        file_name = F.col("_metadata.file_name")
     overlong = F.col("whole_line").isNotNull() & (_field_count(F.col("whole_line")) > len(header))
     return rows.select(
-        _row_key(files, root, unit).alias("source_key"),
-        (F.col("_metadata.file_name") if unit == "directory" else F.lit("")).alias("part"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        _row_key(file_path, files, root, unit).alias("source_key"),
+        (file_name if unit == "directory" else F.lit("")).alias("part"),
+        block.alias("block"),
+        row.alias("row"),
         *PLAY_COLUMNS,
-        *[(F.col(c) if c in seen else F.lit(None).cast("string")).alias(c) for c in keep],
+        *[(F.col(c) if c in header else F.lit(None).cast("string")).alias(c) for c in keep],
         overlong.alias("overlong"),
+        unreadable.alias("unreadable"),
     )
 
 
@@ -168,7 +187,7 @@ def _no_plays(spark: SparkSession, keep: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(
         [],
         "source_key string, part string, block bigint, row bigint, "
-        f"{texts}, overlong boolean",
+        f"{texts}, overlong boolean, unreadable boolean",
     )
 
 
@@ -183,17 +202,20 @@ def read_plays(
 
     Columns: source_key; part (for folders of part files), block and row, which give the
     order of the rows; the play columns and ``keep`` as text; overlong, whether the row has
-    more fields than the header. The file names come to the driver once, where Spark's
-    file index holds them in any case; the number of scans is the number of distinct headers.
+    more fields than the header; unreadable, for a row that stands for a block of a file whose
+    records cannot be told (``read_records``). The file names come to the driver once, where
+    Spark's file index holds them in any case; the number of scans is the number of distinct
+    headers, and one more for each header that also has files with broken lines.
     """
     root = absolute(spark, root)
-    by_header: dict[tuple[str, ...], list[Row]] = {}
-    usable = inspection.where(F.col("header").isNotNull()).select("header", "path", "file_path")
+    layouts: dict[tuple[tuple[str, ...], bool], list[Row]] = {}
+    broken = (F.col("broken_lines") > 0).alias("broken")
+    usable = inspection.where(F.col("header").isNotNull()).select("header", "path", "file_path", broken)
     for file in usable.collect():
-        by_header.setdefault(tuple(file.header), []).append(file)
+        layouts.setdefault((tuple(file.header), file.broken), []).append(file)
     scans = [
-        _read_layout(spark, header, files, root, unit, keep)
-        for header, files in sorted(by_header.items())
+        _read_layout(spark, header, files, root, unit, keep, broken)
+        for (header, broken), files in sorted(layouts.items(), key=lambda layout: layout[0])
     ]
     return reduce(DataFrame.unionByName, scans) if scans else _no_plays(spark, keep)
 

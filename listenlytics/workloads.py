@@ -382,6 +382,27 @@ def csv_kpis_decimal_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_genre_kpis(_plays(spark, sf_dir), read_catalogue(spark, f"{root}/songs"))
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file for each event type, whose notes hold line breaks, blank lines, commas and quotes."""
+    root = new_work_folder(spark, "csv")
+    text = [F.col(c).cast("string").alias(c) for c in ("user_id", "track_id", "listen_time")]
+    ends = F.when(F.col("event_id") % 3 == 0, "\n\n,\"").when(F.col("event_id") % 3 == 1, "\n").otherwise(";")
+    note = F.concat("event_type", ends, "props", ends, F.col("event_id").cast("string"))
+    log = event_plays(table(spark, sf_dir, "events"), "event_type", "props")
+    rows = log.select("event_type", "event_id", note.alias("note"), *text).repartition("event_type")
+    writer = rows.write.partitionBy("event_type").option("header", True).option("escape", '"')
+    writer.csv(f"{root}/{INBOX}")
+    paths = [path for path, _ in list_files(spark, f"{root}/{INBOX}")]
+    plays = read_plays(spark, inspect_files(spark, paths, root), root, keep=["event_id", "note"])
+    return plays.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.col("user_id").cast("bigint").alias("user_id"),
+        "track_id",
+        F.col("listen_time").cast("timestamp_ntz").alias("listen_time"),
+        "note",
+    )
+
+
 def csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder of CSV files for each event type, with differing headers and widths.
 
@@ -615,6 +636,7 @@ QUERIES: dict[str, Query] = {
     "csv_enrich_streams": csv_enrich_streams,
     "csv_daily_genre_kpis": csv_daily_genre_kpis,
     "csv_kpis_decimal_durations": csv_kpis_decimal_durations,
+    "csv_line_breaks": csv_line_breaks,
     "csv_file_verdicts": csv_file_verdicts,
     "run_verdicts": run_verdicts,
     "run_daily_genre_kpis": run_daily_kpis,
