@@ -99,25 +99,51 @@ class VoteModel:
         return 1 / (1 + np.exp(np.clip(score[0] - score[1], -700, 700)))
 
 
-def fit_votes(vote_rows: np.ndarray, weights: np.ndarray, rounds: int = 200) -> VoteModel:
+def _bad_shares(bad: np.ndarray, fine: np.ndarray, prior: float) -> np.ndarray:
+    """For each class and rule the share of bad votes, never greater among good texts.
+
+    Where the counts would have it otherwise, both classes get their common share, which
+    is what fits the counts best under that order.
+    """
+    bad, fine = bad + prior, fine + prior
+    shares = bad / (bad + fine)
+    common = bad.sum(axis=0) / (bad + fine).sum(axis=0)
+    return np.where(shares[1] > shares[0], common, shares)
+
+
+def fit_votes(
+    vote_rows: np.ndarray, weights: np.ndarray, one_sided: np.ndarray | None = None, rounds: int = 200
+) -> VoteModel:
     """EM for two classes in which the rules vote independently.
 
-    It starts from the belief that a text with any bad vote is rather bad, which names the
-    classes. As much as ``PRIOR_SHARE`` of the texts, spread evenly over the votes that a
-    rule can cast, is added to each class and rule, so no share gets to 0 and the fit is the
-    same at every size of corpus. Without texts all votes are equally likely.
+    A bad vote is never likelier on a good text than on a bad one, and a rule that can vote
+    both ways is as often silent on either: so the classes cannot change places, and silence
+    says nothing of a text. Rules that know no good vote (``one_sided``) say less of a bad
+    text by silence only as far as they vote on the bad texts. It starts from the belief that
+    a text with any bad vote is rather bad; texts that no vote tells apart keep the share of
+    good texts, which starts there too. As much as ``PRIOR_SHARE`` of the texts, spread evenly
+    over the votes that a rule can cast, is added to each class and rule, so no share gets to 0
+    and the fit is the same at every size of corpus. Without texts all votes are equally likely.
     """
-    shown = np.stack([vote_rows == v for v in (-1, 0, 1)], axis=2).astype(float)
-    good = np.where((vote_rows < 0).any(axis=1), 0.1, 0.9)
+    n_rules = vote_rows.shape[1]
+    one_sided = np.zeros(n_rules, bool) if one_sided is None else np.asarray(one_sided, bool)
+    is_bad = vote_rows == -1
+    is_silent = vote_rows == 0
+    is_fine = (vote_rows == 1) | (is_silent & one_sided)
     total = max(float(weights.sum()), 1.0)
+    prior = PRIOR_SHARE * total / 3
+    voted = weights @ (is_bad | is_fine) + 2 * prior
+    silent = np.where(one_sided, 0, weights @ is_silent + prior)
+    votes_at_all = voted / (voted + silent)
+    good = np.where(is_bad.any(axis=1), 0.1, 0.9)
     for _ in range(rounds):
-        shares = []
-        for share in (1 - good, good):
-            seen = np.einsum("p,prv->rv", weights * share, shown) + PRIOR_SHARE * total / 3
-            of_votes = seen / seen.sum(axis=1, keepdims=True)
-            shares.append(np.column_stack([of_votes, np.ones(len(of_votes))]))
+        of_class = weights * np.stack([1 - good, good])
+        bad = votes_at_all * _bad_shares(of_class @ is_bad, of_class @ is_fine, prior)
+        fine = votes_at_all - bad
+        none = np.where(one_sided, fine, 1 - votes_at_all)
+        shares = np.stack([bad, none, np.where(one_sided, prior / total, fine), np.ones_like(bad)], axis=2)
         good_share = (weights @ good + PRIOR_SHARE * total) / (total + 2 * PRIOR_SHARE * total)
-        model = VoteModel(float(good_share), np.stack(shares))
+        model = VoteModel(float(good_share), shares)
         again = model.posterior(vote_rows)
         if len(again) == 0 or np.abs(again - good).max() < 1e-9:
             break
@@ -130,7 +156,8 @@ def fit_patterns(patterns: DataFrame, rules: tuple[Rule, ...] = RULES) -> VoteMo
     counted = patterns.groupBy("pattern").count().collect()
     numbers = np.array([row["pattern"] for row in counted], np.int64)
     weights = np.array([row["count"] for row in counted], float)
-    return fit_votes(pattern_votes(numbers, len(rules)), weights)
+    one_sided = np.array([rule.good is None for rule in rules])
+    return fit_votes(pattern_votes(numbers, len(rules)), weights, one_sided)
 
 
 def _patterns(column: pa.Array) -> list[pa.Array]:
@@ -185,7 +212,9 @@ def quality_verdicts(
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows whose text passes the base check and the model, with their own columns only.
 
-    The texts are read twice, once for the patterns and once to decide, so that nothing but
+    Null and empty texts have no words, fail the base check and go; repeated rows and rows with
+    null ids are judged each for itself; an empty table gives one. Other columns may have any
+    name. The texts are read twice, once for the patterns and once to decide, so that nothing but
     the patterns' counts is written in between.
     """
     pattern = map_texts(docs, text_col, "pattern long", lambda: _patterns, [])

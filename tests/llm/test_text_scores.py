@@ -85,6 +85,47 @@ def test_em_finds_the_accuracies():
     assert ((model.posterior(votes) > 0.5) == good).mean() > 0.95
 
 
+ALL_GOOD, SILENT, SHORT_TEXT = [0, 0, 0, 0, 1, 1, 1, 1], [0] * 8, [0] * 4 + [2] * 4
+
+
+def fitted(mix):
+    one_sided = np.array([rule.good is None for rule in weakrules.RULES])
+    rows = np.array([votes for votes, _ in mix], np.int8)
+    model = weakrules.fit_votes(rows, np.array([share * 1000 for _, share in mix], float), one_sided)
+    return model, model.posterior(rows)
+
+
+def test_silent_texts_are_kept_where_no_rule_votes_bad():
+    assert (fitted([(ALL_GOOD, 60), (SILENT, 30), (SHORT_TEXT, 10)])[1] > 0.9).all()
+
+
+@pytest.mark.parametrize("place", range(8))
+def test_classes_never_change_places(place):
+    """Few texts with one bad vote beside many silent ones, which once became the good class."""
+    mixed = [-1 if i == place else vote for i, vote in enumerate(ALL_GOOD)]
+    model, posterior = fitted([(ALL_GOOD, 60), (SILENT, 33), (SHORT_TEXT, 2), (mixed, 5)])
+    assert (posterior[:3] > 0.9).all() and posterior[3] < posterior[:3].min()
+    assert (model.shares[1, :, 0] <= model.shares[0, :, 0] + 1e-12).all()
+
+
+def test_most_texts_may_be_bad():
+    junk = [-1, -1, 0, 0, -1, -1, 0, 0]
+    _, posterior = fitted([(ALL_GOOD, 20), (SILENT, 5), (junk, 60), ([0, -1, 0, 0, 0, -1, 0, -1], 15)])
+    assert posterior[0] > 0.9 and (posterior[2:] < 0.1).all()
+
+
+def test_posterior_is_bayes_over_the_votes():
+    """Text by text, without patterns and arrays."""
+    model, _ = fitted([(ALL_GOOD, 60), (SILENT, 20), ([-1, 0, -1, 0, 1, -1, 0, 1], 20)])
+    rows = np.random.default_rng(4).integers(-1, 3, (200, 8))
+    for row, got in zip(rows, model.posterior(rows), strict=True):
+        chance = [1 - model.good_share, model.good_share]
+        for k in (0, 1):
+            for rule, vote in enumerate(row):
+                chance[k] *= 1.0 if vote == weakrules.SHORT else model.shares[k, rule, vote + 1]
+        assert abs(got - chance[1] / sum(chance)) < 1e-9
+
+
 def test_patterns_are_reversible():
     votes = np.random.default_rng(2).integers(-1, 3, (500, 8))
     assert (weakrules.pattern_votes(weakrules.pattern_numbers(votes), 8) == votes).all()
