@@ -9,6 +9,7 @@ from .kpis import (
     top_genres_per_day,
     top_songs_per_genre,
 )
+from .layouts import TIME_LAYOUTS, file_layouts, in_file_layouts
 from .quality import profile_files, validate_files
 from .routing import route_files
 from .serve import date_top_genres, genre_dates, genre_date_top_songs, genre_day
@@ -17,14 +18,17 @@ from .upsert import DuplicateKeyError, read_keyed, upsert_by_key
 
 __all__ = [
     "DuplicateKeyError",
+    "TIME_LAYOUTS",
     "catalogue_fits",
     "daily_genre_kpis",
     "date_top_genres",
     "enrich",
+    "file_layouts",
     "first_n_per_group",
     "genre_date_top_songs",
     "genre_dates",
     "genre_day",
+    "in_file_layouts",
     "kpis_of_enriched",
     "latest_per_key",
     "profile_files",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import NULL_TOKENS, null_if_token, percent_text, time_is_bad
 from ..session import new_work_folder
-from ..sources.plays import LANDED_ORDER, PLAY_COLUMNS
+from ..sources.plays import LANDED_ORDER, PLAY_COLUMNS, READ_ORDER
 from ..staging import written
 from .topk import first_n_per_group
 
@@ -52,12 +52,13 @@ def _profile(
 def _bad_times_in_sample(
     checked: DataFrame,
     profile: DataFrame,
-    order: Sequence[str],
+    order: Sequence[str] | None,
     sample_rows: int,
     formats: Sequence[str],
 ) -> DataFrame:
     """``profile`` with listen_time_bad counted in the first ``sample_rows`` non-null times.
 
+    The rows are in ``order``; without it, in that of their ``row`` or of the landed table.
     A file without bad times has none in its sample, and a file that is no longer than
     the sample keeps its count, so only the other files are put in order.
     """
@@ -65,6 +66,7 @@ def _bad_times_in_sample(
     suspects = profile.where((F.col("listen_time_bad") > 0) & longer).select("source_key")
     if suspects.isEmpty():
         return profile
+    order = order or (READ_ORDER if "row" in checked.columns else LANDED_ORDER)
     places = [f"order_{i}" for i in range(len(order))]
     timed = checked.where(F.col("listen_time").isNotNull()).select(
         "source_key",
@@ -86,7 +88,7 @@ def _bad_times_in_sample(
 
 def profile_files(
     plays: DataFrame,
-    order: Sequence[str] = LANDED_ORDER,
+    order: Sequence[str] | None = None,
     sample_rows: int | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     formats: Sequence[str] = (),
@@ -197,7 +199,7 @@ def validate_files(
     plays: DataFrame,
     files: DataFrame | None = None,
     inspection: DataFrame | None = None,
-    order: Sequence[str] = LANDED_ORDER,
+    order: Sequence[str] | None = None,
     sample_rows: int | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     max_null_rate: float = MAX_NULL_RATE,

@@ -242,6 +242,11 @@ SELECT source_key, concat('tmp/validation/', source_key, '.result.json') AS resu
     WHEN 1 THEN chr(10) ELSE ';' END AS ends FROM events)
 SELECT event_id, user_id, regexp_extract(props, '([0-9]+)', 1) AS track_id, ts AS listen_time,
   concat(event_type, ends, props, ends, event_id) AS note FROM ended""",
+    "csv_time_layouts": """SELECT concat('raw/streams/type=', event_type) AS source_key,
+  CASE WHEN event_type = 'error' AND event_id % 10 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS date,
+  COUNT(*) AS plays, CASE event_type WHEN 'error' THEN 'FAILED' ELSE 'PASSED' END AS status,
+  CASE event_type WHEN 'error' THEN 'Column ''listen_time'' is not parseable as timestamps' ELSE '' END AS reason
+FROM events GROUP BY ALL""",
     "csv_file_verdicts": """SELECT concat('raw/streams/type=', event_type) AS source_key,
   CASE WHEN event_type IN ('click', 'purchase') THEN 'FAILED' ELSE 'PASSED' END AS status,
   CASE event_type WHEN 'click' THEN 'Missing required columns: [''listen_time'']'

@@ -47,6 +47,7 @@ from ..files import (
 from ..objects import move_files as move_in_tasks
 from ..objects import write_objects
 from ..operators.enrich import BROADCAST_BYTES, sized
+from ..operators.layouts import in_file_layouts
 from ..operators.quality import validate_files
 from ..operators.routing import INBOX, KPI_OUTPUT, RESULTS, output_prefix, result_key, target_key
 from ..operators.topk import latest_per_key
@@ -310,13 +311,15 @@ def run_files(
     mode: str = "replace",
     on_duplicate: str = "error",
     move_files: bool = True,
+    infer_times: bool = True,
 ) -> dict[str, str]:
     """Check the files, load the KPIs of the good ones and file all of them away.
 
     The KPIs are those of each single file (``unit='directory'``: of each folder of part
     files). A file whose own results hold a key twice fails alone, the others are loaded;
-    ``on_duplicate='last'`` loads it with the greatest of such rows. Gives the paths of the
-    keyed tables.
+    ``on_duplicate='last'`` loads it with the greatest of such rows. Times that neither the
+    standard form nor ``formats`` reads are read in the layout that fits most of their file's
+    (``in_file_layouts``), unless ``infer_times`` is off. Gives the paths of the keyed tables.
     """
     root = root.rstrip("/")
     paths = RunPaths(root, run_id)
@@ -334,6 +337,8 @@ def run_files(
         touch(spark, paths.open)
         inspection = inspect_files(spark, [a.path for a in given], root, unit, f"{paths.work}/inspection")
         plays = land_plays(spark, inspection, root, f"{paths.work}/plays", unit, formats=formats)
+        if infer_times:
+            plays = in_file_layouts(plays, f"{paths.work}/layouts")
         verdicts = validate_files(
             plays,
             named,

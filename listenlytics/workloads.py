@@ -15,6 +15,7 @@ from .operators import (
     genre_date_top_songs,
     genre_dates,
     genre_day,
+    in_file_layouts,
     kpis_of_enriched,
     profile_files,
     read_keyed,
@@ -449,6 +450,30 @@ def csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_files(plays, folders, inspection)
 
 
+def csv_time_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays of each day in one folder of CSV files for each event type, each with a time layout of its own.
+
+    Of the views some times are in the standard form and some not; of the errors some cannot be read.
+    """
+    root = new_work_folder(spark, "csv")
+    log = event_plays(table(spark, sf_dir, "events"), "event_type")
+    kind, event, standard = F.col("event_type"), F.col("event_id"), F.col("listen_time").cast("string")
+    layouts = {"click": "M/d/yyyy H:mm:ss", "purchase": "d/M/yyyy HH:mm", "signup": "MMM d, yyyy H:mm"}
+    time = F.when((kind == "error") & (event % 10 == 0), "not-a-time")
+    time = time.when(kind == "error", F.date_format("listen_time", "d.M.yyyy HH:mm:ss"))
+    time = time.when((kind == "view") & (event % 10 == 0), F.date_format("listen_time", "yyyy/M/d"))
+    for name, layout in layouts.items():
+        time = time.when(kind == name, F.date_format("listen_time", layout))
+    rows = log.select(kind.alias("type"), "user_id", "track_id", time.otherwise(standard).alias("listen_time"))
+    rows.write.partitionBy("type").option("header", True).csv(f"{root}/{INBOX}")
+    paths = [path for path, _ in list_files(spark, f"{root}/{INBOX}")]
+    inspection = inspect_files(spark, paths, root, "directory")
+    landed = land_plays(spark, inspection, root, f"{root}/plays", "directory")
+    plays = in_file_layouts(landed, f"{root}/layouts")
+    days = plays.groupBy("source_key", "date").agg(F.count("*").alias("plays"))
+    return days.join(validate_files(plays), "source_key")
+
+
 def _run(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
     root = new_work_folder(spark, "run")
     songs = _catalogue_csv(spark, sf_dir, root)
@@ -637,6 +662,7 @@ QUERIES: dict[str, Query] = {
     "csv_daily_genre_kpis": csv_daily_genre_kpis,
     "csv_kpis_decimal_durations": csv_kpis_decimal_durations,
     "csv_line_breaks": csv_line_breaks,
+    "csv_time_layouts": csv_time_layouts,
     "csv_file_verdicts": csv_file_verdicts,
     "run_verdicts": run_verdicts,
     "run_daily_genre_kpis": run_daily_kpis,
