@@ -52,10 +52,15 @@ ORDER = {kind: place for place, kind in enumerate((*KINDS, *(kind for kind, _ in
 
 PIECE = 1 << 20  # bytes or characters of a decompressed layer that are held at a time
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
+_ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2})|u\{([0-9A-Fa-f]{1,6})\})")
+_REFERENCE = re.compile(r"&#(?:([0-9]{1,7})|[xX]([0-9A-Fa-f]{1,6}));")
+_REFERENCES = re.compile(r"(?:&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_HEX_BYTES = re.compile(r"(?:[0-9a-fA-F]{2}){12,}")
+_HEX_BYTES = re.compile(r"[0-9a-fA-F]{24,}")
+_ASCII = rb"[\t\n\r\x20-\x7e]"
+_READABLE = re.compile(rb"%b{12,}" % _ASCII)  # the shortest secret has 12 characters
+_WIDE = re.compile(rb"(?:\x00?%b\x00){11,}%b?" % (_ASCII, _ASCII))  # UTF-16 in either byte order
 _BREAK = r"[ \t]*\r?\n[ \t]*"
 _GOES_ON = re.compile(_BREAK + r"[A-Za-z0-9+/_-]")
 _WRAPPED = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{_BREAK}[A-Za-z0-9+/_-]+)+={{0,2}}")
@@ -168,7 +173,7 @@ def _levels(data: bytes, times: int) -> Iterator[bytes]:
 
 def _unpacked(data: bytes, times: int) -> Iterator[str]:
     """The decompressed text, cut at safe places; without one a piece grows until there is one."""
-    decoder, text, tried = codecs.getincrementaldecoder("utf-8")(), "", 0
+    decoder, text, tried = codecs.getincrementaldecoder("utf-8")("replace"), "", 0
     for part in _levels(data, times):
         text += decoder.decode(part)
         if len(text) < PIECE:
@@ -188,37 +193,47 @@ def _printable(text: str) -> int:
     return len(text) if text.isprintable() else sum(c.isprintable() or c in "\n\r\t" for c in text)
 
 
+def _texts(data: bytes) -> Iterator[str]:
+    """Bytes as text, or the readable stretches among them, of one or two bytes a character.
+
+    All that a pattern or an encoding can use is ASCII, so these stretches hold every secret.
+    """
+    try:
+        text = data.decode()
+        if text and _printable(text) >= 0.95 * len(text):
+            yield text
+            return
+    except UnicodeDecodeError:
+        pass
+    for stretches in (_READABLE.findall(data), [w.replace(b"\0", b"") for w in _WIDE.findall(data)]):
+        if stretches:
+            yield b"\0".join(stretches).decode("ascii")
+
+
 def _byte_layers(data: bytes, span: tuple[int, int]) -> Iterator[Layer]:
-    """Decoded bytes as layers, when they are text, or compressed text any number of times."""
+    """Decoded bytes as layers: the text in them, or in what they decompress to any number of times.
+
+    In decompressed bytes what is not UTF-8 counts as the replacement character.
+    """
+    for text in _texts(data):
+        yield Layer(text, span=span)
     if _compression(data) is None:
-        try:
-            text = data.decode()
-        except UnicodeDecodeError:
-            return
-        if text and _printable(text) >= 0.95 * len(text):
-            yield Layer(text, span=span)
         return
     times, seen = 0, set()
     while True:
-        digest, head, is_text = hashlib.sha256(), b"", True
-        decoder, n_chars, printable, texts = codecs.getincrementaldecoder("utf-8")(), 0, 0, []
+        digest, head = hashlib.sha256(), b""
+        decoder, n_chars, texts = codecs.getincrementaldecoder("utf-8")("replace"), 0, []
         for part in _levels(data, times):
             digest.update(part)
             head += part[:3] if len(head) < 3 else b""
-            if is_text:
-                try:
-                    text = decoder.decode(part)
-                except UnicodeDecodeError:
-                    is_text = False
-                    continue
-                n_chars += len(text)
-                printable += _printable(text)
-                if n_chars <= PIECE:
-                    texts.append(text)
+            text = decoder.decode(part)
+            n_chars += len(text)
+            if n_chars <= PIECE:
+                texts.append(text)
         if digest.digest() in seen:
             return  # bytes that decompress to themselves
         seen.add(digest.digest())
-        if is_text and n_chars and printable >= 0.95 * n_chars:
+        if times and n_chars:
             whole = n_chars <= PIECE
             yield Layer("".join(texts), span=span) if whole else Layer("", span=span, packed=(data, times))
         if _compression(head) is None:
@@ -228,7 +243,7 @@ def _byte_layers(data: bytes, span: tuple[int, int]) -> Iterator[Layer]:
 
 def _unescape(text: str) -> str:
     def one(match: re.Match) -> str:
-        code = int(match[1] or match[2] or match[3], 16)
+        code = int(match[1] or match[2] or match[3] or match[4], 16)
         return chr(code) if code < 0x110000 else match[0]
 
     whole = _ESCAPE.sub(one, text)
@@ -273,11 +288,20 @@ def _escaped_layer(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer(text, span=layer.span) if layer.span else Layer(text, starts, ends)
 
 
-def _percent(stretch: str) -> str | None:
-    try:
-        return binascii.unhexlify(stretch.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+def _percent(stretch: str) -> str:
+    return binascii.unhexlify(stretch.replace("%", "")).decode(errors="replace")
+
+
+def _unreference(stretch: str) -> str:
+    def one(match: re.Match) -> str:
+        code = int(match[1]) if match[1] else int(match[2], 16)
+        return chr(code) if code < 0x110000 else match[0]
+
+    return _REFERENCE.sub(one, stretch)
+
+
+def _hex_bytes(stretch: str) -> bytes:
+    return bytes.fromhex(stretch[: len(stretch) // 2 * 2])
 
 
 def _base64_bytes(stretch: str) -> bytes:
@@ -311,7 +335,7 @@ def _wrapped_layers(layer: Layer, begin: int, end: int) -> Iterator[Layer]:
             span = layer.place(lines[a][0], end if b + 1 == len(lines) else lines[b][1])
             found = list(_byte_layers(_base64_bytes(body), span))
             if _HEX_BYTES.fullmatch(body):
-                found += _byte_layers(bytes.fromhex(body), span)
+                found += _byte_layers(_hex_bytes(body), span)
             yield from found
             if found:
                 break
@@ -325,10 +349,15 @@ def inner_layers(layer: Layer) -> list[Layer]:
         found.append(_escaped_layer(layer, _PERCENT, _percent))
     if "\\" in text:
         found.append(_escaped_layer(layer, _ESCAPES, _unescape))
+    if "&#" in text:
+        found.append(_escaped_layer(layer, _REFERENCES, _unreference))
     wrapped_to = 0
-    for pattern, decode in ((_BASE64, _base64_bytes), (_HEX_BYTES, bytes.fromhex)):
+    # other characters of the alphabet may stand right before the body, so each alignment is read
+    for pattern, decode, width in ((_BASE64, _base64_bytes, 4), (_HEX_BYTES, _hex_bytes, 2)):
         for match in pattern.finditer(text):
-            found += _byte_layers(decode(match[0]), layer.place(match.start(), match.end()))
+            place = layer.place(match.start(), match.end())
+            for skipped in range(width):
+                found += _byte_layers(decode(match[0][skipped:]), place)
             if match.start() >= wrapped_to and _GOES_ON.match(text, match.end()):
                 run = _WRAPPED.match(text, match.start())
                 if run:
