@@ -113,14 +113,18 @@ def _sampler(bits: int) -> Sampler:
     return Sampler(rng.random((WALKS, SAMPLES, bits)))
 
 
-def _edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
-    """The item's length of words from the start of a copy with that many random edits."""
+EDITS = ("delete", "insert", "replace", "any")
+
+
+def _edited(item: np.ndarray, edits: int, rng: np.random.Generator, kind: str = "any") -> np.ndarray:
+    """The item's length of words from the start of a copy with that many random edits of a kind."""
     words = list(item)
     for _ in range(edits):
-        kind, place = rng.integers(3), int(rng.integers(max(len(words), 1)))
-        if kind == 0 and len(words) > 1:
+        edit = EDITS[rng.integers(3)] if kind == "any" else kind
+        place = int(rng.integers(max(len(words), 1)))
+        if edit == "delete" and len(words) > 1:
             del words[place]
-        elif kind == 1:
+        elif edit == "insert":
             words.insert(place, np.uint64(rng.integers(1, 2**62)))
         elif words:
             words[place] = np.uint64(rng.integers(1, 2**62))
@@ -134,28 +138,33 @@ def length_class(n_words: int) -> int:
 
 
 def choose_sampler(items: list[np.ndarray], share: float, recall: float) -> tuple[Sampler, float]:
-    """The most selective sampler that finds ``recall`` of copies edited at the limit.
+    """The most selective sampler that finds ``recall`` of copies edited at the limit, in any way.
 
-    Measured on edited copies of all items, ``TRIALS`` at least; items that must be copied
-    exactly are found by any. Without bits, which is the last resort, nothing is ruled out.
+    Measured on edited copies of all items, ``TRIALS`` of each kind of edit at least, and by the
+    kind that is found least: deletions, which let foreign words into the window. Items that
+    must be copied exactly are found by any. Without bits, the last resort, nothing is ruled out.
     """
     rng = np.random.default_rng(5)
     edited = [x for x in items if len(x) and max_edits(len(x), share)]
-    trials = [
-        (x, copy)
-        for x in edited
-        for _ in range(-(-TRIALS // len(edited)))
-        if not np.array_equal(x, copy := _edited(x, max_edits(len(x), share), rng))
-    ]
+    trials, kinds = [], []
+    for copy in range(-(-TRIALS * len(EDITS) // max(len(edited), 1))):
+        for number, item in enumerate(edited):
+            kind = (number + copy) % len(EDITS)
+            other = _edited(item, max_edits(len(item), share), rng, EDITS[kind])
+            if not np.array_equal(item, other):
+                trials.append((item, other))
+                kinds.append(kind)
     width = max((len(x) for x, _ in trials), default=1)
     rows = max(1, WALK_CELLS // width)
+    tried = np.bincount(np.array(kinds, np.int64), minlength=len(EDITS))
     for bits in (6, 5, 4, 3, 2, 1, 0):
-        sampler, found = _sampler(bits), 0
+        sampler, found = _sampler(bits), []
         for first in range(0, len(trials), rows):
             part = trials[first : first + rows]
             a, b = (sampler.keys(*_as_rows([trial[side] for trial in part])) for side in (0, 1))
-            found += int((a == b).any(axis=1).sum())
-        reached = found / len(trials) if trials else 1.0
+            found += (a == b).any(axis=1).tolist()
+        of_kind = np.bincount(np.array(kinds, np.int64), np.array(found, float), minlength=len(EDITS))
+        reached = float(np.min(of_kind[tried > 0] / tried[tried > 0], initial=1.0))
         if reached >= recall:
             break
     return sampler, reached
@@ -385,7 +394,11 @@ def contaminations(
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", share: float = SHARE, recall: float = RECALL
 ) -> DataFrame:
-    """The rows whose text holds no benchmark item, with their own columns only."""
+    """The rows whose text holds no benchmark item, with their own columns only.
+
+    Null and empty texts hold none and stay, as do all rows where there are no items; each of
+    repeated rows is judged for itself. Other columns may have any name.
+    """
     spark = docs.sparkSession
     flag = new_name(docs.columns, "_contaminated")
     rows = docs

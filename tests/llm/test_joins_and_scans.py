@@ -167,6 +167,26 @@ def test_edited_items_reach_the_recall():
     assert len(got & truth) / len(truth) >= 0.9
 
 
+@pytest.mark.parametrize("edit", ["delete", "insert", "replace"])
+@pytest.mark.parametrize("n_words", [12, 60, 200])
+def test_one_kind_of_edits_at_the_limit(n_words, edit):
+    """Deletions let foreign words into the window, so a sampler must be measured on them alone."""
+    rng = random.Random(n_words)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(n_words)] for _ in range(40)]
+    texts = []
+    for item in items:
+        words = list(item)
+        for _ in range(benchmarks.max_edits(n_words)):
+            place = rng.randrange(len(words))
+            words[place : place + (edit != "insert")] = [] if edit == "delete" else [f"x{rng.randrange(10**9)}"]
+        around = [f"w{rng.randrange(3000)}" for _ in range(200)]
+        texts.append(" ".join([*around[:100], *words, *around[100:]]))
+    rows = list(benchmarks.word_rows(pa.array([" ".join(item) for item in items])))
+    index = benchmarks.build_index(list(range(len(items))), rows, benchmarks.SHARE, benchmarks.RECALL)
+    found = benchmarks.find_items(pa.array(texts), index)
+    assert sum(number in {item for item, *_ in one} for number, one in enumerate(found)) >= 0.95 * len(items)
+
+
 def test_long_items_reach_the_recall_beside_short_ones():
     rng = random.Random(12)
     lengths = [rng.randint(4, 12) for _ in range(190)] + [100, 130, 170, 200, 250, 300]
