@@ -233,34 +233,67 @@ def _grams(words: np.ndarray) -> np.ndarray:
     return shingle_hashes(words, min(GRAM, len(words))) if len(words) else np.zeros(0, np.uint64)
 
 
+def _near_a_copy(pair: np.ndarray, start: np.ndarray, limit: np.ndarray, needed: np.ndarray) -> np.ndarray:
+    """Which shared trigrams can be of a copy: a mask over (text and item, start it speaks for).
+
+    An edit breaks at most ``GRAM`` trigrams of the item and moves the start by at most one, so
+    a copy within the limit keeps ``needed`` of them, whose starts differ by the limit at most.
+    """
+    order = np.lexsort((start, pair))
+    spread = int(np.ptp(start)) + int(limit.max()) + 1
+    key = (pair * spread + start - start.min())[order]
+    end = np.searchsorted(key, key + limit[order], "right")
+    first = np.flatnonzero(end - np.arange(len(key)) >= needed[order])
+    covered = np.zeros(len(key) + 1, np.int64)
+    np.add.at(covered, first, 1)
+    np.add.at(covered, end[first], -1)
+    mask = np.zeros(len(key), bool)
+    mask[order] = np.cumsum(covered[:-1]) > 0
+    return mask
+
+
 def _proposals(block: TextBlock, hashes: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
     """The (window length, text, window start, item) that shared trigrams propose, each once, in order.
 
-    A window may begin before its text when the item's first words are missing there; the one
-    from the text's start is then proposed too. Left out is where more words of the item are
-    beyond the text's edges than its limit.
+    Only trigrams that have as many others of their item near them as every copy has propose
+    one (``_near_a_copy``). A window may begin before its text when the item's first words are
+    missing there; the one from the text's start is then proposed too. Left out is where more
+    words of the item are beyond the text's edges than its limit.
     """
     found: set[tuple[int, int, int, int]] = set()
-    lengths = [len(x) for x in index.items]
-    for size in {min(GRAM, n) for n in lengths}:
+    lengths = np.array([len(x) for x in index.items])
+    limits = np.array(index.limits)
+    n_places = np.array([len(places) for places in index.gram_places])
+    begin = np.cumsum(n_places) - n_places
+    flat = np.array([pair for places in index.gram_places for pair in places]).reshape(-1, 2)
+    for size in {min(GRAM, n) for n in lengths.tolist()}:
         grams = shingle_hashes(hashes, size)
         near = np.flatnonzero(index.bitmap[(grams & np.uint64(_BITMAP - 1)).astype(np.int64)])
         at = np.searchsorted(index.grams, grams[near]).clip(max=len(index.grams) - 1)
         exact = index.grams[at] == grams[near]
         near, at = near[exact], at[exact]
         texts = np.searchsorted(block.word_of, near, "right") - 1
-        low, high = block.word_of[texts], block.word_of[texts + 1]
-        rows = zip(near.tolist(), at.tolist(), texts.tolist(), low.tolist(), high.tolist(), strict=True)
-        for position, gram, text, first, end in rows:
-            if position + size > end:
-                continue
-            for item, place in index.gram_places[gram]:
-                length, start = lengths[item], position - place
-                missing = max(0, first - start) + max(0, start + length - end)
-                if min(GRAM, length) == size and missing <= index.limits[item]:
-                    found.update((length, text, start + shift, item) for shift in SHIFTS)
-                    if start - 1 < first:
-                        found.add((length, text, first, item))
+        inside = near + size <= block.word_of[texts + 1]
+        near, at, texts = near[inside], at[inside], texts[inside]
+        # each occurrence with each place of its trigram in an item
+        which = np.repeat(np.arange(len(near)), n_places[at])
+        rank = np.arange(len(which)) - np.repeat(np.cumsum(n_places[at]) - n_places[at], n_places[at])
+        item, place = flat[begin[at][which] + rank].T
+        text, start, length = texts[which], near[which] - place, lengths[item]
+        low, high = block.word_of[text], block.word_of[text + 1]
+        missing = np.maximum(0, low - start) + np.maximum(0, start + length - high)
+        fits = (np.minimum(GRAM, length) == size) & (missing <= limits[item])
+        text, start, item, low = text[fits], start[fits], item[fits], low[fits]
+        if not len(text):
+            continue
+        limit = limits[item]
+        needed = lengths[item] - size + 1 - size * limit
+        copied = _near_a_copy(text * len(lengths) + item, start, limit, needed)
+        rows = zip(*(x[copied].tolist() for x in (lengths[item], text, start, item, low)), strict=True)
+        for length, text, start, item, first in rows:
+            found.update((length, text, start + shift, item) for shift in SHIFTS)
+            if start - 1 < first:
+                found.add((length, text, first, item))
     return sorted(found)
 
 
@@ -294,6 +327,29 @@ def _candidates(
                 yield text, start, item
 
 
+def _stretches(
+    block: TextBlock, hashes: np.ndarray, index: Index
+) -> Iterator[tuple[tuple[int, int], tuple[int, int]]]:
+    """((text, item), (first word, word behind the last)) round the candidates, overlapping ones as one."""
+    wanted: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    if len(hashes) and index.items:
+        for text, start, item in _candidates(block, hashes, index):
+            reach = index.limits[item] + 1
+            a = max(int(block.word_of[text]), start - reach)
+            b = min(int(block.word_of[text + 1]), start + len(index.items[item]) + reach)
+            if a < b:
+                wanted.setdefault((text, item), []).append((a, b))
+    for pair, ranges in wanted.items():
+        ranges.sort()
+        a, b = ranges[0]
+        for c, d in ranges[1:]:
+            if c >= b:
+                yield pair, (a, b)
+                a = c
+            b = max(b, d)
+        yield pair, (a, b)
+
+
 def find_items(column: pa.Array, index: Index) -> list[list[tuple[int, int, int, int]]]:
     """For each text the (item id, edits, first word, word behind the last) of its passages.
 
@@ -303,17 +359,14 @@ def find_items(column: pa.Array, index: Index) -> list[list[tuple[int, int, int,
     for first, last, block in text_blocks(column, True, NOT_ALPHANUMERIC):
         hashes = block.hashes()
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        if len(hashes) and index.items:
-            for text, start, item in _candidates(block, hashes, index):
-                limit, length = index.limits[item], len(index.items[item])
-                low, high = int(block.word_of[text]), int(block.word_of[text + 1])
-                a, b = max(low, start - limit - 1), min(high, start + length + limit + 1)
-                if best.get((text, item), (1,))[0] == 0 or b <= a:
-                    continue  # nothing is better than a whole copy
-                edits, begin, end = best_stretch(index.items[item], hashes[a:b])
-                if edits <= limit:
-                    found = (edits, a - low + begin, a - low + end)
-                    best[text, item] = min(best.get((text, item), found), found)
+        for (text, item), (a, b) in _stretches(block, hashes, index):
+            if best.get((text, item), (1,))[0] == 0:
+                continue  # nothing is better than a whole copy
+            low = int(block.word_of[text])
+            edits, begin, end = best_stretch(index.items[item], hashes[a:b])
+            if edits <= index.limits[item]:
+                found = (edits, a - low + begin, a - low + end)
+                best[text, item] = min(best.get((text, item), found), found)
         by_text: dict[int, list[tuple[int, int, int, int]]] = {}
         for (text, item), (edits, begin, end) in sorted(best.items()):
             by_text.setdefault(text, []).append((index.ids[item], edits, begin, end))
