@@ -8,16 +8,17 @@ order their first common shingle stands within the first |A| - ceil((1 - t) |A|)
 each: that is the window of regions into which a document is replicated, and every pair
 within the limit meets in one of them.
 
-In a region, documents of at most ``SMALL`` members are compared in pairs. A larger region
+A region of at most ``SMALL`` members is gathered in one row and compared in pairs. A larger one
 recurses with document pivots: all members are compared with 4 * 16 ** round pivots, members
 known to be connected need no further comparison, the pivots leave, and what remains
-is the next, smaller region, until what is left of all crowds is few for the input and is
+is the next, smaller region, until what is left of all crowds is few for their members and is
 compared in pairs. Pivots are the members whose window has the fewest shingles before the
 region's: of near copies of one text that is the text itself, since what a copy changes
 is rare and stands first. The members of a crowd are dealt over ``SALTS`` tasks, and its pivots
 go to all of them. Before any sets are moved, each pair has to pass the
-triangle inequality on the distances to 64 fixed pivot sets, the parts of the hash range:
-the sum over parts of the differences of |A in part| is at most |A - B| + |B - A|.
+triangle inequality on the parts of the hash range: a part where |A in part| and |B in part|
+differ in parity holds a shingle that one of them lacks, so such parts are at most
+|A - B| + |B - A|. There are as many parts as a set has shingles, to the next power of two.
 
 Exact copies are one class, so they are never compared with one another.
 """
@@ -25,7 +26,7 @@ Exact copies are one class, so they are never compared with one another.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,8 @@ PERCENT = 90
 SMALL = 24
 FIRST_PIVOTS, GROWTH = 4, 16
 SALTS = 16
-PAIRS_PER_MEMBER, PAIRS_LATER = 16, 256
-PARTS = 64
+PAIRS_PER_MEMBER, PAIRS_LATER = FIRST_PIVOTS, 256
+LEAST_PARTS = 64
 COUNTERS = 1 << 23
 LOCAL_TOP, GLOBAL_TOP = 1 << 16, 1 << 18
 BROADCAST_BYTES = 32 << 20
@@ -72,8 +73,10 @@ def _key(shingles: np.ndarray) -> bytes:
 
 
 def _signature(shingles: np.ndarray) -> bytes:
-    parts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-    return parts.clip(max=65535).astype("<u2").tobytes()
+    """The parity of the number of shingles in each part, a bit for each."""
+    parts = max(LEAST_PARTS, 1 << (len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(parts - 1)).astype(np.int64), minlength=parts)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
 
 
 def _counter(shingles: np.ndarray) -> np.ndarray:
@@ -191,16 +194,16 @@ def _windows(
     return text.mapInArrow(replicate, "region long, key binary, n long, place long")
 
 
-def _may_link(percent: int) -> Column:
+def _may_link(percent: int, field: Callable[[str], Column] = F.col) -> Column:
     """Whether sizes and places of two members of a region allow a link.
 
     In the region of their first common shingle, all common ones stand at or behind its
     place in both, so neither may have fewer left than a link needs.
     """
-    total = F.col("n_a") + F.col("n_b")
-    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    return sizes & ((100 + percent) * left >= percent * total)
+    n_a, n_b = field("n_a"), field("n_b")
+    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
+    left = F.least(n_a - field("place_a"), n_b - field("place_b"))
+    return sizes & (left * (100 + percent) >= (n_a + n_b) * percent)
 
 
 def _is_early(percent: int) -> Column:
@@ -214,9 +217,9 @@ def _is_early(percent: int) -> Column:
 
 
 def _shared_regions(windows: DataFrame, percent: int) -> DataFrame:
-    """(region) of the regions that two documents may link in.
+    """(region, crowded) of the regions that two documents may link in.
 
-    A row is told from others by its size, its place and 32 bits that are drawn anew for each
+    Those with at most ``SMALL`` rows, copies in several batches included, are not crowded. A row is told from others by its size, its place and 32 bits that are drawn anew for each
     region, packed into one number, so that little is shuffled. Of a region with two rows, which
     most are, the least and the greatest number give both sizes and places; those too large
     for their bits may link with all.
@@ -237,7 +240,27 @@ def _shared_regions(windows: DataFrame, percent: int) -> DataFrame:
     huge = (F.col("n_b") == (1 << bits_n) - 1) | (F.col("place_a") == (1 << bits_place) - 1)
     huge = huge | (F.col("place_b") == (1 << bits_place) - 1)
     possible = (F.col("rows") > 2) | huge | _may_link(percent)
-    return found.where("least != greatest").withColumns(two).where(possible).select("region")
+    return found.where("least != greatest").withColumns(two).where(possible).select(
+        "region", (F.col("rows") > SMALL).alias("crowded")
+    )
+
+
+def _pairs_of_small(windows: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
+    """Pairs (key_a, key_b) that may link, of regions with ``SMALL`` rows at most.
+
+    The rows are moved once; a region's few members are then paired in its own row.
+    """
+    rows = windows.join(_small_enough(regions), "region", "left_semi").repartition("region")
+    members = F.array_sort(F.collect_set(F.struct("key", "n", "place"))).alias("members")
+
+    def paired(a: Column, i: Column) -> Column:
+        def pair(b: Column) -> Column:
+            return F.struct(*[m[c].alias(f"{c}_{s}") for s, m in (("a", a), ("b", b)) for c in ("key", "n", "place")])
+
+        return F.transform(F.slice("members", i + 2, F.size("members")), pair)
+
+    pairs = F.filter(F.flatten(F.transform("members", paired)), lambda p: _may_link(percent, p.getField))
+    return rows.groupBy("region").agg(members).select(F.inline(pairs)).select("key_a", "key_b")
 
 
 def _small_enough(df: DataFrame) -> DataFrame:
@@ -248,9 +271,12 @@ def _small_enough(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df
 
 
-def _signature_passes(a: np.ndarray, b: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+def _signature_passes(a: pa.Scalar, b: pa.Scalar, n: int, percent: int) -> bool:
     """Whether |A - B| + |B - A|, by its lower bound, may be small enough; ``n`` is |A| + |B|."""
-    apart = np.abs(a.astype(np.int32) - b.astype(np.int32)).sum(axis=1)
+    few, many = sorted((np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b)), key=len)
+    while len(many) > len(few):  # parts of half as many are the sums of two
+        many = many[: len(many) // 2] ^ many[len(many) // 2 :]
+    apart = int(np.bitwise_count(few ^ many).sum())
     return apart * (100 + percent) <= n * (100 - percent)
 
 
@@ -263,18 +289,14 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         )
         for s in "ab"
     }
-    known = side["a"].join(_small_enough(pairs), "key_a").join(side["b"], "key_b")
+    right = side["b"].join(_small_enough(pairs.select("key_b")), "key_b", "left_semi")
+    known = side["a"].join(_small_enough(pairs), "key_a").join(right, "key_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                a, b = (
-                    np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, PARTS)
-                    for i in (4, 5)
-                )
-                total = batch.column(6).to_numpy()
-                keep = pa.array(_signature_passes(a, b, total, percent))
-                yield batch.select([0, 1, 2, 3]).filter(keep)
+            rows = zip(batch.column(4), batch.column(5), batch.column(6).to_pylist(), strict=True)
+            keep = [_signature_passes(a, b, n, percent) for a, b, n in rows]
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(keep, pa.bool_()))
 
     columns = ("key_a", "key_b", "rep_a", "rep_b", "signature_a", "signature_b")
     checked = known.select(*columns, (F.col("n_a") + F.col("n_b")).alias("n"))
@@ -285,6 +307,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The links (a, b) among the pairs, by their whole sets."""
     left = sets.select(F.col("key").alias("key_a"), F.col("shingles").alias("shingles_a"))
     right = sets.select(F.col("key").alias("key_b"), F.col("shingles").alias("shingles_b"))
+    right = right.join(_small_enough(pairs.select("key_b")), "key_b", "left_semi")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -376,7 +399,9 @@ def jaccard_components(
     with_id = docs.where(F.col(id_col).isNotNull())
     windows = kept(_windows(with_id, text_col, size, percent, _frequent(table)), "windows")
     shared = kept(_shared_regions(windows, percent), "regions")
-    members = windows.join(_small_enough(shared), "region", "left_semi").join(names, "key")
+    of_small = _pairs_of_small(windows, shared.where("NOT crowded"), percent)
+    crowds = shared.where("crowded")
+    members = windows.join(_small_enough(crowds), "region", "left_semi").join(names, "key")
     # by key and then all of the row, so that the join's partitioning serves
     members = kept(members.groupBy("key", "region", "rep", "n", "place").agg(F.lit(True).alias("once")).drop("once"), "members")
 
@@ -401,9 +426,9 @@ def jaccard_components(
             F.count("*").alias("rows"),
             F.sum(F.when(F.col("size") > SMALL, F.col("n_early"))).alias("crowd_pairs"),
         ).first()
-        if not open_rows["rows"]:
+        if turn and not open_rows["rows"]:
             break
-        # what is left of the crowds is compared in pairs as soon as these are few for the input
+        # what is left of the crowds is compared in pairs as soon as these are few for the members
         last = (open_rows["crowd_pairs"] or 0) <= (PAIRS_LATER if turn else PAIRS_PER_MEMBER) * n_members
         in_crowd = F.col("size") > SMALL
         columns = ("key", "n", "place", "label", "early")
@@ -432,9 +457,10 @@ def jaccard_components(
             .where("label_a != label_b AND (pivot OR NOT early_b OR key_a < key_b)")
             .where(_may_link(percent))
             .select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
-            .distinct()
         )
-        pairs = kept(pairs, "pairs")
+        if not turn:
+            pairs = pairs.unionByName(of_small)
+        pairs = kept(pairs.distinct(), "pairs")
         plausible = kept(_plausible(pairs, classes, percent), "plausible")
         sides = [plausible.select(F.col(f"key_{s}").alias("key"), F.col(f"rep_{s}").alias("rep")) for s in "ab"]
         wanted = kept(sides[0].unionByName(sides[1]).distinct(), "wanted")

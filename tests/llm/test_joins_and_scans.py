@@ -84,6 +84,57 @@ def test_crowded_regions(spark, monkeypatch, pairs_per_member):
     check_components(spark, list(enumerate(texts)))
 
 
+def test_pairs_of_a_crowd_grow_with_its_members(spark, monkeypatch):
+    """Near copies of one text meet the pivots, not one another, however few the crowds are for the input."""
+    made = []
+
+    def counted(df, folder, write=jaccard.written):
+        table = write(df, folder)
+        if "/pairs-" in folder:
+            made.append(table.count())
+        return table
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    rng = random.Random(5)
+    pairs = []
+    for n in (30, 90):
+        base = [f"w{k}" for k in range(150)]
+        twins = [f"{end} " + " ".join(f"l{i}_{k}" for k in range(60)) for i in range(600) for end in "xy"]
+        check_components(spark, list(enumerate([" ".join(base), *near_copies(rng, base, n, 3), *twins])))
+        pairs.append(sum(made) - 600)
+        made.clear()
+    assert pairs[1] <= 5 * pairs[0] and pairs[1] < 90 * 12
+
+
+def test_small_regions_pair_each_member_once(spark):
+    rows = [(1, b"a", 20, 0), (1, b"b", 20, 1), (1, b"c", 20, 0), (1, b"a", 20, 0), (2, b"d", 20, 0), (2, b"e", 10, 0),
+            (3, b"f", 20, 0), (3, b"g", 20, 9), (4, b"h", 20, 0)]
+    windows = spark.createDataFrame(rows, "region long, key binary, n long, place long")
+    regions = spark.createDataFrame([(1,), (2,), (3,)], "region long")
+    pairs = jaccard._pairs_of_small(windows, regions, 90).collect()
+    got = sorted((bytes(r["key_a"]), bytes(r["key_b"])) for r in pairs)
+    assert got == [(b"a", b"b"), (b"a", b"c"), (b"b", b"c")]
+
+
+def test_signatures_rule_out_no_link():
+    rng = np.random.default_rng(4)
+    passed = 0
+    for n in (1, 2, 63, 64, 65, 120, 128, 129, 1000, 4100):
+        for share in (0.0, 0.5, 0.8, 0.85, 0.9, 0.95, 1.0):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            b = np.union1d(a[: int(n * share)], rng.integers(0, 1 << 63, n // 20).astype(np.uint64))
+            if not len(b):
+                continue
+            sides = [pa.scalar(jaccard._signature(x), pa.binary()) for x in (a, b)]
+            common = len(np.intersect1d(a, b))
+            for percent in (80, 90):
+                passes = jaccard._signature_passes(*sides, len(a) + len(b), percent)
+                assert passes or 100 * common < percent * (len(a) + len(b) - common)
+                assert not (passes and n >= 1000 and share == 0.5)  # long texts are told apart as well
+                passed += passes
+    assert passed
+
+
 def test_short_texts_and_ties(spark):
     texts = ["", None, " ", "a", "A", "a b", "a b", "a b c", "A B C", "a b c a b c", "b a", "é É", "x" * 50, "a b c d"]
     check_components(spark, list(enumerate(texts)))
