@@ -91,11 +91,16 @@ def song_play_counts(
     by: Sequence[str] = (),
     formats: Sequence[str] = (),
     small_catalogue: bool | None = None,
+    ranked: bool = False,
 ) -> DataFrame:
     """Plays of each song by genre and day.
 
     Plays are counted by track and day first, so only those counts meet the catalogue;
     both sides are then unique and the product of the counts needs no further grouping.
+
+    ``ranked``: the counts will be sorted, so other tasks get them first. Else those that add
+    them up, into which AQE merges many partitions, would also hold them sorted and with
+    their titles.
     """
     if small_catalogue is None:
         small_catalogue = catalogue_fits(songs)
@@ -105,6 +110,9 @@ def song_play_counts(
         .groupBy(*by, "track_id", "date")
         .agg(F.count("*").alias("plays"))
     )
+    if ranked:
+        # in another order than the sums' keys, or Spark leaves this shuffle out
+        played = played.repartition("date", "track_id", *by)
     titles = (
         ready_catalogue(songs)
         .groupBy("track_id", "track_genre", "track_name", "artists")

@@ -55,7 +55,7 @@ def show_summary(plays: DataFrame, songs: DataFrame, formats: Sequence[str] = ()
     """Print the row counts and the heads of the three tables; tied ranks are kept."""
     small = catalogue_fits(songs)
     kpis = daily_genre_kpis(plays, songs, (), formats, small)
-    counts = song_play_counts(plays, songs, (), formats, small)
+    counts = song_play_counts(plays, songs, (), formats, small, ranked=True)
     row_counts(plays, songs, formats).show()
     kpis_by_listen_count(kpis).show(10, truncate=False)
     top_songs = top_songs_per_genre(counts, ties="keep").drop("track_id")

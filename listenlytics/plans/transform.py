@@ -46,7 +46,7 @@ def kpi_tables(
     if small_catalogue is None:
         small_catalogue = catalogue_fits(songs)
     kpis = daily_genre_kpis(plays, songs, by, formats, small_catalogue)
-    counts = song_play_counts(plays, songs, by, formats, small_catalogue)
+    counts = song_play_counts(plays, songs, by, formats, small_catalogue, ranked=True)
     return {
         "daily_genre_kpis": kpis,
         "top_songs_per_genre": top_songs_per_genre(counts, by=by),

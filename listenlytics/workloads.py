@@ -76,8 +76,8 @@ def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_genre_kpis(_plays(spark, sf_dir), part_catalogue(spark, sf_dir))
 
 
-def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return song_play_counts(_plays(spark, sf_dir), part_catalogue(spark, sf_dir))
+def _counts(spark: SparkSession, sf_dir: str, ranked: bool = False) -> DataFrame:
+    return song_play_counts(_plays(spark, sf_dir), part_catalogue(spark, sf_dir), ranked=ranked)
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,11 +92,11 @@ def enrich_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_songs_per_genre(_counts(spark, sf_dir))
+    return top_songs_per_genre(_counts(spark, sf_dir, ranked=True))
 
 
 def top_songs_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_songs_per_genre(_counts(spark, sf_dir), ties="keep").drop("track_id")
+    return top_songs_per_genre(_counts(spark, sf_dir, ranked=True), ties="keep").drop("track_id")
 
 
 def top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,12 +115,16 @@ def star_song_play_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return song_play_counts(order_plays(spark, sf_dir), part_catalogue(spark, sf_dir))
 
 
+def _star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return song_play_counts(order_plays(spark, sf_dir), part_catalogue(spark, sf_dir), ranked=True)
+
+
 def star_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_songs_per_genre(star_song_play_counts(spark, sf_dir))
+    return top_songs_per_genre(_star_counts(spark, sf_dir))
 
 
 def star_top_songs_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_songs_per_genre(star_song_play_counts(spark, sf_dir), ties="keep").drop("track_id")
+    return top_songs_per_genre(_star_counts(spark, sf_dir), ties="keep").drop("track_id")
 
 
 def star_top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,3 +185,23 @@ def test_plans(spark, skewed, tmp_path):
     for plan in (kpis, top, tied, shuffled):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
         assert "python" not in plan.lower()
+
+
+def test_ranked_counts_are_sorted_by_other_tasks(spark):
+    """What adds up the plays hands narrow counts on, so no task holds its sums and sorts them as well."""
+    plays = spark.createDataFrame(
+        [(str(k % 7), f"2024-01-0{k % 3 + 1} 10:00:00", k) for k in range(60)],
+        "track_id string, listen_time string, user_id long",
+    )
+    songs = spark.createDataFrame(
+        [(str(k), f"g{k % 2}", 10, f"n{k}", "a") for k in range(7)],
+        "track_id string, track_genre string, duration_ms long, track_name string, artists string",
+    )
+    plain = top_songs_per_genre(song_play_counts(plays, songs))
+    for ties in ("break", "keep"):
+        ranked = top_songs_per_genre(song_play_counts(plays, songs, ranked=True), ties=ties)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        below_limit = plan[plan.rindex("WindowGroupLimit") :]
+        assert "REPARTITION_BY_COL" in below_limit[: below_limit.index("functions=[count(1)]")]
+    ranked = top_songs_per_genre(song_play_counts(plays, songs, ranked=True))
+    assert rows_of(ranked) == rows_of(plain) and ranked.count() == 18
