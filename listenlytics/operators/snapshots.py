@@ -162,7 +162,7 @@ def _folder(partition: str, value: object) -> str | None:
     """The folder of a partition value; None for one whose name Spark may write in another way."""
     if value is None:
         return f"{partition}=__HIVE_DEFAULT_PARTITION__"
-    return f"{partition}={value}" if re.fullmatch(r"[\w.-]+", str(value)) else None
+    return f"{partition}={value}" if re.match(r"[\w.-]+\Z", str(value)) else None
 
 
 def stage_state(

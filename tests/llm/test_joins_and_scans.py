@@ -338,7 +338,7 @@ def test_native_plans(spark, sf_dir):
 def test_against_sql(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for view in ("documents", "pages", "labels", "benchmark"):
+    for view in ("documents", "pages", "labels", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {view} AS SELECT * FROM '{sf_dir}/{view}.parquet'")
     got = queries.QUERIES[name](spark, sf_dir)
     wanted = con.sql(queries.ORACLE_SQL[name])
