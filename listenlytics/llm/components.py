@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_work_folder
-from ..staging import written
+from ..staging import in_few_files, written
 
 BROADCAST_EDGES = 1 << 19  # two ids each
 
 
-def _kept(df: DataFrame) -> DataFrame:
+def _kept(df: DataFrame, rows: int | None) -> DataFrame:
+    df = df if rows is None else in_few_files(df, rows)
     return written(df, new_work_folder(df.sparkSession, "links"))
 
 
@@ -40,19 +41,20 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["s"]
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", n_links: int | None = None) -> DataFrame:
     """(node, component) of every linked node; a component is named by its least node.
 
-    Self-links and nulls are left out. Only counts come to the driver; each round is written
-    to the shared folder, so lineage stays short.
+    ``n_links``: the number of links, if it is known; few are kept in few files. Self-links and
+    nulls are left out. Only counts come to the driver; each round is written to the shared
+    folder, so lineage stays short.
     """
     x, y = F.col(a), F.col(b)
     edges = links.where(x.isNotNull() & y.isNotNull() & (x != y))
-    edges = _kept(edges.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
+    edges = _kept(edges.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct(), n_links)
     before = _state(edges)
     while True:
         few = before[0] <= BROADCAST_EDGES
-        edges = _kept(_small_star(_large_star(edges, few), few))
+        edges = _kept(_small_star(_large_star(edges, few), few), before[0])
         after = _state(edges)
         if after == before:
             break

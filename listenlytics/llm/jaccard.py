@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import new_work_folder
-from ..staging import written
+from ..staging import in_few_files, written
 from .components import components
 from .frames import map_texts
 from .words import shingle_hashes, small_batches, text_blocks
@@ -323,7 +323,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, T.StructType(both.schema.fields[:2]))
 
 
-def _connected(links: DataFrame) -> DataFrame:
+def _connected(links: DataFrame, n_links: int) -> DataFrame:
     """(node, label) of the linked nodes; nodes with one label are connected, though not the reverse.
 
     The label is the least node within two steps, which joins a star to its centre's least
@@ -331,7 +331,7 @@ def _connected(links: DataFrame) -> DataFrame:
     """
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    near = written(near, new_work_folder(links.sparkSession, "near"))
+    near = written(in_few_files(near, 2 * n_links), new_work_folder(links.sparkSession, "near"))
     beside = both.join(_small_enough(near.withColumnRenamed("a", "b")), "b").select("a", "least")
     return (
         beside.unionByName(near).groupBy(F.col("a").alias("node")).agg(F.min("least").alias("label"))
@@ -380,11 +380,13 @@ def jaccard_components(
     """
     spark = docs.sparkSession
 
-    def kept(df: DataFrame, label: str) -> DataFrame:
+    def kept(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+        df = df if rows is None else in_few_files(df, rows)
         return written(df, new_work_folder(spark, label))
 
     table = kept(_described(docs, id_col, text_col, size), "described")
     described = table.where("counter IS NULL").drop("counter", "total")
+    n_docs = described.count()
     classes = kept(
         described.where("n_shingles > 0 AND _id IS NOT NULL")
         .groupBy("key")
@@ -394,21 +396,24 @@ def jaccard_components(
             F.first("signature").alias("signature"),
         ),
         "classes",
+        n_docs,
     )
     names = classes.select("key", "rep")
     with_id = docs.where(F.col(id_col).isNotNull())
     windows = kept(_windows(with_id, text_col, size, percent, _frequent(table)), "windows")
-    shared = kept(_shared_regions(windows, percent), "regions")
+    n_windows = windows.count()
+    shared = kept(_shared_regions(windows, percent), "regions", n_windows // 2)
     of_small = _pairs_of_small(windows, shared.where("NOT crowded"), percent)
     crowds = shared.where("crowded")
     members = windows.join(_small_enough(crowds), "region", "left_semi").join(names, "key")
     # by key and then all of the row, so that the join's partitioning serves
-    members = kept(members.groupBy("key", "region", "rep", "n", "place").agg(F.lit(True).alias("once")).drop("once"), "members")
+    members = members.groupBy("key", "region", "rep", "n", "place").agg(F.lit(True).alias("once")).drop("once")
+    members = kept(members, "members", n_windows)
 
     id_type = docs.schema[id_col].dataType
     links = spark.createDataFrame([], T.StructType([T.StructField(n, id_type) for n in "ab"]))
     labels = None
-    n_members, turn = members.count(), 0
+    n_members, n_links, turn = members.count(), 0, 0
     while True:
         labelled = members.withColumn("label", F.col("rep"))
         if labels is not None:
@@ -421,7 +426,7 @@ def jaccard_components(
             F.max("label").alias("high"),
         )
         open_regions = counts.where("low != high AND n_early > 0").select("region", "size", "n_early")
-        current = kept(labelled.join(open_regions, "region"), "current")
+        current = kept(labelled.join(open_regions, "region"), "current", n_members)
         open_rows = current.agg(
             F.count("*").alias("rows"),
             F.sum(F.when(F.col("size") > SMALL, F.col("n_early"))).alias("crowd_pairs"),
@@ -446,6 +451,7 @@ def jaccard_components(
                 .where(F.col("rank") <= FIRST_PIVOTS * GROWTH**turn)
                 .select("region", "salts", *columns, F.lit(True).alias("pivot")),
                 "pivots",
+                n_members,
             )
             first = first.unionByName(pivots)
         a = first.select(
@@ -458,32 +464,39 @@ def jaccard_components(
             .where(_may_link(percent))
             .select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
         )
+        most = open_rows["crowd_pairs"] or 0
+        if not last:
+            most = min(most, FIRST_PIVOTS * GROWTH**turn * open_rows["rows"])
+        most += SMALL * open_rows["rows"]
         if not turn:
             pairs = pairs.unionByName(of_small)
-        pairs = kept(pairs.distinct(), "pairs")
-        plausible = kept(_plausible(pairs, classes, percent), "plausible")
+            most += n_windows
+        pairs = kept(pairs.distinct(), "pairs", most)
+        plausible = kept(_plausible(pairs, classes, percent), "plausible", pairs.count())
+        n_plausible = plausible.count()
         sides = [plausible.select(F.col(f"key_{s}").alias("key"), F.col(f"rep_{s}").alias("rep")) for s in "ab"]
-        wanted = kept(sides[0].unionByName(sides[1]).distinct(), "wanted")
+        wanted = kept(sides[0].unionByName(sides[1]).distinct(), "wanted", 2 * n_plausible)
         sets = kept(_sets_of(with_id, id_col, text_col, size, wanted), "sets")
-        found = kept(_verified(plausible, sets, percent), "found")
-        links = links.unionByName(found)
+        found = kept(_verified(plausible, sets, percent), "found", n_plausible)
+        links, n_links = links.unionByName(found), n_links + found.count()
         if last:
             break
-        labels = kept(_connected(links), "near-labels")
+        labels = kept(_connected(links, n_links), "near-labels", 2 * n_links)
         members = crowded.join(pivots, ["region", "key"], "left_anti").select(
             "region", "key", "rep", "n", "place"
         )
         turn += 1
-    labels = kept(components(links), "labels")
+    labels = kept(components(links, n_links=n_links), "labels", 2 * n_links)
     result = described.join(names, "key", "left").join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
     )
     own = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(F.coalesce("component", "rep"))
-    return result.select(
+    named = result.select(
         F.col("_id").alias(id_col),
         "n_shingles",
         F.when(F.col("_id").isNotNull(), own).alias("component_id"),
     )
+    return in_few_files(named, n_docs)
 
 
 def one_of_each(
@@ -504,7 +517,8 @@ def one_of_each(
     judged = found.where("_id IS NOT NULL").groupBy("_id").agg(
         F.max(F.col("_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")
     )
-    judged = written(judged.where("NOT stays OR rows > 1"), new_work_folder(spark, "judged"))
+    judged = in_few_files(judged.where("NOT stays OR rows > 1"), found.count())
+    judged = written(judged, new_work_folder(spark, "judged"))
     gone = _small_enough(judged.where("NOT stays").select(F.col("_id").alias(id_col)))
     several = _small_enough(judged.where("stays").select(F.col("_id").alias(id_col)))
     left = docs.join(gone, id_col, "left_anti")

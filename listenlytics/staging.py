@@ -8,6 +8,18 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_A_FILE, FEW_ROWS = 1 << 17, 1 << 21
+
+
+def in_few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be written as few files if it has few rows; ``rows``: about how many at most.
+
+    What works the rows out keeps its partitions, and only the result is moved once more. On a
+    local file system each file costs an executor several processes that set its mode. A table
+    of more than ``FEW_ROWS`` rows is left as it is.
+    """
+    return df.repartition(max(1, -(-rows // ROWS_A_FILE))) if rows <= FEW_ROWS else df
+
 
 def written(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` and read it from there; the known schema saves a look at the files."""

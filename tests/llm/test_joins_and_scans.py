@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -106,6 +108,40 @@ def test_pairs_of_a_crowd_grow_with_its_members(spark, monkeypatch):
     assert pairs[1] <= 5 * pairs[0] and pairs[1] < 90 * 12
 
 
+def test_few_rows_are_written_as_few_files(spark, monkeypatch, tmp_path):
+    """Tables of a small join do not become a file for each shuffle partition, though Spark merges none."""
+    files = {}
+
+    def listed(df, folder, write=jaccard.written):
+        table = write(df, folder)
+        files[os.path.basename(folder).rsplit("-", 1)[0], len(files)] = len(table.inputFiles())
+        return table
+
+    for module in (jaccard, sys.modules[components.__module__]):
+        monkeypatch.setattr(module, "written", listed)
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", 0)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(100)]
+    rows = list(enumerate([*near_copies(rng, base, 40, 3), *(f"a{i // 2} b c d e f" for i in range(200))]))
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+        found.write.parquet(str(tmp_path / "found"))
+        jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == brute_components(rows)
+    files["result", 0] = len(list((tmp_path / "found").glob("*.parquet")))
+    assert {name for name, _ in files} >= {"classes", "regions", "members", "pairs", "found", "near", "links", "judged"}
+    by_texts = ("described", "windows", "sets")  # as many as the tasks that read the texts
+    assert {place: n for place, n in files.items() if n > 1 and place[0] not in by_texts} == {}
+
+
 def test_small_regions_pair_each_member_once(spark):
     rows = [(1, b"a", 20, 0), (1, b"b", 20, 1), (1, b"c", 20, 0), (1, b"a", 20, 0), (2, b"d", 20, 0), (2, b"e", 10, 0),
             (3, b"f", 20, 0), (3, b"g", 20, 9), (4, b"h", 20, 0)]
