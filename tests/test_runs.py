@@ -358,9 +358,11 @@ def test_a_growing_file_is_read_once_and_whole(spark, tmp_path, monkeypatch):
 
     songs = catalogue(spark, tmp_path)
     place(tmp_path, whole=OTHER_DAY, growing=FIRST[: len(FIRST) // 2])
-    pauses = []
+    sleep, pauses = arrivals.time.sleep, []
 
     def pause(seconds):
+        if seconds != 5:  # another thread's, such as py4j's
+            return sleep(seconds)
         pauses.append(seconds)
         if len(pauses) == 1:
             write_file(tmp_path, "raw/streams/growing.csv", FIRST)
